@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from riskloom import vocab
 from riskloom.functions import counts, dates, flags, numbers, text
 from riskloom.operators.dedup import distinct_rows, first_per_key
+from riskloom.operators.grouping import summarise
 from riskloom.operators.joins import join_features
 
 
@@ -17,13 +18,13 @@ def auth_features(auth: DataFrame) -> DataFrame:
 
 def bankcard_features(cards: DataFrame) -> DataFrame:
     """Six counts per id; repeated card rows count."""
-    return cards.groupBy("id").agg(
-        counts.count_where(F.col("card_type") == vocab.DEBIT_CARD).alias("card_1_cnt"),
-        counts.count_where(F.col("card_type") == vocab.CREDIT_CARD).alias("card_2_cnt"),
-        F.count("bank_name").alias("id_bank_cnt"),
-        counts.distinct_with_null("phone").alias("id_phone_set"),
-        counts.distinct_with_null("card_type").alias("id_card_set"),
-        counts.distinct_with_null("bank_name").alias("id_bank_set"),
+    return summarise(
+        cards, "id",
+        [counts.count_where(F.col("card_type") == vocab.DEBIT_CARD).alias("card_1_cnt"),
+         counts.count_where(F.col("card_type") == vocab.CREDIT_CARD).alias("card_2_cnt"),
+         F.count("bank_name").alias("id_bank_cnt")],
+        distinct={"id_phone_set": F.col("phone"), "id_card_set": F.col("card_type"),
+                  "id_bank_set": F.col("bank_name")},
     )
 
 
@@ -41,15 +42,14 @@ def order_features(orders: DataFrame, ways=(vocab.ONLINE_PAYMENT, vocab.CASH_ON_
                    status_words=None) -> DataFrame:
     """Eight counts per id over distinct order rows."""
     status_words = status_words or vocab.STATUS_WORDS
-    return distinct_rows(orders).groupBy("id").agg(
-        counts.count_where(F.col("type_pay") == ways[0]).alias("way1_cnt"),
-        counts.count_where(F.col("type_pay") == ways[1]).alias("way2_cnt"),
-        counts.distinct_with_null("type_pay").alias("id_type_pay_set"),
-        counts.distinct_with_null("sts_order").alias("id_sts_order_set"),
-        counts.distinct_with_null("phone").alias("id_phone_set"),
-        *[counts.count_where(F.col("sts_order").contains(word)).alias(name)
-          for name, word in status_words.items()],
-    )
+    counted = {"way1_cnt": F.col("type_pay") == ways[0], "way2_cnt": F.col("type_pay") == ways[1],
+               **{n: F.col("sts_order").contains(word) for n, word in status_words.items()}}
+    sets = {"id_type_pay_set": F.col("type_pay"), "id_sts_order_set": F.col("sts_order"),
+            "id_phone_set": F.col("phone")}
+    grouped = summarise(
+        distinct_rows(orders), "id",
+        [counts.count_where(condition).alias(n) for n, condition in counted.items()], sets)
+    return grouped.select("id", "way1_cnt", "way2_cnt", *sets, *status_words)
 
 
 def order_amount_features(orders: DataFrame) -> DataFrame:
@@ -72,9 +72,8 @@ def order_month_counts(orders: DataFrame, months=vocab.ORDER_MONTHS) -> DataFram
 def address_features(addresses: DataFrame, order_by=None) -> DataFrame:
     """Phone flags of the first address, distinct phones, and number of provinces."""
     first = first_per_key(addresses, "id", order_by, keep=["phone", "fix_phone"])
-    grouped = addresses.select("id", "phone", text.region_prefix("region").alias("province")) \
-        .groupBy("id").agg(counts.distinct_with_null("phone").alias("id_phone_set"),
-                           counts.set_length("province").alias("province_len"))
+    grouped = summarise(addresses, "id", [], {"id_phone_set": F.col("phone")},
+                        {"province_len": text.region_prefix("region")})
     return first.join(grouped, "id").select(
         "id", flags.present_flag("phone").alias("phone_isnull"),
         flags.present_flag("fix_phone").alias("fix_phone_isnull"), "id_phone_set", "province_len")

@@ -11,6 +11,7 @@ from riskloom import vocab
 from riskloom.functions import counts, dates, flags, numbers, text
 from riskloom.operators.clean import table_mean, zero_fill
 from riskloom.operators.dedup import distinct_rows, first_per_key
+from riskloom.operators.grouping import summarise
 from riskloom.operators.joins import join_features
 from riskloom.operators.ordering import global_row_number
 from riskloom.operators.scaling import column_ranges, scale_columns
@@ -102,11 +103,11 @@ def bankcard_features(cards: DataFrame, order_by=None) -> DataFrame:
     """
     unique = distinct_rows(cards)
     first = first_per_key(unique, "id", order_by, keep=["card_type"])
-    grouped = unique.groupBy("id").agg(
-        counts.distinct_with_null("phone").alias("phone_count"),
-        F.count("phone").alias("card_record_count"),
-        counts.count_where(F.col("card_type") == vocab.DEBIT_CARD).alias("store_card_count"),
-        counts.distinct_with_null("card_type").alias("card_category_count"),
+    grouped = summarise(
+        unique, "id",
+        [F.count("phone").alias("card_record_count"),
+         counts.count_where(F.col("card_type") == vocab.DEBIT_CARD).alias("store_card_count")],
+        distinct={"phone_count": F.col("phone"), "card_category_count": F.col("card_type")},
     )
     return grouped.join(first, "id", "left").select(
         "id", "phone_count", "card_record_count", "store_card_count",
@@ -141,7 +142,7 @@ def auth_contact_flags(auth: DataFrame) -> DataFrame:
 
 def order_profile(orders: DataFrame, pay_types=vocab.PAYMENT_TYPES,
                   statuses=vocab.ORDER_STATUSES) -> DataFrame:
-    """Everything the features need from the order history, in one grouped pass per id.
+    """Everything the features need from the order history, one row per id.
 
     Holds the raw aggregates, the category sets as bit masks, and the order dates as
     count, sum, first and last day. The day gaps of :func:`order_gap_features` follow from these
@@ -162,14 +163,10 @@ def order_profile(orders: DataFrame, pay_types=vocab.PAYMENT_TYPES,
         return [F.avg(c).alias(f"{c}_mean"), F.max(c).alias(f"{c}_max"),
                 F.min(c).alias(f"{c}_min"), F.stddev_pop(c).alias(f"{c}_std")]
 
-    grouped = prepared.groupBy("id").agg(
+    grouped = summarise(prepared, "id", [
         *spread("unit_price"),
         F.max("blank").alias("order_all_is_null"),
         *spread("amt_order"),
-        counts.distinct_with_null("type_pay").alias("type_pay_count"),
-        counts.distinct_with_null("sts_order").alias("sts_order_count"),
-        counts.distinct_with_null("phone").alias("order_phone_count"),
-        counts.distinct_with_null("name_rec_md5").alias("name_rec_md5_count"),
         *counts.membership_masks("pay_category", pay_types, "pay_mask"),
         *counts.membership_masks("status_category", statuses, "status_mask"),
         F.max((F.col("pay_category") == vocab.NULL_CATEGORY).cast("int")).alias("pay_has_null"),
@@ -180,7 +177,10 @@ def order_profile(orders: DataFrame, pay_types=vocab.PAYMENT_TYPES,
         F.sum("order_day").alias("day_sum"),
         F.min("order_day").alias("first_day"),
         F.max("order_day").alias("last_day"),
-    )
+    ], distinct={
+        "type_pay_count": F.col("type_pay"), "sts_order_count": F.col("sts_order"),
+        "order_phone_count": F.col("phone"), "name_rec_md5_count": F.col("name_rec_md5"),
+    })
 
     # The set holds the distinct values of the count, unless it is emptied by 'null'.
     def length(kind, count):
