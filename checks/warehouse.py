@@ -98,11 +98,15 @@ def given(spark: SparkSession, sf_dir, name) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _derived(spark, name, frames) -> DataFrame:
+    return spark.sql(TABLE_SQL[name], **{source: frames[source] for source in SOURCES[name]})
+
+
 def table(spark: SparkSession, sf_dir, name) -> DataFrame:
     """One logical table as a DataFrame."""
-    frames = {source: given(spark, sf_dir, source) for source in SOURCES[name]}
-    return spark.sql(TABLE_SQL[name], **frames)
+    return _derived(spark, name, {s: given(spark, sf_dir, s) for s in SOURCES[name]})
 
 
 def tables(spark: SparkSession, sf_dir) -> dict:
-    return {name: table(spark, sf_dir, name) for name in SOURCES}
+    frames = {s: given(spark, sf_dir, s) for s in {s for needed in SOURCES.values() for s in needed}}
+    return {name: _derived(spark, name, frames) for name in SOURCES}

@@ -17,10 +17,12 @@ def scale_columns(df: DataFrame, columns, ranges: DataFrame | None = None) -> Da
     """Scale columns to 0..1; a constant column becomes null.
 
     The range is that of ``df`` itself unless fitted ``ranges`` of another table
-    are given. It enters as one scalar subquery shared by all columns.
+    are given. It enters once, as a scalar subquery in a struct column of its own; one subquery per
+    bound would be planned that many times.
     """
-    fitted = (column_ranges(df, columns) if ranges is None else ranges).scalar()
-    return df.withColumns({
-        c: rescaled(F.col(c), fitted.getField(c).getField("low"), fitted.getField(c).getField("high"))
-        for c in columns
-    })
+    fitted = column_ranges(df, columns) if ranges is None else ranges
+    low, high = ({c: F.col("ranges").getField(c).getField(side) for c in columns}
+                 for side in ("low", "high"))
+    scaled = {c: rescaled(F.col(c), low[c], high[c]) for c in columns}
+    return (df.withColumn("ranges", fitted.scalar())
+              .select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns]))

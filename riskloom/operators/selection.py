@@ -19,42 +19,46 @@ def selectable_features(df: DataFrame) -> list[str]:
     return feature_columns(df, drop=NOT_SELECTABLE)
 
 
-def _long_form(wide: DataFrame, columns, score) -> DataFrame:
-    """Turn one wide row of statistics into one row per feature."""
-    entries = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("feature"),
-                        score(i).alias("score")) for i, c in enumerate(columns)]
-    return wide.select(F.inline(F.array(*entries)))
+def _long_form(df: DataFrame, columns, *keys) -> DataFrame:
+    """One row per row and column: ``position``, ``value`` and the keys.
+
+    Statistics per position then need one short plan however many columns there are. Partial
+    aggregation leaves one row per position and task before the shuffle.
+    """
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    return df.select(*keys, F.posexplode(values).alias("position", "value"))
+
+
+def _named(scores: DataFrame, columns) -> DataFrame:
+    names = F.array(*[F.lit(c) for c in columns])
+    return scores.select("position", F.element_at(names, F.col("position") + 1).alias("feature"),
+                         "score")
 
 
 def variance_scores(df: DataFrame, columns) -> DataFrame:
     """Population variance of every column in one pass."""
-    wide = df.agg(*[F.var_pop(F.col(c)).alias(f"v{i}") for i, c in enumerate(columns)])
-    return _long_form(wide, columns, lambda i: F.col(f"v{i}"))
+    grouped = _long_form(df, columns).groupBy("position")
+    return _named(grouped.agg(F.var_pop("value").alias("score")), columns)
 
 
 def chi2_scores(df: DataFrame, columns, label="target") -> DataFrame:
     """Chi-squared of non-negative features against a 0/1 label, from sums per class.
 
-    Observed is the feature sum of a class, expected the class share of the total sum. One
-    pass over the matrix: the sums of class 1 and of all rows. A feature that sums to zero has no
-    score. (Spark's own chi-squared test counts categories instead, a different statistic.)
+    Observed is the feature sum of a class, expected the class share of the total sum; one
+    pass over the matrix. A feature that sums to zero has no score. (Spark's own chi-squared test
+    counts categories instead, a different statistic.)
     """
-    positive = F.col(label) == 1
-    sums = []
-    for i, c in enumerate(columns):
-        value = F.col(c).cast("double")
-        sums.append(F.sum(F.when(positive, value).otherwise(0.0)).alias(f"one{i}"))
-        sums.append(F.sum(value).alias(f"all{i}"))
-    wide = df.agg(F.avg(positive.cast("double")).alias("share"), *sums)
-
-    def score(i):
-        observed, total, share = F.col(f"one{i}"), F.col(f"all{i}"), F.col("share")
-        # With two classes both deviations have the same size.
-        deviation = F.pow(observed - share * total, F.lit(2))
-        return (F.try_divide(deviation, share * total)
-                + F.try_divide(deviation, (1 - share) * total))
-
-    return _long_form(wide, columns, score)
+    positive = (F.col(label) == 1).alias("positive")
+    sums = _long_form(df, columns, positive).groupBy("position").agg(
+        F.avg(F.col("positive").cast("double")).alias("share"),
+        F.sum("value").alias("total"),
+        F.sum(F.when(F.col("positive"), F.col("value")).otherwise(0.0)).alias("observed"))
+    expected = F.col("share") * F.col("total")
+    # With two classes both deviations have the same size.
+    deviation = F.pow(F.col("observed") - expected, F.lit(2))
+    score = (F.try_divide(deviation, expected)
+             + F.try_divide(deviation, (1 - F.col("share")) * F.col("total")))
+    return _named(sums.withColumn("score", score), columns)
 
 
 def names_of(scores: DataFrame) -> list[str]:
@@ -80,22 +84,17 @@ def combine_names(base=None, *others) -> list[str]:
 def binary_columns(df: DataFrame, columns) -> list[str]:
     """Columns with exactly two distinct values, in schema order, nulls not counted.
 
-    Two aggregate passes, no distinct count: lowest and highest value, then whether any row lies
-    between them.
+    Two passes instead of distinct counts: the lowest and highest value of each column, then
+    whether any value lies between them. The bounds are one row per column, so broadcasting
+    them is safe at any table size.
     """
-    bounds = df.agg(F.struct(*[
-        F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(f"b{i}")
-        for i, c in enumerate(columns)]).alias("bounds"))
-    limits = bounds.scalar()
-
-    def is_binary(i, c):
-        low, high = (limits.getField(f"b{i}").getField(side) for side in ("low", "high"))
-        between = F.max(((F.col(c) > low) & (F.col(c) < high)).cast("int"))
-        return (F.max((low < high).cast("int")) == 1) & (between == 0)
-
-    row = df.agg(F.array(*[F.coalesce(is_binary(i, c), F.lit(False))
-                           for i, c in enumerate(columns)]).alias("binary")).first()
-    return [c for c, yes in zip(columns, row.binary) if yes]
+    long = _long_form(df, columns)
+    bounds = long.groupBy("position").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    between = (F.col("value") > F.col("low")) & (F.col("value") < F.col("high"))
+    found = (long.join(F.broadcast(bounds.filter("low < high")), "position")
+                 .groupBy("position").agg(F.max(between).alias("more")).filter(~F.col("more")))
+    binary = {r.position for r in found.select("position").collect()}
+    return [c for i, c in enumerate(columns) if i in binary]
 
 
 def tree_layout(df: DataFrame, columns, keep_binary=130) -> list[str]:
