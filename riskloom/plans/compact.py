@@ -10,10 +10,10 @@ from riskloom.operators.grouping import summarise
 from riskloom.operators.joins import join_features
 
 
-def auth_features(auth: DataFrame) -> DataFrame:
+def auth_features(auth: DataFrame, extra=()) -> DataFrame:
     """Three flags, 1 when the value is present."""
     return auth.select("id", *[flags.present_flag(c).alias(f"{c}_isnull")
-                               for c in ("id_card", "phone", "auth_time")])
+                               for c in ("id_card", "phone", "auth_time")], *extra)
 
 
 def bankcard_features(cards: DataFrame) -> DataFrame:
@@ -101,16 +101,22 @@ def user_features(users: DataFrame, grades=vocab.ACCOUNT_GRADES, order_by=None)
     )
 
 
+def _days_columns(has_auth) -> list:
+    """From ``appl_sbm_tm`` and ``auth_day``; null where the id has no identity check."""
+    appl_day = dates.day_of("appl_sbm_tm")
+    auth_day = F.coalesce(F.col("auth_day"), appl_day)
+    days, years = F.datediff(appl_day, auth_day), dates.year_gap(appl_day, auth_day)
+    return [F.when(has_auth, value).alias(name) for name, value in (
+        ("days", days), ("days_is_neg", flags.as_flag(days > 0)),
+        ("years", years), ("years_is_neg", flags.as_flag(years > 0)))]
+
+
 def days_features(auth: DataFrame, spine: DataFrame, order_by=None) -> DataFrame:
     """Days and calendar years from identity check to application (``*_is_neg``: 1 if positive)."""
-    dated = auth.select("id", "auth_time").join(
-        spine.select("id", dates.day_of("appl_sbm_tm").alias("appl_day")), "id", "left")
-    checked = dates.effective_auth_day(F.col("appl_day"))
-    gaps = dated.select("id", F.datediff("appl_day", checked).alias("days"),
-                        dates.year_gap(F.col("appl_day"), checked).alias("years"))
-    return first_per_key(gaps, "id", order_by).select(
-        "id", "days", flags.as_flag(F.col("days") > 0).alias("days_is_neg"),
-        "years", flags.as_flag(F.col("years") > 0).alias("years_is_neg"))
+    dated = auth.select("id", dates.auth_day("auth_time").alias("auth_day")).join(
+        spine.select("id", "appl_sbm_tm"), "id", "left")
+    gaps = dated.select("id", *_days_columns(F.lit(True)))
+    return first_per_key(gaps, "id", order_by)
 
 
 def auth_order_features(auth: DataFrame, orders: DataFrame) -> DataFrame:
@@ -135,13 +141,17 @@ def compact_matrix(tables: dict, spine: DataFrame, *, grades=vocab.ACCOUNT_GRADE
                    first_row_order: dict | None = None) -> DataFrame:
     """Spine with all 64 features; ``first_row_order`` declares row order per table."""
     order = first_row_order or {}
-    return join_features(spine, [
-        auth_features(tables["auth_info"]),
+    checked = tables["auth_info"].withColumn("auth_day", dates.auth_day("auth_time"))
+    joined = join_features(spine, [
+        auth_features(checked, ["auth_day"]),
         bankcard_features(tables["bankcard_info"]),
         credit_features(tables["credit_info"], order.get("credit_info")),
         order_features(tables["order_info"], ways, status_words),
         address_features(tables["recieve_addr_info"], order.get("recieve_addr_info")),
         user_features(tables["user_info"], grades, order.get("user_info")),
-        days_features(tables["auth_info"], spine),
         auth_order_features(tables["auth_info"], tables["order_info"]),
     ])
+    late = ("time_days_mean", "time_days_mean_is_neg")
+    features = [c for c in joined.columns if c not in late and c != "auth_day"]
+    has_auth = F.col("auth_time_isnull").isNotNull()
+    return joined.select(*[F.col(c) for c in features], *_days_columns(has_auth), *late)

@@ -119,7 +119,7 @@ def bankcard_features(cards: DataFrame, order_by=None) -> DataFrame:
     )
 
 
-def auth_features(auth: DataFrame) -> DataFrame:
+def auth_features(auth: DataFrame, extra=()) -> DataFrame:
     """Seven flags per identity check; the first three are 1 when the value is present."""
     return auth.select(
         "id",
@@ -130,6 +130,7 @@ def auth_features(auth: DataFrame) -> DataFrame:
         flags.present_flag("id_card", "auth_time", "phone").alias("all_not_null"),
         flags.null_flag("id_card", "auth_time").alias("card_time_is_null"),
         flags.null_flag("phone", "auth_time").alias("time_phone_is_null"),
+        *extra,
     )
 
 
@@ -145,7 +146,7 @@ def order_profile(orders: DataFrame, pay_types=vocab.PAYMENT_TYPES,
     """Everything the features need from the order history, one row per id.
 
     Holds the raw aggregates, the category sets as bit masks, and the order dates as
-    count, sum, first and last day. The day gaps of :func:`order_gap_features` follow from these
+    count, sum, first and last day. The day gaps follow from these
     without joining the spine to single orders, where a hot id would not split.
     """
     amount = numbers.number_or_null("amt_order")
@@ -192,7 +193,8 @@ def order_profile(orders: DataFrame, pay_types=vocab.PAYMENT_TYPES,
 
 
 def order_features_from(profile: DataFrame, pay_types=vocab.PAYMENT_TYPES,
-                        statuses=vocab.ORDER_STATUSES, ranges: DataFrame | None = None) -> DataFrame:
+                        statuses=vocab.ORDER_STATUSES, ranges: DataFrame | None = None,
+                        extra=()) -> DataFrame:
     """Scale the 13 aggregates of a profile and spread the category sets into flags."""
     null = vocab.NULL_CATEGORY
     shared = {v: f"{v}_x" for v in pay_types if v in statuses}
@@ -203,6 +205,7 @@ def order_features_from(profile: DataFrame, pay_types=vocab.PAYMENT_TYPES,
         "id", *ORDER_SCALED,
         *counts.membership_flags(pay_types, "pay_mask", shared), "type_pay_len",
         *counts.membership_flags(statuses, "status_mask", shared_right), "sts_order_len",
+        *extra,
     )
 
 
@@ -217,13 +220,19 @@ def order_features(orders: DataFrame, pay_types=vocab.PAYMENT_TYPES, statuses=vo
     return order_features_from(profile, pay_types, statuses, ranges)
 
 
+def _application_gap_columns() -> list:
+    """From ``appl_sbm_tm`` and ``auth_day``."""
+    appl_day = dates.day_of("appl_sbm_tm")
+    auth_day = F.coalesce(F.col("auth_day"), appl_day)
+    return [flags.as_flag(appl_day < auth_day).alias("feature_1"),
+            F.datediff(appl_day, auth_day).alias("register_days")]
+
+
 def application_gap_features(auth: DataFrame, spine: DataFrame) -> DataFrame:
     """Whether an application came before the identity check, and the days between."""
-    dated = spine.select("id", dates.day_of("appl_sbm_tm").alias("appl_day")).join(
-        auth.select("id", dates.auth_day("auth_time").alias("auth_day")), "id", "left")
-    auth_day = F.coalesce("auth_day", "appl_day")
-    return dated.select("id", flags.as_flag(F.col("appl_day") < auth_day).alias("feature_1"),
-                        F.datediff("appl_day", auth_day).alias("register_days"))
+    checked = auth.select("id", dates.auth_day("auth_time").alias("auth_day"))
+    return spine.select("id", "appl_sbm_tm").join(checked, "id", "left").select(
+        "id", *_application_gap_columns())
 
 
 def order_days(orders: DataFrame) -> DataFrame:
@@ -235,34 +244,33 @@ def order_days(orders: DataFrame) -> DataFrame:
         F.max("order_day").alias("last_day"))
 
 
-def order_gap_features_from(profile: DataFrame, spine: DataFrame) -> DataFrame:
-    """Mean, longest and shortest gap between the orders and the application of an id.
+def _order_gap_columns() -> list:
+    """From ``appl_sbm_tm`` and the order dates of a profile.
 
     An order without a full timestamp counts with gap 0, and an id without
     orders has one such record.
     """
     appl = F.unix_date(dates.day_of("appl_sbm_tm")).cast("bigint")
-    joined = spine.select("id", appl.alias("appl")).join(
-        profile.select("id", *_ORDER_DAYS), "id", "left")
     rows = F.coalesce("order_rows", F.lit(1))
     dated = F.coalesce("dated_rows", F.lit(0))
     undated = rows > dated
-    longest = F.col("appl") - F.col("first_day")
-    shortest = F.col("appl") - F.col("last_day")
+    longest = appl - F.col("first_day")
+    shortest = appl - F.col("last_day")
     zero = F.lit(0).cast("bigint")
-    gap_sum = F.coalesce(dated * F.col("appl") - F.col("day_sum"), zero)
-    return joined.select(
-        "id",
+    gap_sum = F.coalesce(dated * appl - F.col("day_sum"), zero)
+    return [
         (gap_sum / rows).alias("day_mean"),
         F.when(undated, F.greatest(longest, zero)).otherwise(longest).alias("day_max"),
         F.when(undated, F.least(shortest, zero)).otherwise(shortest).alias("day_min"),
         rows.alias("order_record_count"),
         flags.as_flag(rows == 1).alias("order_record_unique"),
-    )
+    ]
 
 
 def order_gap_features(orders: DataFrame, spine: DataFrame) -> DataFrame:
-    return order_gap_features_from(order_days(orders), spine)
+    """Mean, longest and shortest gap between the orders and the application of an id."""
+    return spine.select("id", "appl_sbm_tm").join(order_days(orders), "id", "left").select(
+        "id", *_order_gap_columns())
 
 
 def fitted_ranges(tables: dict, pay_types=vocab.PAYMENT_TYPES,
@@ -284,17 +292,22 @@ def wide_matrix(tables: dict, spine: DataFrame, *, pay_types=vocab.PAYMENT_TYPES
     """Spine (``id``, ``appl_sbm_tm``, any label) with all 194 features, nulls as 0.
 
     Join the spine once and split the result by month; a split per training set would repeat
-    all joins. Order history is read once for both feature groups that use it.
+    all joins. The date gaps are computed on the joined row, so neither the spine nor a table that
+    serves two feature groups is joined a second time.
     """
     ranges = ranges or {}
     profile = materialize(order_profile(tables["order_info"], pay_types, statuses), "order-profile")
-    return zero_fill(join_features(spine, [
+    auth = tables["auth_info"]
+    checked = auth_features(auth.withColumn("auth_day", dates.auth_day("auth_time")), ["auth_day"])
+    joined = join_features(spine, [
         credit_features(tables["credit_info"], ranges.get("credit")),
-        order_features_from(profile, pay_types, statuses, ranges.get("order")),
+        order_features_from(profile, pay_types, statuses, ranges.get("order"), _ORDER_DAYS),
         user_features(tables["user_info"], grades, year),
         address_features(tables["recieve_addr_info"], provinces),
         bankcard_features(tables["bankcard_info"], card_order),
-        auth_features(tables["auth_info"]),
-        application_gap_features(tables["auth_info"], spine),
-        order_gap_features_from(profile, spine),
-    ]))
+        checked,
+    ])
+    helpers = {"auth_day", *_ORDER_DAYS}
+    features = [c for c in joined.columns if c not in helpers]
+    return zero_fill(joined.select(*[F.col(c) for c in features], *_application_gap_columns(),
+                                   *_order_gap_columns()))
