@@ -37,6 +37,11 @@ def count_where(condition: Column) -> Column:
     return F.coalesce(F.sum(F.coalesce(condition, F.lit(False)).cast("bigint")), F.lit(0))
 
 
+def mask_columns(vocabulary, name) -> list[str]:
+    """Names of the mask columns of a vocabulary."""
+    return [f"{name}{i}" for i in range(-(-len(vocabulary) // _BITS_PER_MASK))]
+
+
 def membership_masks(c, vocabulary, name) -> list[Column]:
     """Which vocabulary values a group holds, as bits of one bigint per 62 values.
 
@@ -46,11 +51,11 @@ def membership_masks(c, vocabulary, name) -> list[Column]:
     """
     c = _column(c)
     masks = []
-    for start in range(0, len(vocabulary), _BITS_PER_MASK):
-        chunk = vocabulary[start:start + _BITS_PER_MASK]
+    for i, mask in enumerate(mask_columns(vocabulary, name)):
+        chunk = vocabulary[i * _BITS_PER_MASK:(i + 1) * _BITS_PER_MASK]
         place = F.array_position(F.array(*[F.lit(v) for v in chunk]), c).cast("int")
         bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place - 1)
-        masks.append(F.bit_or(F.when(place > 0, bit)).alias(f"{name}{start // _BITS_PER_MASK}"))
+        masks.append(F.bit_or(F.when(place > 0, bit)).alias(mask))
     return masks
 
 

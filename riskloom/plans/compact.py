@@ -69,11 +69,12 @@ def order_month_counts(orders: DataFrame, months=vocab.ORDER_MONTHS) -> DataFram
                    .fillna(0, subset=list(months)))
 
 
-def address_features(addresses: DataFrame, order_by=None) -> DataFrame:
+def address_features(addresses: DataFrame, order_by=None,
+                     provinces=vocab.PROVINCES) -> DataFrame:
     """Phone flags of the first address, distinct phones, and number of provinces."""
     first = first_per_key(addresses, "id", order_by, keep=["phone", "fix_phone"])
     grouped = summarise(addresses, "id", [], {"id_phone_set": F.col("phone")},
-                        {"province_len": text.region_prefix("region")})
+                        members={"province": (text.region_prefix("region"), provinces)})
     return first.join(grouped, "id").select(
         "id", flags.present_flag("phone").alias("phone_isnull"),
         flags.present_flag("fix_phone").alias("fix_phone_isnull"), "id_phone_set", "province_len")

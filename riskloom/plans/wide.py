@@ -81,14 +81,13 @@ def user_features(users: DataFrame, grades=vocab.ACCOUNT_GRADES, year=2018) -> D
 
 
 def address_features(addresses: DataFrame, provinces=vocab.PROVINCES) -> DataFrame:
-    """37 columns per id from one grouped pass over the delivery addresses."""
+    """37 columns per id from the delivery addresses."""
     prepared = addresses.select("id", flags.blank_address_flag().alias("all_null"),
                                 text.region_prefix("region").alias("province"))
-    grouped = prepared.groupBy("id").agg(
-        F.min("all_null").alias("all_null"),
-        F.count(F.lit(1)).alias("record_count"),
-        *counts.membership_masks("province", provinces, "province_mask"),
-        counts.set_length("province").alias("province_len"),
+    grouped = summarise(
+        prepared, "id",
+        [F.min("all_null").alias("all_null"), F.count(F.lit(1)).alias("record_count")],
+        members={"province": (F.col("province"), provinces)},
     )
     return grouped.select("id", "all_null", "record_count",
                           *counts.membership_flags(provinces, "province_mask"), "province_len")
@@ -154,8 +153,6 @@ def order_profile(orders: DataFrame, pay_types=vocab.PAYMENT_TYPES,
         "id",
         F.coalesce(amount, table_mean(orders, amount)).alias("amt_order"),
         "unit_price", "type_pay", "sts_order", "phone", "name_rec_md5",
-        text.null_as_category("type_pay").alias("pay_category"),
-        text.null_as_category("sts_order").alias("status_category"),
         flags.null_flag("amt_order", "type_pay", "time_order", "sts_order").alias("blank"),
         F.unix_date(dates.full_timestamp_day("time_order")).cast("bigint").alias("order_day"),
     ).withColumn("unit_price", F.coalesce("unit_price", "amt_order"))
@@ -164,33 +161,22 @@ def order_profile(orders: DataFrame, pay_types=vocab.PAYMENT_TYPES,
         return [F.avg(c).alias(f"{c}_mean"), F.max(c).alias(f"{c}_max"),
                 F.min(c).alias(f"{c}_min"), F.stddev_pop(c).alias(f"{c}_std")]
 
-    grouped = summarise(prepared, "id", [
+    return summarise(prepared, "id", [
         *spread("unit_price"),
         F.max("blank").alias("order_all_is_null"),
         *spread("amt_order"),
-        *counts.membership_masks("pay_category", pay_types, "pay_mask"),
-        *counts.membership_masks("status_category", statuses, "status_mask"),
-        F.max((F.col("pay_category") == vocab.NULL_CATEGORY).cast("int")).alias("pay_has_null"),
-        F.max((F.col("status_category") == vocab.NULL_CATEGORY).cast("int"))
-         .alias("status_has_null"),
         F.count(F.lit(1)).alias("order_rows"),
         F.count("order_day").alias("dated_rows"),
         F.sum("order_day").alias("day_sum"),
         F.min("order_day").alias("first_day"),
         F.max("order_day").alias("last_day"),
     ], distinct={
-        "type_pay_count": F.col("type_pay"), "sts_order_count": F.col("sts_order"),
         "order_phone_count": F.col("phone"), "name_rec_md5_count": F.col("name_rec_md5"),
+    }, members={
+        "type_pay": (text.null_as_category("type_pay"), pay_types),
+        "sts_order": (text.null_as_category("sts_order"), statuses),
     })
 
-    # The set holds the distinct values of the count, unless it is emptied by 'null'.
-    def length(kind, count):
-        return (F.when(F.col(f"{kind}_has_null") == 1, F.lit(0)).otherwise(F.col(count))
-                 .cast("bigint"))
-
-    return grouped.withColumns({"type_pay_len": length("pay", "type_pay_count"),
-                                "sts_order_len": length("status", "sts_order_count")})
-
 
 def order_features_from(profile: DataFrame, pay_types=vocab.PAYMENT_TYPES,
                         statuses=vocab.ORDER_STATUSES, ranges: DataFrame | None = None,
@@ -203,8 +189,8 @@ def order_features_from(profile: DataFrame, pay_types=vocab.PAYMENT_TYPES,
     shared_right.setdefault(null, null)
     return scale_columns(profile, ORDER_SCALED, ranges).select(
         "id", *ORDER_SCALED,
-        *counts.membership_flags(pay_types, "pay_mask", shared), "type_pay_len",
-        *counts.membership_flags(statuses, "status_mask", shared_right), "sts_order_len",
+        *counts.membership_flags(pay_types, "type_pay_mask", shared), "type_pay_len",
+        *counts.membership_flags(statuses, "sts_order_mask", shared_right), "sts_order_len",
         *extra,
     )
 
