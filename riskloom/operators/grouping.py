@@ -10,6 +10,12 @@ from riskloom.functions.counts import mask_columns, membership_masks
 from riskloom.vocab import NULL_CATEGORY
 
 
+def with_key(df: DataFrame, key) -> DataFrame:
+    """Rows that have a key. Written before a shuffle that several branches share, because a filter
+    that Spark infers in one branch only would keep it from being reused."""
+    return df.filter(F.col(key).isNotNull())
+
+
 def _distinct_counts(df: DataFrame, key, columns: dict) -> DataFrame:
     """Distinct non-null values per key: ``key`` and one count per entry of ``columns``.
 
@@ -26,7 +32,7 @@ def _distinct_counts(df: DataFrame, key, columns: dict) -> DataFrame:
 
 def summarise(df: DataFrame, key, aggregates, distinct=None, set_lengths=None,
               members=None) -> DataFrame:
-    """One row per key.
+    """One row per key that is not null.
 
     ``aggregates``   ordinary aggregates, under their own names.
     ``distinct``     ``{name: column}``: distinct values, null counting as one value.
@@ -41,6 +47,7 @@ def summarise(df: DataFrame, key, aggregates, distinct=None, set_lengths=None,
     adds no shuffle.
     """
     distinct, set_lengths, members = distinct or {}, set_lengths or {}, members or {}
+    df = with_key(df, key)
     marks = {n: c.isNull() for n, c in distinct.items()}
     marks.update({n: c == NULL_CATEGORY for n, c in set_lengths.items()})
     marks.update({n: c == NULL_CATEGORY for n, (c, _) in members.items()})

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from riskloom import vocab
 from riskloom.functions import counts, dates, flags, numbers, text
 from riskloom.operators.dedup import distinct_rows, first_per_key
-from riskloom.operators.grouping import summarise
+from riskloom.operators.grouping import summarise, with_key
 from riskloom.operators.joins import join_features
 
 
@@ -47,7 +47,7 @@ def order_features(orders: DataFrame, ways=(vocab.ONLINE_PAYMENT, vocab.CASH_ON_
     sets = {"id_type_pay_set": F.col("type_pay"), "id_sts_order_set": F.col("sts_order"),
             "id_phone_set": F.col("phone")}
     grouped = summarise(
-        distinct_rows(orders), "id",
+        distinct_rows(with_key(orders, "id")), "id",
         [counts.count_where(condition).alias(n) for n, condition in counted.items()], sets)
     return grouped.select("id", "way1_cnt", "way2_cnt", *sets, *status_words)
 

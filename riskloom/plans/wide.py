@@ -11,7 +11,7 @@ from riskloom import vocab
 from riskloom.functions import counts, dates, flags, numbers, text
 from riskloom.operators.clean import table_mean, zero_fill
 from riskloom.operators.dedup import distinct_rows, first_per_key
-from riskloom.operators.grouping import summarise
+from riskloom.operators.grouping import summarise, with_key
 from riskloom.operators.joins import join_features
 from riskloom.operators.ordering import global_row_number
 from riskloom.operators.scaling import column_ranges, scale_columns
@@ -100,7 +100,7 @@ def bankcard_features(cards: DataFrame, order_by=None) -> DataFrame:
     (all columns by default). ``card_record_count`` counts cards with a phone number, so
     ``credit_count`` can be negative.
     """
-    unique = distinct_rows(cards)
+    unique = distinct_rows(with_key(cards, "id"))
     first = first_per_key(unique, "id", order_by, keep=["card_type"])
     grouped = summarise(
         unique, "id",

@@ -77,6 +77,14 @@ def test_profile_reads_only_its_columns(spark, tables, tmp_path):
     assert "unused" not in "".join(re.findall(r"ReadSchema: .*", plan))
 
 
+@pytest.mark.parametrize("name", ["wide_bankcard", "compact_order"])
+def test_deduplicated_rows_are_shuffled_once(spark, name):
+    df = q.QUERIES[name](spark, SMALL)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+
+
 def skewed_orders(make):
     """One id holds more than a third of the rows."""
     rows = []
