@@ -143,12 +143,14 @@ PIECES["amount_mean"] = """
 SELECT AVG(CAST(amt_order AS DOUBLE)) AS mean FROM order_info
 WHERE amt_order IS NOT NULL AND amt_order <> 'null'"""
 PIECES["order_filled"] = """
-SELECT * REPLACE (COALESCE(TRY_CAST(amt_order AS DOUBLE), mean) AS amt_order,
-    COALESCE(unit_price, TRY_CAST(amt_order AS DOUBLE), mean) AS unit_price),
+SELECT * REPLACE (
+    COALESCE(TRY_CAST(amt_order AS DOUBLE), (SELECT mean FROM amount_mean)) AS amt_order,
+    COALESCE(unit_price, TRY_CAST(amt_order AS DOUBLE), (SELECT mean FROM amount_mean))
+      AS unit_price),
   CASE WHEN amt_order IS NULL AND type_pay IS NULL AND time_order IS NULL AND sts_order IS NULL
     THEN 1 ELSE 0 END AS blank,
   COALESCE(type_pay, 'null') AS pay, COALESCE(sts_order, 'null') AS sts
-FROM order_info CROSS JOIN amount_mean"""
+FROM order_info"""
 
 
 def _spread(c):

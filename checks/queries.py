@@ -752,6 +752,11 @@ def _(spark, sf_dir):
                       F.lit(len(matrix.columns)).alias("column_count"))
 
 
+@query("preview_rows", o.rounded("wide_matrix", WIDE_DOUBLES) + " ORDER BY id LIMIT 5")
+def _(spark, sf_dir):
+    return rounded(_wide(spark, sf_dir), WIDE_DOUBLES).orderBy("id").limit(5)
+
+
 # ---- models (no SQL counterpart) --------------------------------------------------------------
 
 ROUNDS = 10
@@ -794,6 +799,45 @@ def _(spark, sf_dir):
     return m.fit_and_score(train, held, names, m.ridge_logistic(train, iterations=50))
 
 
+@query("gbt_selected_scores")
+def _(spark, sf_dir):
+    """Listed features only, fitted on every labelled row and applied to the unlabelled set."""
+    from riskloom.operators import models as m
+    matrix, _names = _model_tables(spark, sf_dir, _wide)
+    listed = [c for c in vocab.TREE_FEATURES if c in matrix.columns]
+    trees = m.boosted_trees(m.with_rounds(m.SELECTED_TREES, ROUNDS))
+    return m.fit_and_score(matrix, matrix.drop("target"), listed, trees)
+
+
+@query("final_scores")
+def _(spark, sf_dir):
+    """Both matrices, three models, and the published blend of their scores."""
+    from riskloom.operators import models as m
+    from riskloom.plans import scoring
+    dense, dense_names = _model_tables(spark, sf_dir, _wide)
+    sparse, _names = _model_tables(spark, sf_dir, _compact)
+    months = {"train_months": w.TRAIN_MONTHS, "month": w.VALIDATION_MONTH}
+    _auc, trees = scoring.wide_trees(
+        dense, dense.drop("target"), [c for c in vocab.TREE_FEATURES if c in dense_names],
+        m.with_rounds(m.SELECTED_TREES, 3), **months)
+    _auc, linear = scoring.wide_linear(
+        dense, dense.drop("target"), [c for c in vocab.LINEAR_FEATURES if c in dense_names],
+        iterations=20, **months)
+    _auc, compact_scores = scoring.compact_trees(
+        sparse, sparse.drop("target"), m.with_rounds(m.COMPACT_TREES, 3), w.VALIDATION_MONTH)
+    return scoring.final_scores(compact_scores, linear, trees)
+
+
+@query("sweep_feature_counts")
+def _(spark, sf_dir):
+    from riskloom.operators import models as m
+    matrix, names = _model_tables(spark, sf_dir, _wide)
+    train, held = _splits(matrix)
+    results = m.sweep_feature_counts(train, held, names, m.with_rounds(m.SELECTED_TREES, 2),
+                                     counts=(30, 60), forest_size=5)
+    return spark.createDataFrame(results, "k int, kept int, auc double")
+
+
 @query("holdout_auc")
 def _(spark, sf_dir):
     from riskloom.operators import models as m

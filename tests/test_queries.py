@@ -7,8 +7,8 @@ from checks.queries import QUERIES, SQL
 from conftest import SMALL
 
 # No positive label in the holdout month of the smallest tables.
-NEEDS_LARGER_TABLES = {"holdout_auc"}
-SLOW = {"stacked_scores"}  # covered by test_models
+NEEDS_LARGER_TABLES = {"holdout_auc", "sweep_feature_counts"}
+SLOW = {"stacked_scores", "final_scores"}  # the same steps run in test_models
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
