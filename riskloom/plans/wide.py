@@ -12,7 +12,7 @@ from riskloom.functions import counts, dates, flags, numbers, text
 from riskloom.operators.clean import table_mean, zero_fill
 from riskloom.operators.dedup import distinct_rows, first_per_key
 from riskloom.operators.grouping import summarise, with_key
-from riskloom.operators.joins import join_features
+from riskloom.operators.joins import collision_names, join_features
 from riskloom.operators.ordering import global_row_number
 from riskloom.operators.scaling import column_ranges, scale_columns
 from riskloom.session import materialize
@@ -80,17 +80,22 @@ def user_features(users: DataFrame, grades=vocab.ACCOUNT_GRADES, year=2018) -> D
     )
 
 
-def address_features(addresses: DataFrame, provinces=vocab.PROVINCES) -> DataFrame:
-    """37 columns per id from the delivery addresses."""
+def address_profile(addresses: DataFrame, provinces=vocab.PROVINCES) -> DataFrame:
+    """Delivery addresses per id, the provinces as a bit mask."""
     prepared = addresses.select("id", flags.blank_address_flag().alias("all_null"),
                                 text.region_prefix("region").alias("province"))
-    grouped = summarise(
+    return summarise(
         prepared, "id",
         [F.min("all_null").alias("all_null"), F.count(F.lit(1)).alias("record_count")],
         members={"province": (F.col("province"), provinces)},
-    )
-    return grouped.select("id", "all_null", "record_count",
-                          *counts.membership_flags(provinces, "province_mask"), "province_len")
+    ).drop("province_count")
+
+
+def address_features(addresses: DataFrame, provinces=vocab.PROVINCES) -> DataFrame:
+    """37 columns per id from the delivery addresses."""
+    return address_profile(addresses, provinces).select(
+        "id", "all_null", "record_count",
+        *counts.membership_flags(provinces, "province_mask"), "province_len")
 
 
 def bankcard_features(cards: DataFrame, order_by=None) -> DataFrame:
@@ -179,19 +184,13 @@ def order_profile(orders: DataFrame, pay_types=vocab.PAYMENT_TYPES,
 
 
 def order_features_from(profile: DataFrame, pay_types=vocab.PAYMENT_TYPES,
-                        statuses=vocab.ORDER_STATUSES, ranges: DataFrame | None = None,
-                        extra=()) -> DataFrame:
+                        statuses=vocab.ORDER_STATUSES, ranges: DataFrame | None = None) -> DataFrame:
     """Scale the 13 aggregates of a profile and spread the category sets into flags."""
-    null = vocab.NULL_CATEGORY
-    shared = {v: f"{v}_x" for v in pay_types if v in statuses}
-    shared_right = {v: f"{v}_y" for v in shared}
-    shared.setdefault(null, null)
-    shared_right.setdefault(null, null)
+    pay_names, status_names = collision_names([pay_types, statuses])
     return scale_columns(profile, ORDER_SCALED, ranges).select(
         "id", *ORDER_SCALED,
-        *counts.membership_flags(pay_types, "type_pay_mask", shared), "type_pay_len",
-        *counts.membership_flags(statuses, "sts_order_mask", shared_right), "sts_order_len",
-        *extra,
+        *counts.membership_flags(pay_types, "type_pay_mask", pay_names), "type_pay_len",
+        *counts.membership_flags(statuses, "sts_order_mask", status_names), "sts_order_len",
     )
 
 
@@ -278,22 +277,32 @@ def wide_matrix(tables: dict, spine: DataFrame, *, pay_types=vocab.PAYMENT_TYPES
     """Spine (``id``, ``appl_sbm_tm``, any label) with all 194 features, nulls as 0.
 
     Join the spine once and split the result by month; a split per training set would repeat
-    all joins. The date gaps are computed on the joined row, so neither the spine nor a table that
-    serves two feature groups is joined a second time.
+    all joins. The date gaps and the category flags are computed on the joined row: neither the spine
+    nor a table that serves two feature groups is joined a second time, and the shuffles carry three
+    bit masks instead of 114 flags.
     """
     ranges = ranges or {}
     profile = materialize(order_profile(tables["order_info"], pay_types, statuses), "order-profile")
     auth = tables["auth_info"]
-    checked = auth_features(auth.withColumn("auth_day", dates.auth_day("auth_time")), ["auth_day"])
+    sets = {"type_pay": pay_types, "sts_order": statuses, "province": provinces}
+    masks = {k: counts.mask_columns(values, f"{k}_mask") for k, values in sets.items()}
+    order_part = scale_columns(profile, ORDER_SCALED, ranges.get("order")).select(
+        "id", *ORDER_SCALED, "type_pay_len", "sts_order_len", *masks["type_pay"],
+        *masks["sts_order"], *_ORDER_DAYS)
     joined = join_features(spine, [
         credit_features(tables["credit_info"], ranges.get("credit")),
-        order_features_from(profile, pay_types, statuses, ranges.get("order"), _ORDER_DAYS),
+        order_part,
         user_features(tables["user_info"], grades, year),
-        address_features(tables["recieve_addr_info"], provinces),
+        address_profile(tables["recieve_addr_info"], provinces),
         bankcard_features(tables["bankcard_info"], card_order),
-        checked,
+        auth_features(auth.withColumn("auth_day", dates.auth_day("auth_time")), ["auth_day"]),
     ])
-    helpers = {"auth_day", *_ORDER_DAYS}
-    features = [c for c in joined.columns if c not in helpers]
-    return zero_fill(joined.select(*[F.col(c) for c in features], *_application_gap_columns(),
-                                   *_order_gap_columns()))
+    flags_before = {
+        f"{k}_len": counts.membership_flags(values, f"{k}_mask", names)
+        for (k, values), names in zip(sets.items(), collision_names(list(sets.values())))}
+    helpers = {"auth_day", *_ORDER_DAYS, *(m for columns in masks.values() for m in columns)}
+    features = []
+    for c in joined.columns:
+        if c not in helpers:
+            features += [*flags_before.get(c, ()), F.col(c)]
+    return zero_fill(joined.select(*features, *_application_gap_columns(), *_order_gap_columns()))

@@ -20,6 +20,8 @@ def build_session(app_name="riskloom", master=None, **conf) -> SparkSession:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # The wide matrix has 197 columns; above the limit Spark gives up whole-stage code.
+        "spark.sql.codegen.maxFields": "250",
         **conf,
     }
     for key, value in settings.items():
