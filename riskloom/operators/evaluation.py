@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.flags import as_flag
 from riskloom.operators.ordering import global_running_total
 
 
@@ -11,9 +12,9 @@ def exact_auc(df: DataFrame, label="target", score="prob") -> DataFrame:
 
     The share of (positive, negative) pairs ranked rightly, ties counting half. Rows are first
     counted per score, then one running total of the negatives replaces the pairs.
-    Null ``auc`` if a class is empty.
+    Every label but 1 is negative. Null ``auc`` if a class is empty.
     """
-    positive = (F.col(label) == 1).cast("bigint")
+    positive = as_flag(F.col(label) == 1).cast("bigint")
     by_score = df.groupBy(F.col(score).alias("score")).agg(
         F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
     ranked = global_running_total(by_score, F.col("score").asc(), amount="neg", name="lower")
