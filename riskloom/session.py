@@ -1,6 +1,5 @@
 """Session settings and the place for intermediate tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,19 +29,26 @@ def build_session(app_name="riskloom", master=None, **conf) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The reliable folder for intermediate tables: ``spark.checkpoint.dir``.
+    """The reliable folder for intermediate tables that all executors reach: ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a cluster
-    every executor must reach the folder, so its absence is an error there.
+    There is no fallback: a session without one must be given a folder by ``use_folder``.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-"))
-    return spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return configured
+
+
+def use_folder(spark: SparkSession, folder: str) -> None:
+    """Take ``folder`` for intermediate tables unless the session already names one."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(folder)
+
+
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder; nothing is created yet."""
+    return f"{shared_dir(spark).rstrip('/')}/riskloom/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -53,6 +59,6 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     passes column pruning and file statistics.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/riskloom/{label}-{uuid.uuid4().hex}"
+    path = shared_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
