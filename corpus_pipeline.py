@@ -4,7 +4,7 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage befor
 return the columns of ``documents``.
 """
 
-from riskloom.llm import linefreq, packing, quality, tokens
+from riskloom.llm import linefreq, packing, quality, setjoin, tokens
 from riskloom.session import materialize
 
 
@@ -18,6 +18,11 @@ def line_dedup(spark, docs, sf_dir):
     return linefreq.drop_boilerplate(docs).select(*docs.columns)
 
 
+def near_duplicate_join(spark, docs, sf_dir):
+    """One document of each group of near duplicates, that of the smallest id."""
+    return setjoin.one_of_each(docs)
+
+
 def best_fit_packing(spark, docs, sf_dir):
     """The pieces of all documents in token windows, with their ids."""
     return packing.pack_documents(docs, tokens.vocabulary("byte_bpe_50k.json"))
@@ -26,6 +31,7 @@ def best_fit_packing(spark, docs, sf_dir):
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_duplicate_join),
     ("packing", best_fit_packing),
 ]
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import linefreq, packing, quality, rans, tokens, warc
+from riskloom.llm import linefreq, packing, quality, rans, setjoin, tokens, warc
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -23,6 +23,11 @@ def best_fit_packing(spark, sf_dir):
                          "sequence_id", "offset")
 
 
+def ngram_join(spark, sf_dir):
+    """Every document's component of near duplicates."""
+    return setjoin.near_duplicates(_table(spark, sf_dir, "documents")).drop("key")
+
+
 def rans_tokens(spark, sf_dir):
     """Every document's tokens, written to coded files and read back."""
     folder = rans.write_tokens(_table(spark, sf_dir, "documents"), tokens.vocabulary(WORD_VOCABULARY), True)
@@ -45,6 +50,7 @@ def site_lines(spark, sf_dir):
 QUERIES = {
     "op1_host_quality": host_quality,
     "op3_best_fit_packing": best_fit_packing,
+    "op5_ngram_join": ngram_join,
     "op8_rans_tokens": rans_tokens,
     "op9_warc_salvage": warc_salvage,
     "op10_site_lines": site_lines,
@@ -80,6 +86,19 @@ v AS (SELECT source, (k + mean * strength) / (n + strength) AS rate FROM h, p)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   round(rate, 9) AS host_rate, NOT base_failed AND NOT coalesce(rate > 0.5, false) AS kept
 FROM b LEFT JOIN v USING (source)""",
+    "op5_ngram_join": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+t AS (SELECT doc_id, unnest(s) AS t FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * k >= 80 * (x.n + y.n - k)),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)) AS component_id
+FROM n LEFT JOIN r ON n.doc_id = r.a GROUP BY n.doc_id, n.n""",
     "op9_warc_salvage": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
