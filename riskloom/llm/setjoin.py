@@ -44,6 +44,8 @@ SPARE = 1.25
 SAMPLE_DOCS, COMMON_IN = 4096, 8
 MAX_COMMON = 400_000
 BITS = 1024
+#: Sets looked up by a broadcast of their documents' ids (24 bytes each).
+BROADCAST_SETS = 300_000
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -160,27 +162,29 @@ def _lists(arrays):
 
 
 def _indexed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key`` (null without a set), ``n`` and the signatures ``whole`` and ``deleted``."""
+    """``doc_id``, ``key`` (null without a set), ``n``, ``bits`` and the signatures ``whole`` and ``deleted``."""
     shared = _common_shingles(docs)
 
     def run(batches):
         common = shared.value
         for batch in batches:
-            keys, sizes, whole, deleted = [], [], [], []
+            keys, sizes, bits, whole, deleted = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 tokens = shingle_set(text)
                 found = signatures(tokens, common) if len(tokens) else (tokens, tokens)
                 keys.append(set_key(tokens) if len(tokens) else None)
                 sizes.append(len(tokens))
+                bits.append(parity_bits(tokens).view(np.uint64))
                 whole.append(found[0])
                 deleted.append(found[1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
-                 _lists(whole), _lists(deleted)], names=["doc_id", "key", "n", "whole", "deleted"])
+                 _lists(bits), _lists(whole), _lists(deleted)],
+                names=["doc_id", "key", "n", "bits", "whole", "deleted"])
 
     texts = docs.select(docs["doc_id"].cast("bigint"), whole_text().alias("text"))
-    return materialize(map_batches(texts, run, "doc_id bigint, key bigint, n bigint, whole array<bigint>, "
-                                               "deleted array<bigint>"), "signatures")
+    return materialize(map_batches(texts, run, "doc_id bigint, key bigint, n bigint, bits array<bigint>, "
+                                               "whole array<bigint>, deleted array<bigint>"), "signatures")
 
 
 def _members(index: DataFrame) -> DataFrame:
@@ -201,28 +205,43 @@ def _members(index: DataFrame) -> DataFrame:
     return materialize(whole.unionByName(deleted), "members")
 
 
-def _sets(docs: DataFrame, index: DataFrame, keys: DataFrame) -> DataFrame:
-    """The sets behind ``keys``, one row each: ``key``, ``n``, ``tokens`` and ``bits``."""
-    reps = index.groupBy("key").agg(F.min("doc_id").alias("_rep")).join(keys, "key")
-    reps = materialize(reps.select("_rep", F.col("key").alias("_key")), "representatives")
+def _classes(index: DataFrame) -> DataFrame:
+    """One row per set: ``key``, ``n``, ``bits``, its smallest document ``first`` and in how many rows that comes."""
+    rows = index.where("key IS NOT NULL").groupBy("key", "doc_id").agg(
+        F.count("*").alias("rows"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    return materialize(rows.groupBy("key").agg(
+        F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("first"),
+        F.min_by("rows", F.struct(F.col("doc_id").isNull(), "doc_id")).alias("rows")), "classes")
+
+
+def _sets(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
+    """The elements of the sets ``keys``, one row each: ``key`` and ``tokens``.
+
+    The documents to read again are looked up by a broadcast while they are few (the count
+    is checked), by a shuffled join otherwise.
+    """
+    reps = materialize(classes.join(keys, "key").select(F.col("first").alias("_rep"), F.col("key").alias("_key"),
+                                                        "rows"), "representatives")
+    if reps.count() <= BROADCAST_SETS:
+        reps = F.broadcast(reps)
     texts = docs.select(docs["doc_id"].cast("bigint").alias("_id"), whole_text().alias("text"))
 
     def run(batches):
         for batch in batches:
-            found = []
-            for wanted, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            keys, found, rows = [], [], []
+            for wanted, text, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens = shingle_set(text)
                 if len(tokens) and set_key(tokens) == wanted:
-                    found.append((wanted, len(tokens), tokens.tobytes(), parity_bits(tokens).tolist()))
-            if found:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(zip(*found, strict=True), (
-                        pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())), strict=True)],
-                    names=["key", "n", "tokens", "bits"])
+                    keys.append(wanted)
+                    found.append(tokens.tobytes())
+                    rows.append(n)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.binary()),
+                                              pa.array(rows, pa.int64())], names=["key", "tokens", "rows"])
 
-    chosen = texts.join(reps, F.col("_id").eqNullSafe(F.col("_rep"))).select("_key", "text")
-    return materialize(map_batches(chosen, run, "key bigint, n bigint, tokens binary, bits array<bigint>")
-                       .dropDuplicates(["key"]), "sets")
+    chosen = texts.join(reps, F.col("_id").eqNullSafe(F.col("_rep"))).select("_key", "text", "rows")
+    sets = materialize(map_batches(chosen, run, "key bigint, tokens binary, rows bigint"), "sets")
+    once = sets.where("rows = 1").select("key", "tokens")
+    return once.union(sets.where("rows > 1").select("key", "tokens").dropDuplicates(["key"]))
 
 
 def _may_link(a: str, b: str):
@@ -234,8 +253,18 @@ def _may_link(a: str, b: str):
     return (4 * n <= 5 * m) & (4 * m <= 5 * n) & (9 * differing <= n + m)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the ``pairs`` (``a``, ``b``) that link, by their whole sets."""
+def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the ``pairs`` (``a``, ``b``) that may link by size and bitmap."""
+    x = classes.select(F.col("key").alias("a"), F.struct("n", "bits").alias("x"))
+    y = classes.select(F.col("key").alias("b"), F.struct("n", "bits").alias("y"))
+    return materialize(pairs.join(x, "a").join(y, "b").where(_may_link("x", "y")).select("a", "b"), "pairs")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of the stored ``pairs`` that link, by their whole sets."""
+    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    sets = _sets(docs, classes, keys)
+
     def run(batches):
         for batch in batches:
             keep = []
@@ -246,10 +275,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(100 * both >= 80 * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    x = sets.select(F.col("key").alias("a"), F.struct("n", "tokens", "bits").alias("x"))
-    y = sets.select(F.col("key").alias("b"), F.struct("n", "tokens", "bits").alias("y"))
-    found = pairs.join(x, "a").join(y, "b").where(_may_link("x", "y")).select(
-        "a", "b", F.col("x.tokens").alias("x"), F.col("y.tokens").alias("y"))
+    x = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x"))
+    y = sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
+    found = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
     return materialize(map_batches(found, run, "a bigint, b bigint"), "links")
 
 
@@ -257,7 +285,7 @@ def _ordered_pairs(a, b):
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _still_apart(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _still_apart(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs that share a signature, lie in different components and may link by size and bitmap.
 
     In each group the largest component stays aside: pairs are those with a member outside it.
@@ -269,7 +297,7 @@ def _still_apart(members: DataFrame, labels: DataFrame, sets: DataFrame) -> Data
     main = placed.groupBy("sig", "label").count().groupBy("sig").agg(
         F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("parts"))
     main = materialize(main.where("parts > 1").select("sig", "main"), "apart")
-    info = sets.select("key", F.struct("n", "bits").alias("s"))
+    info = classes.select("key", F.struct("n", "bits").alias("s"))
     rows = materialize(placed.join(main, "sig").join(info, "key"), "apart")
     a = rows.where("label <> main").select("sig", F.col("key").alias("k1"), F.col("label").alias("l1"),
                                            F.col("s").alias("x"))
@@ -283,16 +311,15 @@ def _still_apart(members: DataFrame, labels: DataFrame, sets: DataFrame) -> Data
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``, the smallest ``doc_id`` reachable by links; also ``key``."""
     index = _indexed(docs)
-    members = _members(index)
-    sets = _sets(docs, index, members.select("key").distinct())
+    members, classes = _members(index), _classes(index)
     pairs = (members.select(*_ordered_pairs("key", "lo")).union(members.select(*_ordered_pairs("key", "hi")))
              .where("a <> b").distinct())
-    links = _verified(materialize(pairs, "pairs"), sets)
+    links = _verified(_plausible(pairs, classes), docs, classes)
     labels = components(links)
-    more = _verified(materialize(_still_apart(members, labels, sets), "pairs"), sets)
+    more = _verified(materialize(_still_apart(members, labels, classes), "pairs"), docs, classes)
     if not more.isEmpty():
         labels = components(links.union(more))
-    first = index.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
+    first = classes.select("key", "first")
     named = first.join(labels.select(F.col("node").alias("key"), "label"), "key", "left").select(
         "key", "first", F.coalesce("label", "key").alias("label"))
     named = materialize(named, "named")
