@@ -202,7 +202,13 @@ def _members(index: DataFrame) -> DataFrame:
     leaders = materialize(rows["deleted"].groupBy("sig").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
                           .where("lo <> hi"), "leaders")
     deleted = rows["deleted"].join(leaders, "sig").distinct()
-    return materialize(whole.unionByName(deleted), "members")
+    members = materialize(whole.unionByName(deleted), "members")
+    # Near copies share hundreds of signatures. Of signatures with the same members one says it all;
+    # members are compared by count, ends and two 64-bit sums without carry.
+    same = members.groupBy("sig").agg(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("n"), F.bit_xor("key").alias("x"),
+        F.bit_xor(F.xxhash64("key")).alias("y")).groupBy("lo", "hi", "n", "x", "y").agg(F.min("sig").alias("sig"))
+    return materialize(members.join(materialize(same.select("sig"), "groups"), "sig"), "members")
 
 
 def _classes(index: DataFrame) -> DataFrame:
