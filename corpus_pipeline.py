@@ -4,7 +4,7 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage befor
 return the columns of ``documents``.
 """
 
-from riskloom.llm import linefreq, packing, quality, setjoin, tokens
+from riskloom.llm import decontam, linefreq, packing, quality, setjoin, tokens
 from riskloom.session import materialize
 
 
@@ -23,6 +23,11 @@ def near_duplicate_join(spark, docs, sf_dir):
     return setjoin.one_of_each(docs)
 
 
+def benchmark_decontamination(spark, docs, sf_dir):
+    """Documents into which no benchmark item leaks."""
+    return decontam.remove_leaking(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def best_fit_packing(spark, docs, sf_dir):
     """The pieces of all documents in token windows, with their ids."""
     return packing.pack_documents(docs, tokens.vocabulary("byte_bpe_50k.json"))
@@ -32,6 +37,7 @@ STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
     ("n-gram Jaccard join", near_duplicate_join),
+    ("benchmark decontamination", benchmark_decontamination),
     ("packing", best_fit_packing),
 ]
 

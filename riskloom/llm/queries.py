@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import linefreq, packing, quality, rans, setjoin, tokens, warc
+from riskloom.llm import decontam, linefreq, packing, preference, quality, rans, setjoin, surrogate, tokens, warc
+from riskloom.session import materialize
 
+# Whoever keeps the key can link a surrogate to its entity; a deployment passes its own.
+SURROGATE_KEY = "synthetic tables"
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
@@ -28,6 +31,27 @@ def ngram_join(spark, sf_dir):
     return setjoin.near_duplicates(_table(spark, sf_dir, "documents")).drop("key")
 
 
+def surrogates(spark, sf_dir):
+    """Every document with surrogates for its personal data."""
+    return surrogate.replace_personal_data(_table(spark, sf_dir, "documents"), SURROGATE_KEY).select(
+        "doc_id", "text", "n_entities")
+
+
+def decontamination(spark, sf_dir):
+    """Every document with the benchmark items that leak into it."""
+    return decontam.mark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
+def preferences(spark, sf_dir):
+    """Preference pairs of neighbouring conversations; spans as text, ``start-end`` each."""
+    convs = materialize(preference.conversations(_table(spark, sf_dir, "conversations")), "conversations")
+    pairs = preference.format_preferences(convs, preference.neighbour_pairs(convs))
+    for name in ("chosen_spans", "rejected_spans"):
+        pairs = pairs.withColumn(name, F.array_join(F.transform(name, lambda s: F.concat_ws("-", s["start"].cast(
+            "string"), s["end"].cast("string"))), ","))
+    return pairs
+
+
 def rans_tokens(spark, sf_dir):
     """Every document's tokens, written to coded files and read back."""
     folder = rans.write_tokens(_table(spark, sf_dir, "documents"), tokens.vocabulary(WORD_VOCABULARY), True)
@@ -51,6 +75,9 @@ QUERIES = {
     "op1_host_quality": host_quality,
     "op3_best_fit_packing": best_fit_packing,
     "op5_ngram_join": ngram_join,
+    "op4_surrogates": surrogates,
+    "op6_decontamination": decontamination,
+    "op7_preferences": preferences,
     "op8_rans_tokens": rans_tokens,
     "op9_warc_salvage": warc_salvage,
     "op10_site_lines": site_lines,
@@ -58,6 +85,20 @@ QUERIES = {
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
+
+
+def _rendered(turns):
+    return (f"coalesce(array_to_string(list_transform({turns}, lambda x: '<|' || x.role || '|>' || chr(10) || x.text"
+            f" || '<|end|>' || chr(10)), ''), '')")
+
+
+def _span_text(turns):
+    """Each assistant turn's place: after it lie its text and an end mark of 8 characters, before that a head of 5 and the role."""
+    end = (f"CAST(list_sum(list_transform({turns}[1:i], lambda y: length(y.role) + length(y.text) + 13)) AS BIGINT)")
+    return (f"coalesce(array_to_string(list_transform(list_filter(range(1, len({turns}) + 1), lambda i: {turns}[i].role = 'assistant'),"
+            f" lambda i: ({end} - length({turns}[i].text) - 8) || '-' || {end}), ','), '')")
+
+
 SQL = {
     "op1_host_quality": rf"""
 WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
@@ -99,6 +140,24 @@ e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE
 r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
 SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)) AS component_id
 FROM n LEFT JOIN r ON n.doc_id = r.a GROUP BY n.doc_id, n.n""",
+    "op7_preferences": f"""
+WITH c AS (SELECT conv_id, list(struct_pack(role := r, text := x) ORDER BY turn, r, x) AS t
+    FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+          WHERE conv_id IS NOT NULL) GROUP BY conv_id),
+s AS (SELECT *, coalesce(list_sum(list_transform(list_filter(t, lambda x: x.role = 'assistant'),
+        lambda x: length(x.text))), 0) AS size FROM c),
+o AS (SELECT *, row_number() OVER w AS place, lag(conv_id) OVER w AS before, lag(t) OVER w AS before_t,
+        lag(size) OVER w AS before_size FROM s
+      WINDOW w AS (PARTITION BY conv_id // 1000 ORDER BY t[1].role, t[1].text, conv_id)),
+p AS (SELECT before_size >= size AS keep, * FROM o WHERE place % 2 = 0),
+q AS (SELECT CASE WHEN keep THEN before ELSE conv_id END AS chosen_id,
+        CASE WHEN keep THEN conv_id ELSE before END AS rejected_id,
+        CASE WHEN keep THEN before_t ELSE t END AS a, CASE WHEN keep THEN t ELSE before_t END AS b FROM p),
+n AS (SELECT *, len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[1:i] = b[1:i])) AS k FROM q),
+r AS (SELECT chosen_id, rejected_id, k, a[1:k] AS pre, a[k + 1:] AS a, b[k + 1:] AS b FROM n)
+SELECT chosen_id, rejected_id, CAST(k AS INTEGER) AS prefix_turns,
+  {_rendered("pre")} AS prompt, {_rendered("a")} AS chosen, {_span_text("a")} AS chosen_spans,
+  {_rendered("b")} AS rejected, {_span_text("b")} AS rejected_spans FROM r""",
     "op9_warc_salvage": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
