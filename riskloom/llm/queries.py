@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, linefreq, packing, preference, quality, rans, setjoin, surrogate, tokens, warc
+from riskloom.llm import decontam, linefreq, packing, preference, quality, rans, setjoin, suffix, surrogate, tokens, warc
 from riskloom.session import materialize
 
 # Whoever keeps the key can link a surrogate to its entity; a deployment passes its own.
@@ -19,6 +19,12 @@ def host_quality(spark, sf_dir):
     return quality.judge_documents(_table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def suffix_dedup(spark, sf_dir):
+    """Every document without the strings that earlier documents hold."""
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def best_fit_packing(spark, sf_dir):
     """Pieces of every document and where they stand."""
     pieces = packing.pack_documents(_table(spark, sf_dir, "documents"), tokens.vocabulary(BYTE_VOCABULARY))
@@ -73,6 +79,7 @@ def site_lines(spark, sf_dir):
 
 QUERIES = {
     "op1_host_quality": host_quality,
+    "op2_suffix_dedup": suffix_dedup,
     "op3_best_fit_packing": best_fit_packing,
     "op5_ngram_join": ngram_join,
     "op4_surrogates": surrogates,
