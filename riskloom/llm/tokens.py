@@ -1,100 +1,127 @@
 """Token ids of whole texts by the tokenizers library, remembering the ids of chunks."""
 
 import re
+import unicodedata
 
 import numpy as np
 from tokenizers import Tokenizer
 
 END_ID = 1
 #: Chunks remembered by one worker; beyond it the memory is emptied and filled anew.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 _BORDER = re.compile(r"(?<=\S)([ \n])(?=\S)")
+_OTHER_BLANK = re.compile(r"[^\S \n]")
+
+
+def _plain_blanks(text: str) -> bool:
+    """Whether all white space is a single blank or line end between two other characters."""
+    return bool(text) and not (text[0].isspace() or text[-1].isspace() or "  " in text or "\n\n" in text
+                               or " \n" in text or "\n " in text or _OTHER_BLANK.search(text))
+
+
+def _byte_letters():
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else the next one from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
 class ChunkEncoder:
     """Gives the ids of a text as little-endian unsigned 32-bit bytes.
 
     A tokenizer that first splits at white space gives a text the ids of its chunks one
-    after the other. Chunks are encoded by the library once and looked up afterwards.
+    after the other. Chunks are encoded by the library once and looked up afterwards; a word of letters
+    goes straight to the library's merging model, anything else through the whole tokenizer.
 
-    ``blanks_dropped``: white space only separates (word-end vocabularies), so every blank and
-    line end is a border. Otherwise (byte-level vocabularies) a blank belongs to the
+    ``blanks_dropped``: white space only separates (word-end vocabularies, which also lower the case), so
+    every blank and line end is a border. Otherwise (byte-level vocabularies) a blank belongs to the
     chunk after it, a line end is a token of its own, and only a single one
-    between two other characters is a border; anything else stays within a chunk.
+    between two other characters is a border; a text with other blanks is cut at such borders only.
     """
 
     def __init__(self, path: str, blanks_dropped: bool):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         self.blanks_dropped = blanks_dropped
+        self.letters = _byte_letters()
         self.first, self.later = {}, {}
 
-    def _library(self, chunks: list) -> list:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _learn(self, memory: dict, chunks, before="") -> None:
-        if len(memory) > REMEMBERED:
-            memory.clear()
-        chunks = list(dict.fromkeys(chunks))
-        memory.update(zip(chunks, self._library([before + c for c in chunks]), strict=True))
+    def _library(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(found.ids, "<u4").tobytes()
+
+    def _word(self, word: str, before: str) -> bytes:
+        """Ids of a word, with the blank before it if there is one."""
+        if not word.isalpha() or not unicodedata.is_normalized("NFC", word):
+            return self._library(before + word)
+        if self.blanks_dropped:
+            word = "".join([c.lower() for c in word])
+            if not word.isalpha():
+                return self._library(before + word)
+        raw = (before + word).encode()
+        return np.array([t.id for t in self.model.tokenize("".join([self.letters[b] for b in raw]))], "<u4").tobytes()
+
+    def _learn(self, memory: dict, chunk: str, before: str) -> bytes:
+        """Ids of a chunk. Between a letter and a stop there is always a border."""
+        body = chunk.rstrip(".,;:!?")
+        tail = chunk[len(body):]
+        if body and tail and body[-1].isalpha():
+            ids = memory.get(body)
+            if ids is None:
+                ids = memory[body] = self._word(body, before)
+            stop = self.first.get(tail)
+            if stop is None:
+                stop = self.first[tail] = self._library(tail)
+            ids += stop
+        else:
+            ids = self._word(chunk, before)
+        memory[chunk] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
+        if len(self.first) + len(self.later) > REMEMBERED:
+            self.first.clear()
+            self.later.clear()
         return self._words(text) if self.blanks_dropped else self._lines(text)
 
     def _words(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
+        chunks, memory = text.replace("\n", " ").split(" "), self.first
         try:
-            return b"".join(map(self.first.__getitem__, chunks))
+            return b"".join(map(memory.__getitem__, chunks))
         except KeyError:
-            missing = [c for c in chunks if c not in self.first]
-            if len(self.first) + len(missing) > REMEMBERED:
-                missing = chunks
-            self._learn(self.first, missing)
-            return b"".join(map(self.first.__getitem__, chunks))
+            for chunk in chunks:
+                if chunk not in memory:
+                    self._learn(memory, chunk, "")
+            return b"".join(map(memory.__getitem__, chunks))
 
     def _lines(self, text: str) -> bytes:
-        out, line_end = [], self._line_end()
-        try:
-            for i, line in enumerate(text.split("\n")):
-                chunks = line.split(" ")
-                if i:
-                    out.append(line_end)
-                out.append(self.first[chunks[0]])
-                out.extend(map(self.later.__getitem__, chunks[1:]))
-            return b"".join(out)
-        except KeyError:
+        if not _plain_blanks(text):
             return self._bordered(text)
-
-    def _line_end(self) -> bytes:
-        if "\n" not in self.first:
-            self._learn(self.first, ["\n"])
-        return self.first["\n"]
+        out, first, later = [], self.first, self.later
+        line_end = first.get("\n")
+        if line_end is None:
+            line_end = first["\n"] = self._library("\n")
+        for i, line in enumerate(text.split("\n")):
+            head, *chunks = line.split(" ")
+            if i:
+                out.append(line_end)
+            out.append(first.get(head) or self._learn(first, head, ""))
+            try:
+                out.append(b"".join(map(later.__getitem__, chunks)))
+            except KeyError:
+                for chunk in chunks:
+                    if chunk not in later:
+                        self._learn(later, chunk, " ")
+                out.append(b"".join(map(later.__getitem__, chunks)))
+        return b"".join(out)
 
     def _bordered(self, text: str) -> bytes:
-        """The same by explicit borders, learning what is new. Chunks with odd white space stay whole."""
+        """A text with blanks in a row or at its ends: only single ones between two other characters are borders."""
         parts = _BORDER.split(text)
-        first = [parts[0]] + [c for s, c in zip(parts[1::2], parts[2::2], strict=True) if s == "\n"]
-        later = [c for s, c in zip(parts[1::2], parts[2::2], strict=True) if s == " "]
-        for memory, chunks, before in ((self.first, first, ""), (self.later, later, " ")):
-            missing = [c for c in chunks if c not in memory]
-            if len(memory) + len(missing) > REMEMBERED:
-                missing = chunks
-            if missing:
-                self._learn(memory, missing, before)
-        line_end = self._line_end()
-        out = [self.first[parts[0]]]
+        out = [self._library(parts[0])]
         for separator, chunk in zip(parts[1::2], parts[2::2], strict=True):
-            if separator == "\n":
-                out += (line_end, self.first[chunk])
-            else:
-                out.append(self.later[chunk])
-        odd = [c for c in set(first + later) if not c or c[:1].isspace() or c[-1:].isspace()
-               or " " in c or "\n" in c]
-        for chunk in odd:  # the quick way must not take them for plain chunks
-            if chunk != "\n":
-                self.first.pop(chunk, None)
-                self.later.pop(chunk, None)
+            out += (self._library("\n"), self._library(chunk)) if separator == "\n" else (self._library(" " + chunk),)
         return b"".join(out)
 
 
