@@ -5,8 +5,8 @@ within a block many lanes are interleaved over one word stream, so that a step c
 every lane at once. A block holds checkpoints (lane states and stream position), between which
 segments can be decoded on their own, and a checksum for each segment and for the block.
 
-Files are Parquet tables of blocks (``part``, ``block``, ``n_tokens``, ``payload``) in ascending
-``doc_id`` order, beside the frequency table.
+Files are Parquet tables of blocks (``part``, ``first``, ``n_tokens``, ``payload``) in ascending
+``doc_id`` order, beside the frequency table; ``first`` counts the tokens before the block in its part.
 
 Defined cases: a null or empty text is the end id alone. A null ``doc_id`` comes first. Rows with one
 ``doc_id`` are ordered by a hash of their ids, then by the ids. Other columns are dropped. An
@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from riskloom.llm.common import map_batches, whole_text
 from riskloom.llm.tokens import END_ID, encoder
@@ -159,14 +160,20 @@ class Block:
         return np.concatenate([self.segment(k) for k in range(self.n_segments)])
 
 
+def _stored_type(path: str) -> str:
+    """Ids on their way to the files: 16 bits if the vocabulary allows."""
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def tokenized(docs: DataFrame, path: str, blanks_dropped: bool) -> DataFrame:
-    """``doc_id`` and ``ids`` (little-endian unsigned 32-bit, ending with the end id)."""
+    """``doc_id`` and ``ids`` (unsigned little-endian, ending with the end id)."""
+    kind = _stored_type(path)
 
     def run(batches):
         encode = encoder(path, blanks_dropped).encode
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            ids = [encode(t) + end for t in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(encode(t) + end, "<u4").astype(kind).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())],
                                              names=["doc_id", "ids"])
 
@@ -174,12 +181,12 @@ def tokenized(docs: DataFrame, path: str, blanks_dropped: bool) -> DataFrame:
                        "doc_id bigint, ids binary")
 
 
-def _id_counts(tokens: DataFrame) -> DataFrame:
+def _id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     def run(batches):
         counts = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch.column(0).to_pylist():
-                new = np.bincount(np.frombuffer(ids, "<u4"), minlength=len(counts))
+                new = np.bincount(np.frombuffer(ids, kind), minlength=len(counts))
                 new[:len(counts)] += counts
                 counts = new
         used = np.flatnonzero(counts)
@@ -193,37 +200,38 @@ def write_tokens(docs: DataFrame, path: str, blanks_dropped: bool) -> str:
     """Write the coded files; gives their folder. The frequency table, at most as long as the vocabulary, is broadcast."""
     spark = docs.sparkSession
     folder = shared_path(spark, "tokens")
+    kind = _stored_type(path)
     tokens = materialize(tokenized(docs, path, blanks_dropped), "ids")
-    _id_counts(tokens).write.parquet(f"{folder}/model")
+    _id_counts(tokens, kind).write.parquet(f"{folder}/model")
     shared = spark.sparkContext.broadcast(_model_rows(spark, folder))
 
     def run(batches):
         from pyspark import TaskContext
-        part, model = TaskContext.get().partitionId(), Model(*shared.value)
-        docs_in, lengths, ids, size, number = [], [], [], 0, 0
+        part, model, width = TaskContext.get().partitionId(), Model(*shared.value), np.dtype(kind).itemsize
+        docs_in, lengths, ids, size, first = [], [], [], 0, 0
 
         def block():
-            payload = encode_block(model, docs_in, lengths, np.frombuffer(b"".join(ids), "<u4"))
+            payload = encode_block(model, docs_in, lengths, np.frombuffer(b"".join(ids), kind).astype("<u4"))
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()),
+                [pa.array([part], pa.int32()), pa.array([first], pa.int64()),
                  pa.array([size], pa.int64()), pa.array([payload], pa.binary())],
-                names=["part", "block", "n_tokens", "payload"])
+                names=["part", "first", "n_tokens", "payload"])
 
         for batch in batches:
             for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 docs_in.append(doc_id)
                 ids.append(raw)
-                lengths.append(len(raw) // 4)
-                size += len(raw) // 4
+                lengths.append(len(raw) // width)
+                size += lengths[-1]
                 if size >= BLOCK_TOKENS:
                     yield block()
-                    docs_in, lengths, ids, size, number = [], [], [], 0, number + 1
+                    docs_in, lengths, ids, size, first = [], [], [], 0, first + size
         if ids:
             yield block()
 
     ordered = (tokens.withColumn("tie", F.xxhash64("ids")).repartitionByRange("doc_id", "tie")
                .sortWithinPartitions("doc_id", "tie", "ids").select("doc_id", "ids"))
-    map_batches(ordered, run, "part int, block int, n_tokens bigint, payload binary").write.parquet(
+    map_batches(ordered, run, "part int, first bigint, n_tokens bigint, payload binary").write.parquet(
         f"{folder}/blocks")
     return folder
 
@@ -237,18 +245,14 @@ def _model_rows(spark, folder: str):
 def read_tokens(spark, folder: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids``, from the files.
 
-    Blocks are decoded apart from each other. Their starts come from the token counts of
-    the parts, one row per written part.
+    Blocks are decoded apart from each other. What lies before a part comes from the token counts of the
+    parts; these are one row per written part, which bounds their window and broadcast.
     """
     shared = spark.sparkContext.broadcast(_model_rows(spark, folder))
     blocks = spark.read.parquet(f"{folder}/blocks")
-    sizes = blocks.groupBy("part", "block").agg(F.sum("n_tokens").alias("n"))
-    parts = sizes.groupBy("part").agg(F.sum("n").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    within = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (sizes.withColumn("inner", F.coalesce(F.sum("n").over(within), F.lit(0)))
-              .join(parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("outer")), "part")
-              .select("part", "block", (F.col("inner") + F.col("outer")).alias("first")))
+    parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("outer"))
 
     def run(batches):
         model = Model(*shared.value)
@@ -263,5 +267,5 @@ def read_tokens(spark, folder: str) -> DataFrame:
                      pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "start", "n_tokens", "ids"])
 
-    return map_batches(blocks.join(starts, ["part", "block"]).select("first", "payload"), run,
+    return map_batches(blocks.join(F.broadcast(parts), "part").select(F.col("first") + F.col("outer"), "payload"), run,
                        "doc_id bigint, start bigint, n_tokens bigint, ids binary")

@@ -1,9 +1,9 @@
 """Token ids of whole texts by the tokenizers library, remembering the ids of chunks."""
 
 import re
+import struct
 import unicodedata
 
-import numpy as np
 from tokenizers import Tokenizer
 
 END_ID = 1
@@ -19,6 +19,10 @@ def _plain_blanks(text: str) -> bool:
                                or " \n" in text or "\n " in text or _OTHER_BLANK.search(text))
 
 
+def _bytes_of(ids) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _byte_letters():
     """The letter that byte-level vocabularies write for each byte: itself if printable, else the next one from 256 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -49,10 +53,13 @@ class ChunkEncoder:
 
     def _library(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
-        return np.array(found.ids, "<u4").tobytes()
+        return _bytes_of(found.ids)
 
     def _word(self, word: str, before: str) -> bytes:
         """Ids of a word, with the blank before it if there is one."""
+        if word.isascii() and word.isalpha():
+            word = word.lower() if self.blanks_dropped else self.letters[32] + word if before else word
+            return _bytes_of([t.id for t in self.model.tokenize(word)])
         if not word.isalpha() or not unicodedata.is_normalized("NFC", word):
             return self._library(before + word)
         if self.blanks_dropped:
@@ -60,7 +67,7 @@ class ChunkEncoder:
             if not word.isalpha():
                 return self._library(before + word)
         raw = (before + word).encode()
-        return np.array([t.id for t in self.model.tokenize("".join([self.letters[b] for b in raw]))], "<u4").tobytes()
+        return _bytes_of([t.id for t in self.model.tokenize("".join([self.letters[b] for b in raw]))])
 
     def _learn(self, memory: dict, chunk: str, before: str) -> bytes:
         """Ids of a chunk. Between a letter and a stop there is always a border."""
