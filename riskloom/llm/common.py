@@ -43,6 +43,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def without(names, replaced) -> list:
+    """``names`` but for those that a result column replaces, whatever their case."""
+    replaced = {r.lower() for r in replaced}
+    return [n for n in names if n.lower() not in replaced]
+
+
 def whole_text(column="text"):
     """The text, a null one being empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import map_batches, whole_text
+from riskloom.llm.common import map_batches, whole_text, without
 
 K1, B = 1.2, 0.75
 #: Share of an item's own BM25 score that a passage must reach.
@@ -185,7 +185,7 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, carry) -> DataFrame:
                      batch.column(width + 2)], names=batch.schema.names)
 
         result = map_batches(result, run, schema)
-    names = [c for c in carry if c not in ("items", "overlap")]
+    names = without(carry, ("items", "overlap"))
     return result.select(*names, F.col("__items").alias("items"), F.col("__overlap").alias("overlap"))
 
 

@@ -16,7 +16,7 @@ lines. Repeated rows are separate pages. Columns named like a result column are
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import fresh
+from riskloom.llm.common import fresh, without
 from riskloom.session import materialize
 
 #: Share of a host's pages above which a line is boilerplate.
@@ -59,7 +59,7 @@ def drop_boilerplate(pages: DataFrame, host="source", text="text", **rules) -> D
     size = F.coalesce(F.size(lines), F.lit(0)).cast("bigint")
     dropped = F.when(F.col(drop).isNull() | F.col(text).isNull(), F.lit(0)).otherwise(
         F.size(lines) - F.size(kept)).cast("bigint")
-    others = [F.col(f"`{c}`") for c in pages.columns if c not in (text, "n_lines", "n_dropped")]
+    others = [F.col(f"`{c}`") for c in without(pages.columns, (text, "n_lines", "n_dropped"))]
     return joined.select(*others, cleaned.alias(text),
                          F.when(F.col(text).isNull(), F.lit(0)).otherwise(size).cast("bigint").alias("n_lines"),
                          dropped.alias("n_dropped"))

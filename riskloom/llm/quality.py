@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import map_batches
+from riskloom.llm.common import map_batches, without
 from riskloom.session import materialize
 
 MIN_WORDS = 50
@@ -27,6 +27,7 @@ MAX_HOST_RATE = 0.5
 PRIOR_STRENGTH = (2.0, 10_000.0)
 
 SIGNALS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+RESULTS = (*SIGNALS, "base_failed", "host_rate", "host_rejected", "kept")
 _SYMBOLS = b"#*$%&|<>"
 _BLANKS = b"\x20\t\n\x0b\x0c\r"
 
@@ -62,7 +63,7 @@ def measure(text: str | None) -> tuple:
 
 def document_signals(docs: DataFrame, carry) -> DataFrame:
     """The columns ``carry`` of each document with its signals and ``base_failed``."""
-    carry = [c for c in carry if c not in SIGNALS + ("base_failed", "kept")]
+    carry = without(carry, RESULTS)
     source = docs.select(*carry, F.col("text").alias("__text"))
     schema = T.StructType(source.schema.fields[:-1]
                           + [T.StructField(name, T.LongType()) for name in SIGNALS])
@@ -96,14 +97,14 @@ def host_verdicts(signals: DataFrame, host="source") -> DataFrame:
     low, high = PRIOR_STRENGTH
     strength = F.when(spread > 1e-12, F.least(F.lit(high), F.greatest(
         F.lit(low), mean * (1 - mean) / spread - 1))).otherwise(F.lit(high))
-    prior = whole.select("mean", strength.alias("strength"))
-    shrunk = ((F.col("host_failed") + F.col("mean") * F.col("strength"))
-              / (F.col("host_docs") + F.col("strength")))
-    # One row, so the join on a constant only attaches two numbers to each host.
-    return (hosts.withColumn("_one", F.lit(1))
-            .join(F.broadcast(prior.withColumn("_one", F.lit(1))), "_one")
-            .select("host", "host_docs", "host_failed", shrunk.alias("host_rate"),
-                    (shrunk > MAX_HOST_RATE).alias("host_rejected")))
+    # Two numbers, read by the driver and written into the expression.
+    prior = whole.select("mean", strength.alias("strength")).first()
+    if prior["mean"] is None:
+        prior = {"mean": 0.0, "strength": high}
+    shrunk = ((F.col("host_failed") + F.lit(prior["mean"] * prior["strength"]))
+              / (F.col("host_docs") + F.lit(prior["strength"])))
+    return hosts.select("host", "host_docs", "host_failed", shrunk.alias("host_rate"),
+                        (shrunk > MAX_HOST_RATE).alias("host_rejected"))
 
 
 def judge_documents(docs: DataFrame, carry, host="source") -> DataFrame:
@@ -116,10 +117,10 @@ def judge_documents(docs: DataFrame, carry, host="source") -> DataFrame:
     measured = materialize(document_signals(docs, wanted), "signals")
     verdicts = materialize(host_verdicts(measured, host), "hosts").select(
         F.col("host").alias("_host"), "host_rate", "host_rejected")
-    joined = measured.drop("host_rate", "host_rejected").join(
+    joined = measured.join(
         verdicts, F.col(host) == F.col("_host"), "left")
     kept = ~F.col("base_failed") & ~F.coalesce(F.col("host_rejected"), F.lit(False))
-    return joined.select(*[c for c in carry if c in measured.columns], *SIGNALS, "base_failed",
+    return joined.select(*without(carry, RESULTS), *SIGNALS, "base_failed",
                          F.round("host_rate", 9).alias("host_rate"), kept.alias("kept"))
 
 

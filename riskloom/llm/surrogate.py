@@ -14,7 +14,7 @@ through. Columns named like a result column are replaced. An empty table gives a
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import fresh
+from riskloom.llm.common import fresh, without
 from riskloom.session import materialize
 
 #: Patterns of the entity types, tried in this order at every place of a text.
@@ -207,6 +207,6 @@ def replace_personal_data(docs: DataFrame, key: str, text="text") -> DataFrame:
     pieces = F.split(F.col(text), whole_pattern(), -1)
     merged = F.array_join(F.zip_with(pieces, F.col(found), lambda p, s: F.concat(
         p, F.coalesce(s["surrogate"], F.lit("")))), "")
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "n_entities")]
+    kept = [F.col(f"`{c}`") for c in without(docs.columns, (text, "n_entities"))]
     return joined.select(*kept, F.when(F.col(found).isNull(), F.col(text)).otherwise(merged).alias(text),
                          F.coalesce(F.size(found), F.lit(0)).cast("bigint").alias("n_entities"))
