@@ -704,7 +704,7 @@ SELECT CAST(id AS STRING) AS id, NULLIF(amt_order, 'null') AS amt_order, type_pa
 def _(spark, sf_dir):
     from riskloom.sources.tables import read_table
     path = _scratch(spark, "orders-csv")
-    load(spark, sf_dir, "order_info").write.csv(path, header=True)
+    load(spark, sf_dir, "order_info").write.csv(path, header=True, quote='"', escape='"')
     return read_table(spark, path, "order_info").drop("no_order_md5", "product_id_md5")
 
 
@@ -716,7 +716,7 @@ def _(spark, sf_dir):
     from riskloom.sources.tables import read_tables
     root = _scratch(spark, "tables")
     for name, df in w.tables(spark, sf_dir).items():
-        df.write.csv(f"{root}/train_{name}.csv", header=True)
+        df.write.csv(f"{root}/train_{name}.csv", header=True, quote='"', escape='"')
     t = read_tables(spark, root, "train")
     return join_features(t["target"].select("id", "target"), [
         t["credit_info"].select("id", "quota"), t["user_info"].select("id", "sex"),
@@ -796,7 +796,7 @@ def _(spark, sf_dir):
     from riskloom.operators import models as m
     matrix, names = _model_tables(spark, sf_dir, _wide)
     train, held = _splits(matrix)
-    return m.fit_and_score(train, held, names, m.ridge_logistic(train, iterations=50))
+    return m.fit_and_score(train, held, names, m.ridge_logistic(train))
 
 
 @query("gbt_selected_scores")
@@ -816,15 +816,14 @@ def _(spark, sf_dir):
     from riskloom.plans import scoring
     dense, dense_names = _model_tables(spark, sf_dir, _wide)
     sparse, _names = _model_tables(spark, sf_dir, _compact)
-    months = {"train_months": w.TRAIN_MONTHS, "month": w.VALIDATION_MONTH}
-    _auc, trees = scoring.wide_trees(
+    trees = scoring.wide_trees(
         dense, dense.drop("target"), [c for c in vocab.TREE_FEATURES if c in dense_names],
-        m.with_rounds(m.SELECTED_TREES, 3), **months)
-    _auc, linear = scoring.wide_linear(
+        m.with_rounds(m.SELECTED_TREES, 3))
+    linear = scoring.wide_linear(
         dense, dense.drop("target"), [c for c in vocab.LINEAR_FEATURES if c in dense_names],
-        iterations=20, **months)
-    _auc, compact_scores = scoring.compact_trees(
-        sparse, sparse.drop("target"), m.with_rounds(m.COMPACT_TREES, 3), w.VALIDATION_MONTH)
+        iterations=500)
+    compact_scores = scoring.compact_trees(
+        sparse, sparse.drop("target"), m.with_rounds(m.COMPACT_TREES, 3))
     return scoring.final_scores(compact_scores, linear, trees)
 
 
@@ -844,7 +843,7 @@ def _(spark, sf_dir):
     matrix, _names = _model_tables(spark, sf_dir, _wide)
     train, held = _splits(matrix)
     listed = [c for c in vocab.LINEAR_FEATURES if c in matrix.columns]
-    scored = m.fit_and_score(train, held, listed, m.ridge_logistic(train, iterations=50))
+    scored = m.fit_and_score(train, held, listed, m.ridge_logistic(train))
     return exact_auc(scored, score="PROB")
 
 
@@ -870,7 +869,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     from riskloom.operators import models as m
     matrix, names = _model_tables(spark, sf_dir, _wide)
-    return ordering.top_features(m.forest_scores(matrix, names, trees=20), TOP_K)
+    return ordering.top_features(m.forest_scores(matrix, names), TOP_K)
 
 
 @query("select_linear_elimination")

@@ -1,7 +1,7 @@
 """Aggregate expressions for one ``groupBy(key).agg(...)``.
 
-All of them keep fixed-width state per group, so Spark uses hash aggregation with
-map-side combine and one hot key never gathers its rows or values in one place.
+All of them keep fixed-width state per group, so Spark combines them on the
+map side and one hot key never gathers its rows or values in one place.
 """
 
 from pyspark.sql import Column

@@ -60,8 +60,8 @@ def months_between(df: DataFrame, first, last, column="appl_sbm_tm") -> DataFram
 
 
 def split_off_month(df: DataFrame, month, column="appl_sbm_tm"):
-    """``(every other month, the given month)``."""
+    """``(every other month, the given month)``; rows without a month are in the first part."""
     inside = months_between(df, month, month, column)
     start = f"{month[:4]}-{month[4:]}"
-    outside = df.filter(~F.startswith(F.col(column), F.lit(start)))
+    outside = df.filter(~F.coalesce(F.startswith(F.col(column), F.lit(start)), F.lit(False)))
     return outside, inside

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.schemas import ONE_ROW_PER_ID
+
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Drop full duplicates (null equals null).
@@ -20,8 +22,8 @@ def first_per_key(df: DataFrame, key="id", order_by=None, keep=None) -> DataFram
     """The first row of every key under a declared order (nulls first).
 
     Files have no row order in Spark, so the order is part of the call: by default all
-    other columns, ascending. A ``min`` over a struct keeps one candidate per key and
-    task; a window would pull all rows of a hot key into one task.
+    other columns, ascending. A ``min`` over a struct (a sort aggregate in Spark) keeps one candidate per
+    key and task; a window would pull all rows of a hot key into one task.
     """
     keep = list(keep or [c for c in df.columns if c != key])
     order_by = list(order_by or [c for c in df.columns if c != key])
@@ -31,6 +33,14 @@ def first_per_key(df: DataFrame, key="id", order_by=None, keep=None) -> DataFram
               .select(key, *[F.col("first_row").getField(c).alias(c) for c in keep]))
 
 
+def require_unique_tables(tables: dict, spine: DataFrame) -> None:
+    """Fail if an id repeats in the spine or in a table declared to hold one row per id."""
+    require_unique(spine)
+    for name in ONE_ROW_PER_ID:
+        if name in tables and tables[name] is not spine:
+            require_unique(tables[name])
+
+
 def require_unique(df: DataFrame, key="id") -> DataFrame:
     """Fail if a key repeats: a right side with repeats would multiply rows in a join."""
     repeated = df.groupBy(key).count().filter("count > 1").limit(3).collect()

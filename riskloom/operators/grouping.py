@@ -59,6 +59,8 @@ def summarise(df: DataFrame, key, aggregates, distinct=None, set_lengths=None,
 
     outside = {n: F.when(~c.isin(*vocabulary), c) for n, (c, vocabulary) in members.items()}
     counted = {**distinct, **set_lengths, **outside}
+    if not counted:
+        return plain.select(key, *kept)
     counts = _distinct_counts(df, key, counted).withColumnsRenamed(
         {n: f"values_{n}" for n in counted})
     number = {n: F.coalesce(F.col(f"values_{n}"), F.lit(0).cast("bigint")) for n in counted}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskloom import vocab
 from riskloom.functions import counts, dates, flags, numbers, text
-from riskloom.operators.dedup import distinct_rows, first_per_key
+from riskloom.operators.dedup import distinct_rows, first_per_key, require_unique_tables
 from riskloom.operators.grouping import summarise, with_key
 from riskloom.operators.joins import join_features
 
@@ -140,7 +140,11 @@ def auth_order_features(auth: DataFrame, orders: DataFrame) -> DataFrame:
 def compact_matrix(tables: dict, spine: DataFrame, *, grades=vocab.ACCOUNT_GRADES,
                    ways=(vocab.ONLINE_PAYMENT, vocab.CASH_ON_DELIVERY), status_words=None,
                    first_row_order: dict | None = None) -> DataFrame:
-    """Spine with all 64 features; ``first_row_order`` declares row order per table."""
+    """Spine with all 64 features; ``first_row_order`` declares row order per table.
+
+    A repeated id in a table of one row per id is an error.
+    """
+    require_unique_tables(tables, spine)
     order = first_row_order or {}
     checked = tables["auth_info"].withColumn("auth_day", dates.auth_day("auth_time"))
     joined = join_features(spine, [

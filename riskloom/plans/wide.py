@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from riskloom import vocab
 from riskloom.functions import counts, dates, flags, numbers, text
 from riskloom.operators.clean import table_mean, zero_fill
-from riskloom.operators.dedup import distinct_rows, first_per_key
+from riskloom.operators.dedup import distinct_rows, first_per_key, require_unique_tables
 from riskloom.operators.grouping import summarise, with_key
 from riskloom.operators.joins import collision_names, join_features
 from riskloom.operators.ordering import global_row_number
@@ -198,8 +198,8 @@ def order_features(orders: DataFrame, pay_types=vocab.PAYMENT_TYPES, statuses=vo
                    ranges: DataFrame | None = None) -> DataFrame:
     """95 columns per id from the order history.
 
-    The profile (one row per id) is stored first: the scaling needs it twice, and the order table
-    should be read and shuffled once only.
+    The profile (one row per id) is stored first, because the scaling needs it twice. The order table
+    itself is read for the mean amount, the plain aggregates and the distinct counts.
     """
     profile = materialize(order_profile(orders, pay_types, statuses), "order-profile")
     return order_features_from(profile, pay_types, statuses, ranges)
@@ -279,8 +279,9 @@ def wide_matrix(tables: dict, spine: DataFrame, *, pay_types=vocab.PAYMENT_TYPES
     Join the spine once and split the result by month; a split per training set would repeat
     all joins. The date gaps and the category flags are computed on the joined row: neither the spine
     nor a table that serves two feature groups is joined a second time, and the shuffles carry three
-    bit masks instead of 114 flags.
+    bit masks instead of 114 flags. A repeated id in a table of one row per id is an error.
     """
+    require_unique_tables(tables, spine)
     ranges = ranges or {}
     profile = materialize(order_profile(tables["order_info"], pay_types, statuses), "order-profile")
     auth = tables["auth_info"]

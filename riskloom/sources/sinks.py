@@ -29,6 +29,6 @@ def write_scores(scores: DataFrame, path, fmt="parquet") -> None:
     """Store ``ID, PROB``; ``fmt="csv"`` for a file with a header."""
     writer = scores.select("ID", "PROB").write.mode("overwrite")
     if fmt == "csv":
-        writer.csv(path, header=True)
+        writer.csv(path, header=True, quote='"', escape='"')
     else:
         writer.format(fmt).save(path)

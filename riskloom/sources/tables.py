@@ -2,19 +2,34 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.operators.clean import normalise_missing
 from riskloom.schemas import FEATURE_TABLES, SCHEMAS, SPINES
 
 
-def read_table(spark: SparkSession, path, name, fmt="csv") -> DataFrame:
+CSV = {"header": True, "quote": '"', "escape": '"'}
+
+
+def _typed(column, kind, table):
+    """The column in its declared type. Whole numbers may be written ``1.0``; a label that is not 0 or 1 is an error."""
+    if not isinstance(kind, T.IntegerType):
+        return F.col(column).try_cast(kind)
+    number = F.col(column).try_cast("double")
+    fault = F.raise_error(F.concat(F.lit(f"{table}.{column} is not 0 or 1: "), F.col(column).cast("string")))
+    return (F.when(F.col(column).isNull(), F.lit(None)).when(number.isin(0.0, 1.0), number.cast(kind))
+            .otherwise(fault.cast(kind)))
+
+
+def read_table(spark: SparkSession, path, name, fmt="csv", multi_line=False) -> DataFrame:
     """One table with its declared columns and types, missing values as null.
 
     CSV columns are found by header name and cast afterwards: no inference pass over
-    the data, and files may have more columns or another order.
+    the data, and files may have more columns or another order. Quotes inside a field are doubled; with
+    ``multi_line`` fields may hold line ends (such files cannot be split).
     """
     if fmt == "csv":
-        raw = spark.read.csv(path, header=True, encoding="utf-8")
+        raw = spark.read.csv(path, encoding="utf-8", multiLine=multi_line, **CSV)
     else:
         raw = spark.read.format(fmt).load(path)
     schema = SCHEMAS[name]
@@ -23,7 +38,7 @@ def read_table(spark: SparkSession, path, name, fmt="csv") -> DataFrame:
     if "id" in absent or ("appl_sbm_tm" in absent):
         raise ValueError(f"{name} at {path} lacks its key columns")
     return present.select(*[
-        (F.lit(None) if f.name in absent else F.col(f.name).try_cast(f.dataType))
+        (F.lit(None) if f.name in absent else _typed(f.name, f.dataType, name))
         .cast(f.dataType).alias(f.name) for f in schema])
 
 
@@ -43,6 +58,6 @@ def read_matrix(spark: SparkSession, path) -> DataFrame:
 
 def read_scores(spark: SparkSession, path, fmt="parquet") -> DataFrame:
     """An ``(ID, PROB)`` file, columns taken by position as the first two."""
-    raw = spark.read.csv(path, header=True) if fmt == "csv" else spark.read.format(fmt).load(path)
+    raw = spark.read.csv(path, **CSV) if fmt == "csv" else spark.read.format(fmt).load(path)
     key, prob = raw.columns[:2]
     return raw.select(F.col(key).alias("ID"), F.col(prob).cast("double").alias("PROB"))
