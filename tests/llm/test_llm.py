@@ -118,12 +118,6 @@ def test_repeats_against_brute_force(spark, documents, monkeypatch, hot):
     assert got == without_repeats(documents)
 
 
-def test_repeats_by_shuffled_lookups(spark, documents, monkeypatch):
-    monkeypatch.setattr(suffix, "BROADCAST_ROWS", 0)
-    got = {r[0]: tuple(r)[1:] for r in QUERIES["op2_suffix_dedup"](spark, SMALL).collect()}
-    assert got == without_repeats(documents)
-
-
 # tokens, packing, files ----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("name, dropped", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
