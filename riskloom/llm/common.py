@@ -1,18 +1,24 @@
 """Helpers shared by the text operators."""
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import riskloom
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set = set()
+#: What a Python worker remembers between tasks: functions that forget it, by the module that remembers.
+forgetters: dict = {}
+_last_user = [None]
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -26,13 +32,41 @@ def ship_package(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def give_back() -> None:
+    """Return freed memory to the system; allocators would keep it for as long as the worker lives."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def take_over(user: str) -> None:
+    """Forget what another operator remembered in this worker."""
+    if _last_user[0] not in (None, user):
+        for forget in forgetters.values():
+            forget()
+    _last_user[0] = user
+
+
+def _tidy(function):
+    """``function`` in a worker that starts without other operators' memory and returns its own at the end."""
+    user = function.__module__
+
+    def run(batches):
+        take_over(user)
+        yield from function(batches)
+        give_back()
+    return run
+
+
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` with batches bounded in bytes, so that long texts cannot fill a worker."""
     ship_package(df.sparkSession)
     conf = df.sparkSession.conf
     if conf.get(_BYTES_SETTING, None) is None:
         conf.set(_BYTES_SETTING, str(BATCH_BYTES))
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_tidy(function), schema)
 
 
 def fresh(df: DataFrame, name: str) -> str:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import fresh, map_batches, whole_text
+from riskloom.llm.common import forgetters, fresh, map_batches, whole_text
 from riskloom.llm.links import components
 from riskloom.session import materialize
 
@@ -51,13 +51,14 @@ _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 
 class _WordHashes(dict):
     def __missing__(self, word):
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
 
 _words = _WordHashes()
+forgetters[__name__] = _words.clear
 
 
 def mix(x, salt=0):

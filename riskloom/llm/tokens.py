@@ -6,6 +6,8 @@ import unicodedata
 
 from tokenizers import Tokenizer
 
+from riskloom.llm.common import forgetters
+
 END_ID = 1
 #: Chunks remembered by one worker; beyond it the memory is emptied and filled anew.
 REMEMBERED = 800_000
@@ -133,6 +135,7 @@ class ChunkEncoder:
 
 
 _ENCODERS: dict = {}
+forgetters[__name__] = _ENCODERS.clear
 
 
 def encoder(path: str, blanks_dropped: bool) -> ChunkEncoder:
