@@ -17,7 +17,9 @@ any choice gives the same links, as every candidate is verified on the whole set
 
 Sets with equal elements are one class from the start. A signature shared by many classes is never
 expanded into all pairs: its members are compared with two leaders; only members that stay in
-another component are compared with the rest, behind a bitmap bound on the difference.
+another component are compared with the rest. Bitmaps that grow with the set bound the difference from
+below, so that few pairs need their sets. Of those, each set is first compared with its smallest
+partner; then only pairs that still lie in different components are.
 
 Shingles and classes are told apart by 64-bit hashes.
 
@@ -44,8 +46,10 @@ SPARE = 1.25
 SAMPLE_DOCS, COMMON_IN = 4096, 8
 MAX_COMMON = 400_000
 BITS = 1024
-#: Sets looked up by a broadcast of their documents' ids (24 bytes each).
+#: Sets to compare that are looked up by a broadcast (under 50 bytes each).
 BROADCAST_SETS = 300_000
+#: Sets compared with one leader in a shuffle group; a leader with more is sent to several.
+GROUP_SETS = 256
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -140,6 +144,26 @@ def parity_bits(tokens):
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
+def fine_bits(tokens):
+    """The like over at least two bits an element, for sets that crowd the short bitmap; None for others."""
+    if len(tokens) <= BITS // 2:
+        return None
+    bits = 4 << (len(tokens).bit_length() - 1)
+    odd = np.bincount(((tokens >> np.uint64(7)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def fine_difference(x: bytes, y: bytes) -> int:
+    """Differing bits of two fine bitmaps; the longer is folded to the length of the shorter."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        half = len(x) // 2
+        x = x[:half] ^ x[half:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _common_shingles(docs: DataFrame):
     """Hashes of shingles found in several documents of the bounded sample."""
     spark = docs.sparkSession
@@ -163,29 +187,30 @@ def _lists(arrays):
 
 
 def _indexed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``key`` (null without a set), ``n``, ``bits`` and the signatures ``whole`` and ``deleted``."""
+    """``doc_id``, ``key`` (null without a set), ``n``, ``bits``, ``fine`` and the signatures ``whole`` and ``deleted``."""
     shared = _common_shingles(docs)
 
     def run(batches):
         common = shared.value
         for batch in batches:
-            keys, sizes, bits, whole, deleted = [], [], [], [], []
+            keys, sizes, bits, fine, whole, deleted = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 tokens = shingle_set(text)
                 found = signatures(tokens, common) if len(tokens) else (tokens, tokens)
                 keys.append(set_key(tokens) if len(tokens) else None)
                 sizes.append(len(tokens))
                 bits.append(parity_bits(tokens).view(np.uint64))
+                fine.append(fine_bits(tokens))
                 whole.append(found[0])
                 deleted.append(found[1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
-                 _lists(bits), _lists(whole), _lists(deleted)],
-                names=["doc_id", "key", "n", "bits", "whole", "deleted"])
+                 _lists(bits), pa.array(fine, pa.binary()), _lists(whole), _lists(deleted)],
+                names=["doc_id", "key", "n", "bits", "fine", "whole", "deleted"])
 
     texts = docs.select(docs["doc_id"].cast("bigint"), whole_text().alias("text"))
     return materialize(map_batches(texts, run, "doc_id bigint, key bigint, n bigint, bits array<bigint>, "
-                                               "whole array<bigint>, deleted array<bigint>"), "signatures")
+                                               "fine binary, whole array<bigint>, deleted array<bigint>"), "signatures")
 
 
 def _members(index: DataFrame) -> DataFrame:
@@ -213,42 +238,45 @@ def _members(index: DataFrame) -> DataFrame:
 
 
 def _classes(index: DataFrame) -> DataFrame:
-    """One row per set: ``key``, ``n``, ``bits``, its smallest document ``first`` and in how many rows that comes."""
-    rows = index.where("key IS NOT NULL").groupBy("key", "doc_id").agg(
-        F.count("*").alias("rows"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    return materialize(rows.groupBy("key").agg(
-        F.first("n").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("first"),
-        F.min_by("rows", F.struct(F.col("doc_id").isNull(), "doc_id")).alias("rows")), "classes")
+    """One row per set: ``key``, ``n``, ``bits``, ``fine`` and its smallest document ``first``."""
+    return materialize(index.where("key IS NOT NULL").groupBy("key").agg(
+        F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("fine").alias("fine"),
+        F.min("doc_id").alias("first")), "classes")
 
 
-def _sets(docs: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
-    """The elements of the sets ``keys``, one row each: ``key`` and ``tokens``.
+def _sets(docs: DataFrame, classes: DataFrame, uses: DataFrame) -> DataFrame:
+    """The stored rows ``key``, ``leader``, ``part``, ``member`` with the elements of the set ``key`` as ``tokens``.
 
-    The documents to read again are looked up by a broadcast while they are few (the count
-    is checked), by a shuffled join otherwise.
+    The documents to read again are looked up by a broadcast while the uses are few (they are
+    counted), by shuffled joins otherwise. A document in several rows gives its set several times.
     """
-    reps = materialize(classes.join(keys, "key").select(F.col("first").alias("_rep"), F.col("key").alias("_key"),
-                                                        "rows"), "representatives")
-    if reps.count() <= BROADCAST_SETS:
-        reps = F.broadcast(reps)
+    few = uses.count() <= BROADCAST_SETS
+    use = F.struct("leader", "part", "member")
+    wanted = uses.groupBy("key").agg(F.collect_list(use).alias("uses")) if few else uses.select("key").distinct()
+    reps = materialize(wanted.join(classes.select("key", "first"), "key").select(
+        F.col("first").alias("_rep"), F.col("key").alias("_key"), *wanted.columns[1:]), "representatives")
     texts = docs.select(docs["doc_id"].cast("bigint").alias("_id"), whole_text().alias("text"))
+    others = [reps.schema[c] for c in wanted.columns[1:]]
 
     def run(batches):
         for batch in batches:
-            keys, found, rows = [], [], []
-            for wanted, text, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            keep, found = [], []
+            for wanted, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 tokens = shingle_set(text)
-                if len(tokens) and set_key(tokens) == wanted:
-                    keys.append(wanted)
+                keep.append(bool(len(tokens)) and set_key(tokens) == wanted)
+                if keep[-1]:
                     found.append(tokens.tobytes())
-                    rows.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.binary()),
-                                              pa.array(rows, pa.int64())], names=["key", "tokens", "rows"])
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([kept.column(0), pa.array(found, pa.binary()), *kept.columns[2:]],
+                                             names=["key", "tokens", *batch.schema.names[2:]])
 
-    chosen = texts.join(reps, F.col("_id").eqNullSafe(F.col("_rep"))).select("_key", "text", "rows")
-    sets = materialize(map_batches(chosen, run, "key bigint, tokens binary, rows bigint"), "sets")
-    once = sets.where("rows = 1").select("key", "tokens")
-    return once.union(sets.where("rows > 1").select("key", "tokens").dropDuplicates(["key"]))
+    chosen = texts.join(F.broadcast(reps) if few else reps, F.col("_id").eqNullSafe(F.col("_rep"))).select(
+        "_key", "text", *[f.name for f in others])
+    sets = map_batches(chosen, run, T.StructType(
+        [T.StructField("key", T.LongType()), T.StructField("tokens", T.BinaryType()), *others]))
+    if few:
+        return sets.select("key", "tokens", F.explode("uses").alias("use")).select("key", "use.*", "tokens")
+    return uses.join(sets, "key").select("key", "leader", "part", "member", "tokens")
 
 
 def _may_link(a: str, b: str):
@@ -261,31 +289,69 @@ def _may_link(a: str, b: str):
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Those of the ``pairs`` (``a``, ``b``) that may link by size and bitmap."""
-    x = classes.select(F.col("key").alias("a"), F.struct("n", "bits").alias("x"))
-    y = classes.select(F.col("key").alias("b"), F.struct("n", "bits").alias("y"))
-    return materialize(pairs.join(x, "a").join(y, "b").where(_may_link("x", "y")).select("a", "b"), "pairs")
+    """Those of the ``pairs`` (``a``, ``b``) that may link by size and bitmaps."""
+    x = classes.select(F.col("key").alias("a"), F.struct("n", "bits", "fine").alias("x"))
+    y = classes.select(F.col("key").alias("b"), F.struct("n", "bits", "fine").alias("y"))
+
+    def run(batches):
+        for batch in batches:
+            keep = [f is None or g is None or 9 * fine_difference(f, g) <= both
+                    for both, f, g in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    near = pairs.join(x, "a").join(y, "b").where(_may_link("x", "y")).select(
+        "a", "b", (F.col("x.n") + F.col("y.n")).alias("both"), F.col("x.fine").alias("f"), F.col("y.fine").alias("g"))
+    return materialize(map_batches(near, run, "a bigint, b bigint"), "pairs")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Those of the stored ``pairs`` that link, by their whole sets."""
-    keys = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    sets = _sets(docs, classes, keys)
+    """Those of the stored ``pairs`` that link, by their whole sets.
+
+    The set ``a`` leads its pairs and goes once to each of its groups, before the sets ``b``.
+    """
+    leaders = materialize(pairs.groupBy(F.col("a").alias("leader")).agg(
+        F.ceil(F.count("*") / GROUP_SETS).cast("bigint").alias("parts")), "leaders")
+    members = pairs.select(F.col("b").alias("key"), F.col("a").alias("leader")).join(leaders, "leader").select(
+        "key", "leader", F.pmod(F.xxhash64("key"), "parts").alias("part"), F.lit(True).alias("member"))
+    leading = leaders.select(F.col("leader").alias("key"), "leader", F.explode(
+        F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"), F.lit(False).alias("member"))
+    uses = materialize(members.unionByName(leading), "uses")
 
     def run(batches):
+        group, held = None, None
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int(np.count_nonzero(y[at] == x))
-                keep.append(100 * both >= 80 * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    x = sets.select(F.col("key").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
-    found = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return materialize(map_batches(found, run, "a bigint, b bigint"), "links")
+            found = []
+            for key, leader, part, member, tokens in zip(
+                    *(c.to_pylist() for c in batch.columns[:4]), batch.column(4), strict=True):
+                tokens = np.frombuffer(tokens.as_buffer(), np.uint64)
+                if not member:
+                    group, held = (leader, part), tokens.copy()
+                elif group == (leader, part):
+                    at = np.minimum(np.searchsorted(held, tokens), len(held) - 1)
+                    both = int(np.count_nonzero(held[at] == tokens))
+                    if 100 * both >= 80 * (len(tokens) + len(held) - both):
+                        found.append((leader, key))
+                else:
+                    raise ValueError("a set came without the set to compare it with")
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)],
+                                             names=["a", "b"])
+
+    dealt = _sets(docs, classes, uses).repartition("leader", "part").sortWithinPartitions("leader", "part", "member")
+    return materialize(map_batches(dealt, run, "a bigint, b bigint"), "links")
+
+
+def _spanning_links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links among the stored ``pairs`` that give the same components as all of them."""
+    ends = pairs.union(pairs.select("b", "a")).toDF("key", "other")
+    first = materialize(ends.groupBy("key").agg(F.min("other").alias("other")).select(
+        *_ordered_pairs("key", "other")).distinct(), "pairs")
+    links = _verified(first, docs, classes)
+    labels = components(links)
+    for end in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"_{end}")), end, "left")
+    apart = F.coalesce("_a", "a") != F.coalesce("_b", "b")
+    rest = materialize(pairs.where(apart).select("a", "b").join(first, ["a", "b"], "left_anti"), "pairs")
+    return links if rest.isEmpty() else links.union(_verified(rest, docs, classes))
 
 
 def _ordered_pairs(a, b):
@@ -321,10 +387,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members, classes = _members(index), _classes(index)
     pairs = (members.select(*_ordered_pairs("key", "lo")).union(members.select(*_ordered_pairs("key", "hi")))
              .where("a <> b").distinct())
-    links = _verified(_plausible(pairs, classes), docs, classes)
+    links = _spanning_links(_plausible(pairs, classes), docs, classes)
     labels = components(links)
-    more = _verified(materialize(_still_apart(members, labels, classes), "pairs"), docs, classes)
-    if not more.isEmpty():
+    apart = _plausible(_still_apart(members, labels, classes), classes)
+    if not apart.isEmpty():
+        more = _spanning_links(apart, docs, classes)
         labels = components(links.union(more))
     first = classes.select("key", "first")
     named = first.join(labels.select(F.col("node").alias("key"), "label"), "key", "left").select(

@@ -228,12 +228,14 @@ def brute_components(rows):
     return {i: (len(sets[i]), root(i)) for i in ids}
 
 
-@pytest.mark.parametrize("common_in", [4, 10_000])
-def test_join_against_brute_force_on_planted_groups(make, monkeypatch, common_in):
+@pytest.mark.parametrize("common_in,looked_up,group", [(4, 300_000, 256), (10_000, 300_000, 2), (4, 0, 3)])
+def test_join_against_brute_force_on_planted_groups(make, monkeypatch, common_in, looked_up, group):
     monkeypatch.setattr(setjoin, "COMMON_IN", common_in)
+    monkeypatch.setattr(setjoin, "BROADCAST_SETS", looked_up)
+    monkeypatch.setattr(setjoin, "GROUP_SETS", group)
     rng, rows = random.Random(common_in), []
     shared = words(rng, 60)
-    for size in (1, 2, 4, 5, 6, 9, 14, 30, 80, 200):
+    for size in (1, 2, 4, 5, 6, 9, 14, 30, 80, 200, 540, 1100):
         base = words(rng, size).split()
         for _ in range(14):
             copy = list(base)
@@ -249,6 +251,16 @@ def test_join_against_brute_force_on_planted_groups(make, monkeypatch, common_in
     assert sorted(r.doc_id for r in kept) == sorted(i for i, (_, c) in brute_components(rows).items() if c == i)
 
 
+def test_fine_bitmaps_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for n, m, both in ((513, 600, 500), (1000, 1100, 900), (1030, 4000, 0), (2500, 2500, 2500)):
+        x = setjoin.mix(np.arange(n, dtype=np.uint64), int(rng.integers(1 << 40)))
+        y = np.concatenate((x[:both], setjoin.mix(np.arange(m - both, dtype=np.uint64), int(rng.integers(1 << 50)))))
+        found = setjoin.fine_difference(setjoin.fine_bits(x), setjoin.fine_bits(y))
+        assert found <= n + m - 2 * both and (found == 0) == (n == m == both)
+    assert setjoin.fine_bits(x[:512]) is None
+
+
 def test_components_of_a_path(make):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (102, 101), (7, 7)]
     got = {r.node: r.label for r in links.components(make("a long, b long", edges)).collect()}
