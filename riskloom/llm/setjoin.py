@@ -406,9 +406,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, with one row of each component: that of the smallest ``doc_id``. Those without a set all stay."""
-    winners = materialize(near_duplicates(docs).where("key IS NOT NULL").groupBy("component_id").agg(
+    found = materialize(near_duplicates(docs).where("key IS NOT NULL"), "found")
+    winners = materialize(found.groupBy("component_id").agg(
         F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("_key"))
         .select(F.col("component_id").alias("_winner"), "_key"), "winners")
+    repeated = found.groupBy("doc_id", "key").count().where("count > 1")
     key = fresh(docs, "_set")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     source = docs.select(row, whole_text().alias("text"))
@@ -423,6 +425,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     keyed = map_batches(source, run, schema).select("row", key, F.col("row.doc_id").cast("bigint").alias("_id"))
     fields = [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     joined = keyed.join(winners, (F.col(key) == F.col("_key")) & F.col("_id").eqNullSafe(F.col("_winner")), "left")
+    if repeated.isEmpty():
+        return joined.where(F.col(key).isNull() | F.col("_key").isNotNull()).select(*fields)
     alone = joined.where(F.col(key).isNull())
     # A winner may come in several rows with one id and set; one of them is taken.
     chosen = joined.where(F.col("_key").isNotNull()).groupBy("_id", key).agg(F.first("row").alias("row"))
