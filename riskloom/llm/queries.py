@@ -34,7 +34,7 @@ def best_fit_packing(spark, sf_dir):
 
 def ngram_join(spark, sf_dir):
     """Every document's component of near duplicates."""
-    return setjoin.near_duplicates(_table(spark, sf_dir, "documents")).drop("key")
+    return setjoin.near_duplicates(_table(spark, sf_dir, "documents")).drop("key", "label")
 
 
 def surrogates(spark, sf_dir):

@@ -382,7 +382,11 @@ def _still_apart(members: DataFrame, labels: DataFrame, classes: DataFrame) -> D
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id``, the smallest ``doc_id`` reachable by links; also ``key``."""
+    """``doc_id``, ``n_shingles`` and ``component_id``, the smallest ``doc_id`` reachable by links; also ``key`` and ``label``.
+
+    ``label``, the smallest key of the component, tells components apart; ``component_id`` does not where ids
+    are null or stand on several rows.
+    """
     index = _indexed(docs)
     members, classes = _members(index), _classes(index)
     pairs = (members.select(*_ordered_pairs("key", "lo")).union(members.select(*_ordered_pairs("key", "hi")))
@@ -398,18 +402,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "key", "first", F.coalesce("label", "key").alias("label"))
     named = materialize(named, "named")
     names = materialize(named.groupBy("label").agg(F.min("first").alias("component_id")), "names")
-    by_key = materialize(named.join(names, "label").select(F.col("key").alias("_key"), "component_id"), "components")
+    by_key = materialize(named.join(names, "label").select(
+        F.col("key").alias("_key"), "component_id", "label"), "components")
     return index.select("doc_id", "key", "n").join(by_key, F.col("key") == F.col("_key"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "key")
+        F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "key", "label")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents, with one row of each component: that of the smallest ``doc_id``. Those without a set all stay."""
     found = materialize(near_duplicates(docs).where("key IS NOT NULL"), "found")
-    winners = materialize(found.groupBy("component_id").agg(
+    winners = materialize(found.groupBy("label").agg(
+        F.min("doc_id").alias("_winner"),
         F.min_by("key", F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("_key"))
-        .select(F.col("component_id").alias("_winner"), "_key"), "winners")
+        .select("_winner", "_key"), "winners")
     repeated = found.groupBy("doc_id", "key").count().where("count > 1")
     key = fresh(docs, "_set")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")

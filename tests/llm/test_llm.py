@@ -251,6 +251,15 @@ def test_join_against_brute_force_on_planted_groups(make, monkeypatch, common_in
     assert sorted(r.doc_id for r in kept) == sorted(i for i, (_, c) in brute_components(rows).items() if c == i)
 
 
+def test_one_of_each_tells_components_apart_whose_ids_do_not(make):
+    rng = random.Random(12)
+    a, b, c, d = (words(rng, 80) for _ in range(4))
+    rows = [(None, a), (None, b), (None, b + " end"), (5, c), (6, c), (5, d), (8, d + " end")]
+    kept = setjoin.one_of_each(make("doc_id long, text string", rows)).collect()
+    groups = sorted((str(r.doc_id), [a, b, c, d].index(r.text.removesuffix(" end"))) for r in kept)
+    assert groups == [("5", 2), ("5", 3), ("None", 0), ("None", 1)]
+
+
 def test_fine_bitmaps_never_exceed_the_difference():
     rng = np.random.default_rng(3)
     for n, m, both in ((513, 600, 500), (1000, 1100, 900), (1030, 4000, 0), (2500, 2500, 2500)):
