@@ -12,8 +12,11 @@ conversations give two empty completions. A null ``conv_id`` belongs to no conve
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.operators.ordering import global_row_number
+from riskloom.session import materialize
+
 CLOSE = "<|end|>\n"
-#: Conversations are paired within blocks of so many consecutive ids, which bounds every group.
+#: ``neighbour_pairs`` pairs within blocks of so many consecutive ids, which bounds every group.
 BLOCK_IDS = 1000
 
 
@@ -29,18 +32,49 @@ def conversations(turns: DataFrame) -> DataFrame:
         "conv_id", F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"))
 
 
-def neighbour_pairs(convs: DataFrame) -> DataFrame:
-    """Pairs of conversations: within a block of ids, in order of opening turn and id, each two in a row.
-
-    Conversations with one opening turn so meet each other first. Of the two, the one with more assistant
-    text is chosen, of equals the earlier. Blocks of consecutive ids bound the window whatever
-    share of all conversations an opening turn has.
-    """
+def _sized(convs: DataFrame) -> DataFrame:
+    """``conv_id``, role and text of its opening turn, and ``size``, the characters of its assistant text."""
     answer = F.aggregate(F.filter("turns", lambda x: x["role"] == "assistant"), F.lit(0),
                          lambda s, x: s + F.char_length(x["text"]))
     opening = F.get("turns", F.lit(0))
-    rows = convs.select("conv_id", opening["role"].alias("role"), opening["text"].alias("text"), answer.alias("size"),
-                        F.floor(F.col("conv_id") / BLOCK_IDS).alias("block"))
+    return convs.select("conv_id", opening["role"].alias("role"), opening["text"].alias("text"), answer.alias("size"))
+
+
+def opening_pairs(convs: DataFrame) -> DataFrame:
+    """Pairs of conversations with one opening turn, each two in a row in order of id, over the whole table.
+
+    Of the two, the one with more assistant text is chosen, of equals the one of the smaller id. Every
+    conversation is paired but the last of an opening that an odd number has; ``unpaired`` gives those.
+    The number of a conversation within its opening is its number in the whole order less that of the
+    opening's first, so a hot opening is cut like any other rows and the groups that meet hold two.
+    """
+    opening = F.struct(F.sha2("role", 256).alias("role"), F.sha2("text", 256).alias("text")).alias("opening")
+    placed = materialize(global_row_number(_sized(convs).select(opening, "conv_id", "size"),
+                                           "opening", "conv_id", name="place"), "openings")
+    first = materialize(placed.groupBy("opening").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+                        .where("n > 1").select("opening", "first"), "first-places")
+    pair = F.floor((F.col("place") - F.col("first")) / 2).alias("pair")
+    best = F.struct(-F.col("size"), "conv_id")
+    pairs = placed.join(first, "opening").groupBy("opening", pair).agg(
+        F.min_by("conv_id", best).alias("chosen_id"), F.max_by("conv_id", best).alias("rejected_id"))
+    return pairs.where("chosen_id <> rejected_id").select("chosen_id", "rejected_id")
+
+
+def unpaired(convs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The conversations that stand in none of the ``pairs``."""
+    used = pairs.select(F.col("chosen_id").alias("conv_id")).union(pairs.select("rejected_id"))
+    return convs.join(used, "conv_id", "left_anti")
+
+
+def neighbour_pairs(convs: DataFrame) -> DataFrame:
+    """Pairs of neighbours: within a block of ids, in order of opening turn and id, each two in a row.
+
+    The two need not share an opening turn: a group of two may be split, conversations of different blocks
+    never meet, and the odd one of each block has no counterpart; ``opening_pairs`` pairs by opening. Of the
+    two, the one with more assistant text is chosen, of equals the earlier. Blocks of consecutive ids bound
+    the window whatever share of all conversations an opening turn has.
+    """
+    rows = _sized(convs).withColumn("block", F.floor(F.col("conv_id") / BLOCK_IDS))
     order = Window.partitionBy("block").orderBy("role", "text", "conv_id")
     pairs = rows.select("conv_id", "size", F.row_number().over(order).alias("place"),
                         F.lag("conv_id").over(order).alias("before"),

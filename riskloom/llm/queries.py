@@ -48,16 +48,25 @@ def decontamination(spark, sf_dir):
     return decontam.mark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
 
 
-def preferences(spark, sf_dir):
-    """Preference pairs of neighbouring conversations; spans as text, ``start-end`` each."""
+def _preferences(spark, sf_dir, paired):
     convs = materialize(preference.conversations(_table(spark, sf_dir, "conversations")), "conversations")
-    pairs = preference.format_preferences(convs, preference.neighbour_pairs(convs))
+    pairs = preference.format_preferences(convs, paired(convs))
     for name in ("chosen_spans", "rejected_spans"):
         pairs = pairs.withColumn(name, F.array_join(F.transform(name, lambda s: F.concat_ws("-", s["start"].cast(
             "string"), s["end"].cast("string"))), ","))
     return pairs
 
 
+def preferences(spark, sf_dir):
+    """Preference pairs of neighbouring conversations; spans as text, ``start-end`` each."""
+    return _preferences(spark, sf_dir, preference.neighbour_pairs)
+
+
+def opening_preferences(spark, sf_dir):
+    """Preference pairs of conversations with one opening turn, over the whole table; spans likewise."""
+    return _preferences(spark, sf_dir, preference.opening_pairs)
+
+
 def rans_tokens(spark, sf_dir):
     """Every document's tokens, written to coded files and read back."""
     folder = rans.write_tokens(_table(spark, sf_dir, "documents"), tokens.vocabulary(WORD_VOCABULARY), True)
@@ -85,6 +94,7 @@ QUERIES = {
     "op4_surrogates": surrogates,
     "op6_decontamination": decontamination,
     "op7_preferences": preferences,
+    "op7_opening_preferences": opening_preferences,
     "op8_rans_tokens": rans_tokens,
     "op9_warc_salvage": warc_salvage,
     "op10_site_lines": site_lines,
@@ -162,6 +172,24 @@ q AS (SELECT CASE WHEN keep THEN before ELSE conv_id END AS chosen_id,
         CASE WHEN keep THEN before_t ELSE t END AS a, CASE WHEN keep THEN t ELSE before_t END AS b FROM p),
 n AS (SELECT *, len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[1:i] = b[1:i])) AS k FROM q),
 r AS (SELECT chosen_id, rejected_id, k, a[1:k] AS pre, a[k + 1:] AS a, b[k + 1:] AS b FROM n)
+SELECT chosen_id, rejected_id, CAST(k AS INTEGER) AS prefix_turns,
+  {_rendered("pre")} AS prompt, {_rendered("a")} AS chosen, {_span_text("a")} AS chosen_spans,
+  {_rendered("b")} AS rejected, {_span_text("b")} AS rejected_spans FROM r""",
+    "op7_opening_preferences": f"""
+WITH c AS (SELECT conv_id, list(struct_pack(role := r, text := x) ORDER BY turn, r, x) AS t
+    FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+          WHERE conv_id IS NOT NULL) GROUP BY conv_id),
+s AS (SELECT *, coalesce(list_sum(list_transform(list_filter(t, lambda x: x.role = 'assistant'),
+        lambda x: length(x.text))), 0) AS size FROM c),
+o AS (SELECT *, row_number() OVER w AS place, lag(conv_id) OVER w AS before, lag(t) OVER w AS before_t,
+        lag(size) OVER w AS before_size FROM s
+      WINDOW w AS (PARTITION BY t[1].role, t[1].text ORDER BY conv_id)),
+p AS (SELECT before_size >= size AS keep, * FROM o WHERE place % 2 = 0),
+q AS (SELECT CASE WHEN keep THEN before ELSE conv_id END AS chosen_id,
+        CASE WHEN keep THEN conv_id ELSE before END AS rejected_id,
+        CASE WHEN keep THEN before_t ELSE t END AS a, CASE WHEN keep THEN t ELSE before_t END AS b FROM p),
+n AS (SELECT *, len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[1:i] = b[1:i])) AS k FROM q),
+r AS (SELECT chosen_id, rejected_id, k, a[1:k] AS pre, a[k + 1:] AS a, b[k + 1:] AS b FROM n)
 SELECT chosen_id, rejected_id, CAST(k AS INTEGER) AS prefix_turns,
   {_rendered("pre")} AS prompt, {_rendered("a")} AS chosen, {_span_text("a")} AS chosen_spans,
   {_rendered("b")} AS rejected, {_span_text("b")} AS rejected_spans FROM r""",

@@ -325,6 +325,18 @@ def test_preference_prefix_and_spans(make):
     assert [r.rejected[s.start:s.end] for s in r.rejected_spans] == ["no<|end|>\n"]
 
 
+def test_conversations_of_one_opening_meet(make):
+    openings = {1: "a", 2: "b", 3: "b", 4: "c", 5000: "a", 10 ** 12: "c", 9: "c", 11: "d"}
+    turns = [t for i, o in openings.items() for t in ((i, 0, "user", o), (i, 1, "assistant", "x" * (i % 7)))]
+    turns += [t for i in range(100, 161) for t in ((i, 0, "user", "hot"), (i, 1, "assistant", "same"))]
+    convs = preference.conversations(make("conv_id long, turn long, role string, text string", turns))
+    pairs = preference.opening_pairs(convs)
+    assert sorted((r.chosen_id, r.rejected_id) for r in pairs.collect()) == sorted(
+        [(5000, 1), (3, 2), (4, 9), *((i, i + 1) for i in range(100, 160, 2))])
+    assert sorted(r.conv_id for r in preference.unpaired(convs, pairs).collect()) == [11, 160, 10 ** 12]
+    assert all(r.prefix_turns >= 1 for r in preference.format_preferences(convs, pairs).collect())
+
+
 @pytest.mark.parametrize("plain", [False, True])
 def test_salvage_recovers_records_after_damage(plain):
     import gzip
