@@ -5,15 +5,24 @@ Archives are byte strings of gzip members, one per record. They are stored as ro
 the reader in the same form.
 
 The reader walks an archive record by record. A record must decompress, begin with a version line,
-carry the length that it states and match its payload digest. After a failed check the reader
+carry the length that it states and match its digests. After a failed check the reader
 searches for the next gzip member that begins with a version line, or the next version line in
 plain archives, goes on from there and logs the bytes between as a gap.
 
+A block digest covers the block, a payload digest the body of an HTTP message, or the block of any other record.
+Digests are read in hexadecimal and base32; one of an unknown algorithm or form is not checked, nor is the
+payload digest of a revisit or of a segment of a record. A body whose digest was taken with its transfer
+coding undone is accepted too. A member may hold several records: each has the offset of the member, the
+first its length and the others length 0. What is damaged within a member is a gap of length 0 there; the
+records around it are kept.
+
 Defined cases: a null html is an empty payload, a null url an empty target. Rows that share the
 largest ``page_id`` of a payload are all responses; a null ``page_id`` is below all others. Repeated
 rows give repeated records. Other columns are dropped. An empty table gives no archive.
 """
 
+import base64
+import binascii
 import gzip
 import hashlib
 import re
@@ -50,6 +59,56 @@ def write_record(page_id, url, payload: bytes, size: int, digest: str, refers_to
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
+def _differs(stated: str, *contents: bytes) -> bool:
+    """Whether a digest that can be checked fits none of the ``contents``."""
+    name, colon, value = stated.partition(":")
+    if not colon:
+        name, value = "sha1", stated
+    name = name.strip().lower().replace("-", "")
+    if name not in ("md5", "sha1", "sha224", "sha256", "sha384", "sha512"):
+        return False
+    value, size = value.strip(), hashlib.new(name).digest_size
+    try:
+        if len(value) == 2 * size:
+            want = bytes.fromhex(value)
+        else:
+            value = value.rstrip("=").upper()
+            want = base64.b32decode(value + "=" * (-len(value) % 8))
+    except (ValueError, binascii.Error):
+        return False
+    return len(want) == size and all(hashlib.new(name, c).digest() != want for c in contents)
+
+
+def _unchunked(body: bytes):
+    """A body without its chunked transfer coding; None if it is not coded so."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,16}", size):
+            return None
+        n = int(size, 16)
+        if not n:
+            return b"".join(parts)
+        parts.append(body[end + 2:end + 2 + n])
+        at = end + 2 + n
+        if body[at:at + 2] != b"\r\n":
+            return None
+        at += 2
+
+
+def _payloads(fields, block: bytes):
+    """What a payload digest may cover: the block, or of an HTTP message the body as sent and without its coding."""
+    kind = fields.get("content-type", "").lower().replace(" ", "")
+    if not kind.startswith("application/http"):
+        return [block]
+    head = re.search(rb"\r?\n\r?\n", block)
+    body = block[head.end():] if head else b""
+    coded = head and re.search(rb"(?im)^transfer-encoding:.*chunked", block[:head.start()])
+    plain = _unchunked(body) if coded else None
+    return [body] if plain is None else [body, plain]
+
+
 def parse_record(raw: bytes, at: int = 0):
     """``(fields, payload, end)`` of the record at ``at``; ``ValueError`` says what is wrong."""
     if not _VERSION.match(raw, at):
@@ -58,7 +117,7 @@ def parse_record(raw: bytes, at: int = 0):
     if head < 0:
         raise ValueError("header does not end")
     fields = {}
-    for line in raw[at:head].split(b"\r\n")[1:]:
+    for line in re.sub(rb"\r\n[ \t]+", b" ", raw[at:head]).split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise ValueError("header line without a colon")
@@ -69,16 +128,22 @@ def parse_record(raw: bytes, at: int = 0):
     if raw[end:end + 4] != b"\r\n\r\n":
         raise ValueError("record does not end where it should")
     payload = raw[head + 4:end]
-    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:")
-    if fields.get("warc-type") != "revisit" and digest and hashlib.sha1(payload).hexdigest() != digest:
+    if _differs(fields.get("warc-block-digest", ""), payload):
+        raise ValueError("block digest differs")
+    whole = fields.get("warc-type") not in ("revisit", "continuation") and "warc-segment-number" not in fields
+    if whole and _differs(fields.get("warc-payload-digest", ""), *_payloads(fields, payload)):
         raise ValueError("payload digest differs")
     return fields, payload, end + 4
 
 
-def _record_at(raw: bytes, at: int):
-    """``(fields, payload, end in the archive)`` of the compressed or plain record at ``at``."""
+def _member_at(raw: bytes, at: int):
+    """``(records and gaps, end in the archive)`` of the compressed member or plain record at ``at``.
+
+    They are ``(fields, payload)`` and ``(None, reason)``. A member without any sound record is an error.
+    """
     if raw[at:at + 3] != _MEMBER:
-        return parse_record(raw, at)
+        fields, payload, end = parse_record(raw, at)
+        return [(fields, payload)], end
     member = zlib.decompressobj(31)
     try:
         plain = member.decompress(memoryview(raw)[at:])
@@ -86,10 +151,20 @@ def _record_at(raw: bytes, at: int):
         raise ValueError(f"member is damaged: {str(error)[:60]}") from None
     if not member.eof:
         raise ValueError("member does not end")
-    fields, payload, end = parse_record(plain)
-    if end != len(plain):
-        raise ValueError("bytes after the record")
-    return fields, payload, len(raw) - len(member.unused_data)
+    found, sound, place, lost = [], False, 0, False
+    while place < len(plain):
+        try:
+            fields, payload, place = parse_record(plain, place)
+            found.append((fields, payload))
+            sound, lost = True, False
+        except ValueError as error:
+            if not lost:
+                found.append((None, str(error)))
+            following = _VERSION.search(plain, place + 1)
+            place, lost = (following.start() if following else len(plain)), True
+    if not sound:
+        raise ValueError(found[0][1] if found else "no version line")
+    return found, len(raw) - len(member.unused_data)
 
 
 def _looks_like_start(raw: bytes, at: int) -> bool:
@@ -109,7 +184,7 @@ def salvage(raw: bytes):
     at, lost, reason = 0, None, ""
     while at < len(raw):
         try:
-            fields, payload, end = _record_at(raw, at)
+            found, end = _member_at(raw, at)
         except ValueError as error:
             if lost is None:
                 lost, reason = at, str(error)
@@ -121,7 +196,13 @@ def salvage(raw: bytes):
         if lost is not None:
             yield "gap", lost, at - lost, reason, None
             lost = None
-        yield "record", at, end - at, fields, payload
+        length = end - at
+        for fields, payload in found:
+            if fields is None:
+                yield "gap", at, 0, payload, None
+            else:
+                yield "record", at, length, fields, payload
+                length = 0
         at = end
     if lost is not None:
         yield "gap", lost, len(raw) - lost, reason, None

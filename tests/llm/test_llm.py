@@ -353,6 +353,33 @@ def test_salvage_recovers_records_after_damage(plain):
     assert sum(f[0] == "gap" for f in found) == 3
 
 
+def test_records_of_other_writers_are_sound():
+    import base64
+    import gzip
+
+    def record(number, block, *fields, crlf=b"\r\n"):
+        lines = ["WARC/1.0", "WARC-Type: response", f"WARC-Record-ID: <urn:page:{number}>", *fields, f"Content-Length: {len(block)}"]
+        return crlf.join(line.encode() for line in lines) + crlf * 2 + block + crlf * 2
+
+    b32 = lambda x, name="sha1": f"{name}:{base64.b32encode(hashlib.new(name, x).digest()).decode()}"
+    head, http = b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n", "Content-Type: application/http; msgtype=response"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n0\r\n\r\n"
+    good = [record(0, head + b"body", http, f"WARC-Payload-Digest: {b32(b'body')}", f"WARC-Block-Digest: {b32(head + b'body')}"),
+            record(1, b"plain", f"WARC-Payload-Digest: SHA1:{hashlib.sha1(b'plain').hexdigest().upper()}"),
+            record(2, b"odd", "WARC-Payload-Digest: blake3:abc", "WARC-Target-URI: http://a/", "X-Folded: one\r\n  two"),
+            record(3, chunked, http, f"WARC-Payload-Digest: {b32(b'abc', 'sha256')}")]
+    bad = [record(8, head + b"body", http, f"WARC-Payload-Digest: {b32(b'other')}"),
+           record(9, b"body", f"WARC-Block-Digest: {b32(b'other')}")]
+    numbers = lambda raw: [int(f[3]["warc-record-id"][10:-1]) for f in warc.salvage(raw) if f[0] == "record"]
+    assert numbers(b"".join(good + bad)) == [0, 1, 2, 3]
+    for members in ([b"".join(good)], [good[0] + good[1], bad[0] + good[2] + bad[1] + good[3]], good):
+        raw = b"".join(gzip.compress(m, mtime=0) for m in members)
+        found = list(warc.salvage(raw))
+        assert numbers(raw) == [0, 1, 2, 3] and sum(f[2] for f in found) == len(raw)
+        assert sum(f[0] == "gap" for f in found) == (2 if bad[0] in members[-1] else 0)
+    assert [f[3].get("x-folded") for f in warc.salvage(good[2])] == ["one two"]
+
+
 def test_boilerplate_lines_go_by_site(make):
     rows = [(i, f"menu\nbody {i}\nshared", "a" if i < 10 else "b") for i in range(20)] + [(20 + i, f"menu x {i}", "c") for i in range(10)]
     rows += [(40 + i, f"own {i}", "b") for i in range(100)]
