@@ -5,7 +5,8 @@ prompt; what follows in each is rendered as its completion, with the character s
 covers (the text of assistant turns and its end mark). Built-in expressions only.
 
 Defined cases: turns are ordered by ``turn``, then role and text; a null role or text is empty, and null
-``turn`` comes first. Rows repeated in full count once. Conversations without a counterpart give no pair. Equal
+``turn`` comes first. Rows repeated in full count once. Conversations without a counterpart give no pair; the last of an
+opening that an odd number has can be formatted alone, as chosen without a rejected side. Equal
 conversations give two empty completions. A null ``conv_id`` belongs to no conversation.
 """
 
@@ -116,3 +117,12 @@ def format_preferences(convs: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.select("chosen_id", "rejected_id", "prefix_turns", _render(F.col("prefix")).alias("prompt"),
                        _render(F.col("a")).alias("chosen"), _spans(F.col("a")).alias("chosen_spans"),
                        _render(F.col("b")).alias("rejected"), _spans(F.col("b")).alias("rejected_spans"))
+
+
+def format_single(convs: DataFrame) -> DataFrame:
+    """The same columns for conversations without a counterpart: no prompt, nothing rejected."""
+    nothing = F.lit(None)
+    return convs.select(F.col("conv_id").alias("chosen_id"), nothing.cast("bigint").alias("rejected_id"),
+                        F.lit(0).alias("prefix_turns"), F.lit("").alias("prompt"), _render(F.col("turns")).alias("chosen"),
+                        _spans(F.col("turns")).alias("chosen_spans"), nothing.cast("string").alias("rejected"),
+                        nothing.cast("array<struct<start:int,end:int>>").alias("rejected_spans"))

@@ -48,23 +48,26 @@ def decontamination(spark, sf_dir):
     return decontam.mark_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
 
 
-def _preferences(spark, sf_dir, paired):
-    convs = materialize(preference.conversations(_table(spark, sf_dir, "conversations")), "conversations")
-    pairs = preference.format_preferences(convs, paired(convs))
+def _spans_as_text(pairs):
     for name in ("chosen_spans", "rejected_spans"):
-        pairs = pairs.withColumn(name, F.array_join(F.transform(name, lambda s: F.concat_ws("-", s["start"].cast(
-            "string"), s["end"].cast("string"))), ","))
+        text = F.array_join(F.transform(name, lambda s: F.concat_ws("-", s["start"].cast(
+            "string"), s["end"].cast("string"))), ",")
+        pairs = pairs.withColumn(name, text)
     return pairs
 
 
 def preferences(spark, sf_dir):
     """Preference pairs of neighbouring conversations; spans as text, ``start-end`` each."""
-    return _preferences(spark, sf_dir, preference.neighbour_pairs)
+    convs = materialize(preference.conversations(_table(spark, sf_dir, "conversations")), "conversations")
+    return _spans_as_text(preference.format_preferences(convs, preference.neighbour_pairs(convs)))
 
 
 def opening_preferences(spark, sf_dir):
-    """Preference pairs of conversations with one opening turn, over the whole table; spans likewise."""
-    return _preferences(spark, sf_dir, preference.opening_pairs)
+    """Preference pairs of conversations with one opening turn, and the conversations left without a counterpart."""
+    convs = materialize(preference.conversations(_table(spark, sf_dir, "conversations")), "conversations")
+    pairs = materialize(preference.opening_pairs(convs), "pairs")
+    return _spans_as_text(preference.format_preferences(convs, pairs).unionByName(
+        preference.format_single(preference.unpaired(convs, pairs))))
 
 
 def rans_tokens(spark, sf_dir):
@@ -182,7 +185,8 @@ WITH c AS (SELECT conv_id, list(struct_pack(role := r, text := x) ORDER BY turn,
 s AS (SELECT *, coalesce(list_sum(list_transform(list_filter(t, lambda x: x.role = 'assistant'),
         lambda x: length(x.text))), 0) AS size FROM c),
 o AS (SELECT *, row_number() OVER w AS place, lag(conv_id) OVER w AS before, lag(t) OVER w AS before_t,
-        lag(size) OVER w AS before_size FROM s
+        lag(size) OVER w AS before_size,
+        place % 2 = 1 AND lead(conv_id) OVER w IS NULL AS single FROM s
       WINDOW w AS (PARTITION BY t[1].role, t[1].text ORDER BY conv_id)),
 p AS (SELECT before_size >= size AS keep, * FROM o WHERE place % 2 = 0),
 q AS (SELECT CASE WHEN keep THEN before ELSE conv_id END AS chosen_id,
@@ -192,7 +196,8 @@ n AS (SELECT *, len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a
 r AS (SELECT chosen_id, rejected_id, k, a[1:k] AS pre, a[k + 1:] AS a, b[k + 1:] AS b FROM n)
 SELECT chosen_id, rejected_id, CAST(k AS INTEGER) AS prefix_turns,
   {_rendered("pre")} AS prompt, {_rendered("a")} AS chosen, {_span_text("a")} AS chosen_spans,
-  {_rendered("b")} AS rejected, {_span_text("b")} AS rejected_spans FROM r""",
+  {_rendered("b")} AS rejected, {_span_text("b")} AS rejected_spans FROM r
+UNION ALL SELECT conv_id, NULL, 0, '', {_rendered("t")}, {_span_text("t")}, NULL, NULL FROM o WHERE single""",
     "op9_warc_salvage": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
