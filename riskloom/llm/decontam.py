@@ -7,13 +7,15 @@ of all its items, and only blocks whose bound reaches the threshold are scored i
 block-max WAND, for a batch of passages at once. All items above the threshold are retrieved.
 A retrieved item counts as leaked when the passage repeats enough of the word 5-grams of its
 question and of its answer. The last sentence of an item is its answer, the rest its question; an item of
-one sentence is cut in half.
+one sentence is cut in half; an item of one word is all answer, and its empty question counts as repeated.
 
 Passages are windows of twice the longest item's words, moved by half their width, so an item of a text
 always lies in one of them whole.
 
 The items are read in groups of ``ITEMS_PER_PASS`` chosen by a hash; a benchmark of any size takes as many
-passes over the texts, and what is broadcast stays bounded.
+passes over the texts, and what is broadcast stays bounded. Counts, document frequencies, mean length and
+the longest item are those of the whole benchmark in every pass, so scores and passages do not depend on the
+groups.
 
 Defined cases: words are runs of letters, digits and underscores in lower case. Null or empty texts and items
 without words leak nothing. Repeated items report each id. A null ``doc_id`` is carried through. Repeated
@@ -22,7 +24,7 @@ rows are judged one by one. Other columns are kept where the result has document
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.llm.common import map_batches, whole_text, without
+from riskloom.session import materialize
 
 K1, B = 1.2, 0.75
 #: Share of an item's own BM25 score that a passage must reach.
@@ -66,24 +69,40 @@ def question_and_answer(text: str):
     return tuple(_grams(p) for p in parts)
 
 
+class Statistics:
+    """Of a benchmark: its number of items with words, their mean length, the longest, and in how many items a term stands."""
+
+    def __init__(self, n, mean, longest, df):
+        self.n, self.mean, self.longest, self.df = n, mean, longest, df
+
+    @classmethod
+    def of(cls, words):
+        """Of items given as lists of words."""
+        words = [w for w in words if w]
+        return cls(len(words), sum(map(len, words)) / max(1, len(words)), max(map(len, words), default=0),
+                   Counter(t for w in words for t in set(w)))
+
+
 class Index:
-    """Impacts of all terms in all items, and the largest within each block of items."""
+    """Impacts of all terms in all items, and the largest within each block of items.
+
+    The items may be a part of a benchmark; ``statistics`` are those of all of it.
+    """
 
-    def __init__(self, items):
+    def __init__(self, items, statistics=None):
         self.items = [(i, words_of(t), t) for i, t in items]
         self.items = [x for x in self.items if x[1]]
         # Like items stand together, so that blocks share their terms.
         self.items.sort(key=lambda x: (sorted(x[1])[:4], x[0]))
         self.parts = [question_and_answer(t) for _, _, t in self.items]
-        self.longest = max((len(w) for _, w, _ in self.items), default=0)
+        known = statistics or Statistics.of([w for _, w, _ in self.items])
+        self.longest, mean, df = known.longest, known.mean, known.df
         counts = [Counter(w) for _, w, _ in self.items]
-        df = Counter(t for c in counts for t in c)
-        self.terms = {t: n + 1 for n, t in enumerate(sorted(df))}  # 0: not in any item
-        mean = sum(len(w) for _, w, _ in self.items) / max(1, len(self.items))
+        self.terms = {t: n + 1 for n, t in enumerate(sorted({t for c in counts for t in c}))}  # 0: not in any item
         self.impact = np.zeros((len(self.terms) + 1, len(self.items)), np.float32)
         for j, (c, (_, w, _)) in enumerate(zip(counts, self.items, strict=True)):
             norm = K1 * (1 - B + B * len(w) / mean)
-            score = {t: math.log(1 + (len(self.items) - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + norm)
+            score = {t: math.log(1 + (known.n - df[t] + 0.5) / (df[t] + 0.5)) * n * (K1 + 1) / (n + norm)
                      for t, n in c.items()}
             total = sum(score.values())
             for t, s in score.items():
@@ -128,7 +147,7 @@ class Index:
                 grams = _grams(words[start:start + 2 * self.longest])
                 shorter = {}
                 share = []
-                for part in self.parts[j]:
+                for part in filter(None, self.parts[j]):
                     n = len(next(iter(part)))
                     if n < GRAM and n not in shorter:
                         inside = words[start:start + 2 * self.longest]
@@ -150,15 +169,36 @@ class Index:
         return found
 
 
+def _item_terms(items: DataFrame) -> DataFrame:
+    """``part`` (the item's group), ``words`` (of the item, in its first row, else null) and ``term``, a distinct word each."""
+    def run(batches):
+        for batch in batches:
+            for part, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = words_of(text)
+                terms = sorted(set(words))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part] * len(terms), pa.int64()),
+                     pa.array([len(words) if k == 0 else None for k in range(len(terms))], pa.int64()),
+                     pa.array(terms, pa.string())], names=["part", "words", "term"])
+
+    return materialize(map_batches(items.select("part", "text"), run, "part bigint, words bigint, term string"), "terms")
+
+
 def _passes(benchmark: DataFrame):
-    """Indexes of bounded groups of items."""
+    """``(items, statistics)`` of bounded groups of items; of the document frequencies each has those of its own terms."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), whole_text().alias("text"))
     groups = max(1, -(-items.count() // ITEMS_PER_PASS))
-    by_group = defaultdict(list)
+    items = materialize(items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups))), "items")
+    terms = _item_terms(items)
+    total = terms.agg(F.count("words").alias("n"), F.coalesce(F.sum("words"), F.lit(0)).alias("words"),
+                      F.coalesce(F.max("words"), F.lit(0)).alias("longest")).first()
+    counts = materialize(terms.groupBy("term").agg(F.count("*").alias("df")), "frequencies")
     for group in range(groups):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == group).collect()
-        by_group[group] = [(r["item_id"], r["text"]) for r in rows]
-        yield by_group.pop(group)
+        rows = items.where(F.col("part") == group).collect()
+        own = terms.where(F.col("part") == group).select("term").distinct()
+        df = {r["term"]: r["df"] for r in counts.join(own, "term").collect()}
+        yield ([(r["item_id"], r["text"]) for r in rows],
+               Statistics(total["n"], total["words"] / max(1, total["n"]), total["longest"], df))
 
 
 def mark_leaks(docs: DataFrame, benchmark: DataFrame, carry) -> DataFrame:
@@ -173,7 +213,7 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, carry) -> DataFrame:
         shared = spark.sparkContext.broadcast(group)
 
         def run(batches, shared=shared, width=len(carry)):
-            index = Index(shared.value)
+            index = Index(*shared.value)
             for batch in batches:
                 found = index.leaks(batch.column(width + 2).to_pylist())
                 items = [sorted(set(before) | set(i for i in now if i is not None)) for before, now in

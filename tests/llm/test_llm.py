@@ -309,6 +309,27 @@ def test_several_passes_over_a_large_benchmark(make, monkeypatch):
     assert got == {**{i: [i] for i, _ in items}, 99: []}
 
 
+def test_scores_do_not_depend_on_the_number_of_passes(make, monkeypatch):
+    rng = random.Random(4)
+    items = [(i, words(rng, rng.randint(8, 40), 80) + ". " + words(rng, rng.randint(4, 12), 80)) for i in range(12)]
+    items += [(20, "onlyword"), (21, "")]
+    texts = [words(rng, 30) + " " + " ".join(t.split()[:k]) + " " + words(rng, 30)
+             for _, t in items for k in range(1, len(t.split()) + 1)]
+    docs = make("doc_id long, text string", list(enumerate(texts)))
+    benchmark, seen, scores = make("item_id long, text string", items), [], []
+    for size in (2, 2048):
+        monkeypatch.setattr(decontam, "ITEMS_PER_PASS", size)
+        groups = list(decontam._passes(benchmark))
+        found = {}
+        for index in (decontam.Index(*g) for g in groups):
+            numbers = [np.array([index.terms.get(w, 0) for w in decontam.words_of(t)]) for t in texts]
+            found |= {(p, index.items[j][0]): round(s, 4) for p, j, s in index.retrieve(numbers)}
+        scores.append(found)
+        seen.append({r.doc_id: (r["items"], r.overlap) for r in decontam.mark_leaks(docs, benchmark, ["doc_id"]).collect()})
+    assert len(groups) == 1 and scores[0] == scores[1] and len(scores[0]) > 50
+    assert seen[0] == seen[1] and seen[0][len(texts) - 1] == ([20], 1.0)
+
+
 # conversations, archives, lines --------------------------------------------------------------------
 
 def test_preference_prefix_and_spans(make):
