@@ -4,6 +4,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage befor
 return the columns of ``documents``.
 """
 
+from pyspark.sql import functions as F
+
 from riskloom.llm import decontam, linefreq, packing, quality, setjoin, tokens
 from riskloom.session import materialize
 
@@ -15,7 +17,8 @@ def quality_rules(spark, docs, sf_dir):
 
 def line_dedup(spark, docs, sf_dir):
     """Every document without its site's boilerplate lines; ``n_chars`` follows the text."""
-    return linefreq.drop_boilerplate(docs).select(*docs.columns)
+    cleaned = linefreq.drop_boilerplate(docs)
+    return cleaned.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
 def near_duplicate_join(spark, docs, sf_dir):

@@ -424,3 +424,11 @@ def test_pipeline_stages(spark, documents):
     assert {r.doc_id for r in pieces} == kept
     total = {r.doc_id: r.doc_tokens for r in pieces}
     assert sum(total.values()) == sum(r.length for r in pieces)
+
+
+def test_line_dedup_counts_the_characters_that_stay(spark, make):
+    import corpus_pipeline
+    rows = [(i, f"menu\nbödy {i}", "en", "a", 99) for i in range(10)] + [(10, None, "en", "a", None), (11, "x", "en", None, 1)]
+    got = corpus_pipeline.line_dedup(spark, make("doc_id long, text string, lang string, source string, n_chars long", rows), None)
+    assert {r.doc_id: r.n_chars for r in got.collect()} == {**dict.fromkeys(range(10), 6), 10: None, 11: 1}
+    assert dict(got.dtypes)["n_chars"] == "bigint"
