@@ -7,6 +7,9 @@ script, octets stay below 256, a card number keeps whether its check digit is ri
 its country code, a token its alphabet, a name its title's gender and its script. Draws that collide go to
 the smallest entity; the others draw again. Built-in expressions only.
 
+An e-mail in another case, and a phone, card, IBAN or SSN with other blanks, dots, dashes or brackets, is the same
+entity; its replacement is written in the format of each mention. A phone with and one without country code are two.
+
 Defined cases: a null text stays null. Repeated rows give equal results. A null ``doc_id`` is carried
 through. Columns named like a result column are replaced. An empty table gives an empty result.
 """
@@ -17,16 +20,22 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import fresh, without
 from riskloom.session import materialize
 
+# After a blank: an IP, SSN, card or phone of its own, which a phone number must not run on into.
+_ANOTHER = (r"(?! (?:(?:\d{1,3}\.){3}\d|\d{3}-\d{2}-\d{4}(?![\d\-])|(?:\d{4}[ \-]){3}\d{4}(?![\d\-])"
+            r"|\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])))")
+# No more digits since the plus sign; written out, as a look-behind allows no repeated groups.
+_AT_MOST_15 = r"(?<!\+" + r"[ .\-()]{0,2}\d" * 16 + r"(?:[ .\-()]{0,2}\d)?" * 11 + ")"
 #: Patterns of the entity types, tried in this order at every place of a text. A cheap test stands before each
 #: costly one; an address starts where its run of characters does or where the last match ended, so that
 #: a long run without an "@" is read once, and has at most the 127 labels of a host name.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+\-]))[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+){1,126}",
-    "secret": r"(?<=[\"'])(?<=(?i:token|key|secret|password) ?[=:] ?[\"'])[A-Za-z0-9_\-]{16,128}(?=[\"'])",
+    "secret": r"(?<=[\"'])(?<=(?i:token|key|secret|password) ?[=:] ?[\"'])[A-Za-z0-9_\-]{16,}+(?=[\"'])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
-    "phone": r"(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?:[ .\-]?\d{2,4}){1,4}(?!\d)"
+    "phone": rf"(?<![\w+])\+\d{{1,3}}{_ANOTHER}[ .\-]?(?:\(\d{{1,4}}\){_ANOTHER}[ .\-]?)?\d{{1,4}}"
+             rf"(?:{_ANOTHER}[ .\-]?\d{{2,4}}){{1,4}}(?!\d){_AT_MOST_15}"
              r"|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])",
     "card": r"(?<![\d.\-])(?:\d{4}[ \-]){3}\d{4}(?![\d\-])|(?<![\d.])\d{13,19}(?!\d)",
     "name": r"(?=\p{Lu})(?<= )(?<=\b(?:Mr|Mrs|Ms|Herr|Frau|Mme|Sr|Sra|г-н|г-жа|κ|κα)\.? )\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?",
@@ -65,6 +74,25 @@ def _kind(entity):
             .when(e.rlike(r"^\p{Lu}\p{Ll}+( \p{Lu}\p{Ll}+)?$"), "name").otherwise("secret"))
 
 
+def _plain(kind, text):
+    """A mention without what its format adds: the entity by which surrogates are keyed."""
+    return (F.when(kind == "email", F.lower(text)).when(kind == "phone", F.translate(text, " .-()", ""))
+            .when(kind.isin("card", "ssn"), F.translate(text, " -", ""))
+            .when(kind == "iban", F.translate(text, " ", "")).otherwise(text))
+
+
+def _in_format(kind, mention, surrogate):
+    """The ``surrogate`` of a plain entity as this mention writes it; what a late attempt adds stands at the end."""
+    cased = F.array_join(F.transform(F.split(surrogate, ""), lambda c, i: F.when(
+        F.substring(mention, i + 1, F.lit(1)).rlike("[A-Z]"), F.upper(c)).otherwise(c)), "")
+    marked = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(_plain(kind, c) == "", c).otherwise(
+        F.substring(surrogate, F.length(_plain(kind, F.substring(mention, F.lit(1), i + 1))), F.lit(1)))), "")
+    rest = F.substring(surrogate, F.length(_plain(kind, mention)) + 1, F.length(surrogate))
+    return (F.when(_plain(kind, mention) == mention, surrogate)
+            .when(kind == "email", F.when(F.length(surrogate) == F.length(mention), cased).otherwise(surrogate))
+            .otherwise(F.concat(marked, rest)))
+
+
 def _draw(key: str, entity: str, attempt, salt: str):
     """192 hash values of 0..65535 for an entity, by position (from 1)."""
     blocks = [F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit(f"{salt}{i}"), attempt.cast("string"), F.col(entity)), 256)
@@ -147,8 +175,7 @@ def _replacement(key: str, attempt):
     at = F.instr(entity, "@")
     suffix = F.length(F.regexp_extract(entity, r"\.[A-Za-z0-9\-]+$", 0))
     email = F.concat(longer, _same_format(entity, stream, keep=lambda c, i: i >= F.length(entity) - suffix))
-    country = F.length(F.regexp_extract(entity, r"^\+\d{1,3}(?=[ .\-(])", 0))
-    phone = F.concat(_same_format(entity, stream, letters=False, keep=lambda c, i: i < country), longer)
+    phone = F.concat(_same_format(entity, stream, letters=False, keep=lambda c, i: i < F.col("country")), longer)
     secret = F.concat(F.when(entity.rlike("^[0-9a-f]+$"), _same_format(entity, stream, hexadecimal=True))
                       .otherwise(_same_format(entity, stream)), longer)
     plain = F.concat(_same_format(entity, stream, letters=True, keep=lambda c, i: (F.col("kind") == "iban") & (i < 2)), longer)
@@ -159,7 +186,7 @@ def _replacement(key: str, attempt):
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
-    """``entity``, ``kind``, ``surrogate`` and ``attempt`` for distinct ``entity``, ``kind``, ``gender``.
+    """``entity``, ``kind``, ``surrogate`` and ``attempt`` for distinct ``entity``, ``kind``, ``gender``, ``country``.
 
     Each round draws for the entities still open. A draw is free if no entity is spelled so and nobody
     holds it; of several that drew it the smallest entity gets it. Few are left after the first round.
@@ -169,13 +196,13 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
     while True:
         n = F.lit(attempt)
         drawn = materialize(waiting.withColumn("stream", _draw(key, "entity", n, "s")).select(
-            "entity", "kind", "gender", _replacement(key, n).alias("surrogate"), n.alias("attempt")), "draws")
+            "entity", "kind", "gender", "country", _replacement(key, n).alias("surrogate"), n.alias("attempt")), "draws")
         free = drawn.join(spelled, "surrogate", "left_anti")
         if done is not None:
             free = free.join(done.select("surrogate"), "surrogate", "left_anti")
         won = free.groupBy("surrogate").agg(F.min_by(F.struct("entity", "kind", "attempt"), "entity").alias("w"))
         won = materialize(won.select("w.entity", "w.kind", "surrogate", "w.attempt"), "surrogates")
-        waiting = drawn.join(won, "entity", "left_anti").select("entity", "kind", "gender")
+        waiting = drawn.join(won, "entity", "left_anti").select("entity", "kind", "gender", "country")
         done = won if done is None else done.union(won)
         attempt += 1
         if waiting.isEmpty():
@@ -197,12 +224,16 @@ def replace_personal_data(docs: DataFrame, key: str, text="text") -> DataFrame:
                            F.split(text, whole_pattern(), -1).alias("p")).where(F.size("m") > 0)
     places = materialize(matches.select(doc, digest, F.posexplode(F.arrays_zip(
         "m", F.slice("p", 1, F.size("m")).alias("p")))).select(
-        doc, digest, "pos", F.col("col.m").alias("entity"),
+        doc, digest, "pos", F.col("col.m").alias("mention"),
         F.when(F.right(F.col("col.p"), F.lit(8)).rlike(female), "f").otherwise("m").alias("gender")), "places")
-    entities = places.groupBy("entity").agg(F.min("gender").alias("gender")).withColumn("kind", _kind("entity"))
+    kind = F.col("kind")
+    places = places.withColumn("kind", _kind("mention")).withColumn("entity", _plain(kind, F.col("mention")))
+    entities = places.groupBy("entity", "kind").agg(F.min("gender").alias("gender"), F.max(F.length(
+        F.regexp_extract("mention", r"^\+\d{1,3}(?=[ .\-(])", 0))).alias("country"))
     surrogates = materialize(assign(materialize(entities, "entities"), key), "surrogates")
+    written = _in_format(kind, F.col("mention"), F.col("surrogate")).alias("surrogate")
     lists = places.join(surrogates.select("entity", "surrogate"), "entity").groupBy(doc, digest).agg(
-        F.sort_array(F.collect_set(F.struct("pos", "surrogate"))).alias(found))
+        F.sort_array(F.collect_set(F.struct("pos", written))).alias(found))
     lists = lists.select(F.col(doc).alias("_d"), F.col(digest).alias("_g"), found)
     joined = keyed.join(materialize(lists, "lists"), F.col(doc).eqNullSafe(F.col("_d"))
                         & (F.col(digest) == F.col("_g")), "left")

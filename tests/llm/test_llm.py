@@ -205,6 +205,21 @@ def test_surrogates_stay_distinct_in_a_crowded_space(make):
     assert len(set(got)) == len(rows) and not set(got) & {t for _, t in rows}
 
 
+def test_surrogates_of_neighbours_long_secrets_and_other_formats(make):
+    secret = "0123456789abcdef" * 20
+    rows = [(1, "+1 (826) 555-4081 190.137.223.204"), (2, "190.137.223.204"), (3, "+1 826 555 4081"), (4, "+1 (843) 555-7672 123-45-6789"),
+            (5, "123-45-6789"), (6, f"token = '{secret}'"), (7, "Jane.Doe@Mail.example.com"), (8, "jane.doe@mail.example.com"),
+            (9, "4111 1111 1111 1111"), (10, "4111-1111-1111-1111 x"), (11, "+12 345 678 901 234 567")]
+    got = {r.doc_id: (r.text, r.n_entities) for r in surrogate.replace_personal_data(make("doc_id long, text string", rows), "k").collect()}
+    assert [got[i][1] for i in range(1, 12)] == [2, 1, 1, 2, 1, 1, 1, 1, 1, 1, 1]
+    assert got[1][0].endswith(" " + got[2][0]) and got[4][0].endswith(" " + got[5][0]) and "190.137" not in got[1][0]
+    digits = lambda x: "".join(c for c in x if c.isdigit())
+    assert digits(got[3][0]) == digits(got[1][0].rsplit(" ", 1)[0]) and got[3][0].startswith("+1 ") and got[1][0].startswith("+1 (")
+    assert secret not in got[6][0] and len(got[6][0]) == len(rows[5][1]) and "abcdef0123" not in got[6][0]
+    assert got[7][0].lower() == got[8][0] and got[7][0][0].isupper() and got[8][0].islower()
+    assert digits(got[9][0]) == digits(got[10][0]) and got[10][0].count("-") == 3
+
+
 # n-gram join ---------------------------------------------------------------------------------------
 
 def brute_components(rows):
