@@ -138,6 +138,13 @@ def _(spark, sf_dir):
     return matrix.select(*[c for c in vocab.TREE_FEATURES if c in matrix.columns])
 
 
+@query("project_published_features")
+def _(spark, sf_dir):
+    """All 73 listed names; ``project_feature_list`` has those that the given categories reach."""
+    matrix = _full_wide(spark, sf_dir)
+    return matrix.select(*selection.listed_features(matrix, vocab.TREE_FEATURES))
+
+
 @query("month_split_range", """
 SELECT id, target, CASE WHEN m = '200107' THEN 'validate' ELSE 'train' END AS part FROM (
   SELECT *, substr(replace(appl_sbm_tm, '-', ''), 1, 6) AS m FROM target)
@@ -478,6 +485,12 @@ def _wide(spark, sf_dir):
                             provinces=w.PROVINCES, grades=w.GRADES)
 
 
+def _full_wide(spark, sf_dir):
+    """All 194 features, by the published vocabularies."""
+    tables = w.published(w.tables(spark, sf_dir))
+    return wide.wide_matrix(tables, tables["target"])
+
+
 def _compact(spark, sf_dir):
     tables = w.tables(spark, sf_dir)
     return compact.compact_matrix(tables, tables["target"], grades=w.GRADES, ways=w.PAY_WAYS,
@@ -759,9 +772,6 @@ def _(spark, sf_dir):
 
 # ---- models (no SQL counterpart) --------------------------------------------------------------
 
-ROUNDS = 10
-
-
 def _splits(matrix):
     train = clean.months_between(matrix, *w.TRAIN_MONTHS)
     held = clean.months_between(matrix, w.VALIDATION_MONTH, w.VALIDATION_MONTH)
@@ -778,16 +788,16 @@ def _(spark, sf_dir):
     from riskloom.operators import models as m
     matrix, names = _model_tables(spark, sf_dir, _compact)
     train, held = clean.split_off_month(matrix, w.VALIDATION_MONTH)
-    trees = m.boosted_trees(m.with_rounds(m.COMPACT_TREES, ROUNDS))
+    trees = m.boosted_trees(m.COMPACT_TREES)
     return m.fit_and_score(train, held, names, trees, m.MISSING)
 
 
 @query("gbt_wide_scores")
 def _(spark, sf_dir):
     from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _wide)
+    matrix, names = _model_tables(spark, sf_dir, _full_wide)
     train, held = _splits(matrix)
-    trees = m.boosted_trees(m.with_rounds(m.WIDE_TREES, ROUNDS))
+    trees = m.boosted_trees(m.WIDE_TREES)
     return m.fit_and_score(train, held, names, trees)
 
 
@@ -803,9 +813,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Listed features only, fitted on every labelled row and applied to the unlabelled set."""
     from riskloom.operators import models as m
-    matrix, _names = _model_tables(spark, sf_dir, _wide)
-    listed = [c for c in vocab.TREE_FEATURES if c in matrix.columns]
-    trees = m.boosted_trees(m.with_rounds(m.SELECTED_TREES, ROUNDS))
+    matrix, _names = _model_tables(spark, sf_dir, _full_wide)
+    listed = selection.listed_features(matrix, vocab.TREE_FEATURES)
+    trees = m.boosted_trees(m.SELECTED_TREES)
     return m.fit_and_score(matrix, matrix.drop("target"), listed, trees)
 
 
@@ -814,35 +824,29 @@ def _(spark, sf_dir):
     """Both matrices, three models, and the published blend of their scores."""
     from riskloom.operators import models as m
     from riskloom.plans import scoring
-    dense, dense_names = _model_tables(spark, sf_dir, _wide)
+    dense, _names = _model_tables(spark, sf_dir, _full_wide)
     sparse, _names = _model_tables(spark, sf_dir, _compact)
-    trees = scoring.wide_trees(
-        dense, dense.drop("target"), [c for c in vocab.TREE_FEATURES if c in dense_names],
-        m.with_rounds(m.SELECTED_TREES, 3))
-    linear = scoring.wide_linear(
-        dense, dense.drop("target"), [c for c in vocab.LINEAR_FEATURES if c in dense_names],
-        iterations=500)
-    compact_scores = scoring.compact_trees(
-        sparse, sparse.drop("target"), m.with_rounds(m.COMPACT_TREES, 3))
+    trees = scoring.wide_trees(dense, dense.drop("target"), selection.listed_features(dense, vocab.TREE_FEATURES))
+    linear = scoring.wide_linear(dense, dense.drop("target"), selection.listed_features(dense, vocab.LINEAR_FEATURES))
+    compact_scores = scoring.compact_trees(sparse, sparse.drop("target"))
     return scoring.final_scores(compact_scores, linear, trees)
 
 
 @query("sweep_feature_counts")
 def _(spark, sf_dir):
     from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _wide)
+    matrix, names = _model_tables(spark, sf_dir, _full_wide)
     train, held = _splits(matrix)
-    results = m.sweep_feature_counts(train, held, names, m.with_rounds(m.SELECTED_TREES, 2),
-                                     counts=(30, 60), forest_size=5)
+    results = m.sweep_feature_counts(train, held, names)
     return spark.createDataFrame(results, "k int, kept int, auc double")
 
 
 @query("holdout_auc")
 def _(spark, sf_dir):
     from riskloom.operators import models as m
-    matrix, _names = _model_tables(spark, sf_dir, _wide)
+    matrix, _names = _model_tables(spark, sf_dir, _full_wide)
     train, held = _splits(matrix)
-    listed = [c for c in vocab.LINEAR_FEATURES if c in matrix.columns]
+    listed = selection.listed_features(matrix, vocab.LINEAR_FEATURES)
     scored = m.fit_and_score(train, held, listed, m.ridge_logistic(train))
     return exact_auc(scored, score="PROB")
 
@@ -851,7 +855,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     from riskloom.operators import models as m
     matrix, names = _model_tables(spark, sf_dir, _compact)
-    trees = m.boosted_trees(m.with_rounds(m.COMPACT_TREES, ROUNDS))
+    trees = m.boosted_trees(m.COMPACT_TREES)
     model = m.fit(matrix, names, trees, m.MISSING)
     return ordering.top_features(m.importance_scores(model, spark, names), 20)
 
@@ -861,7 +865,7 @@ def _(spark, sf_dir):
     from riskloom.operators import models as m
     matrix, names = _model_tables(spark, sf_dir, _compact)
     train, held = clean.split_off_month(matrix, w.VALIDATION_MONTH)
-    model = m.fit(train, names, m.boosted_trees(m.with_rounds(m.COMPACT_TREES, ROUNDS)), m.MISSING)
+    model = m.fit(train, names, m.boosted_trees(m.COMPACT_TREES), m.MISSING)
     return m.round_losses(model, spark, train, held, names, m.MISSING)
 
 
@@ -875,17 +879,15 @@ def _(spark, sf_dir):
 @query("select_linear_elimination")
 def _(spark, sf_dir):
     from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _wide)
-    kept = m.linear_elimination(matrix, names, keep=TOP_K, step=25, iterations=10)
+    matrix, names = _model_tables(spark, sf_dir, _full_wide)
+    kept = m.linear_elimination(matrix, names, keep=TOP_K)
     return selection.variance_scores(matrix, names).filter(F.col("feature").isin(kept))
 
 
 @query("stacked_scores")
 def _(spark, sf_dir):
     from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _wide)
+    matrix, names = _model_tables(spark, sf_dir, _full_wide)
     train, held = _splits(matrix)
-    small = m.with_rounds(m.WIDE_TREES, 3)
     return m.stack(train, held, names, [
-        lambda df: m.boosted_trees(small), lambda df: m.ridge_logistic(df, iterations=20)],
-        folds=2)
+        lambda df: m.boosted_trees(m.WIDE_TREES), m.ridge_logistic])

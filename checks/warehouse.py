@@ -6,6 +6,9 @@ all tables take part. Amounts are whole numbers so that sums and means are exact
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskloom import vocab
 
 SOURCES = {
     "order_info": ("orders",),
@@ -110,3 +113,23 @@ def table(spark: SparkSession, sf_dir, name) -> DataFrame:
 def tables(spark: SparkSession, sf_dir) -> dict:
     frames = {s: given(spark, sf_dir, s) for s in {s for needed in SOURCES.values() for s in needed}}
     return {name: _derived(spark, name, frames) for name in SOURCES}
+
+
+def published(frames: dict) -> dict:
+    """The tables with published category values in place of the given ones, so that the full vocabularies apply.
+
+    Each given value takes a place in its vocabulary by its checksum; nulls and the word "null" stay.
+    """
+    def word(column, words):
+        place = F.pmod(F.crc32(F.col(column).cast("binary")), F.lit(len(words))).cast("int") + 1
+        return F.when(F.col(column).isNull() | (F.col(column) == "null"), F.col(column)).otherwise(
+            F.element_at(F.array(*map(F.lit, words)), place))
+
+    def renamed(name, column, words):
+        return frames[name].withColumn(column, word(column, [x for x in words if x != "null"]))
+
+    orders = renamed("order_info", "type_pay", vocab.PAYMENT_TYPES)
+    orders = orders.withColumn("sts_order", word("sts_order", [x for x in vocab.ORDER_STATUSES if x != "null"]))
+    return {**frames, "order_info": orders,
+            "recieve_addr_info": renamed("recieve_addr_info", "region", vocab.PROVINCES),
+            "user_info": renamed("user_info", "account_grade", vocab.ACCOUNT_GRADES)}

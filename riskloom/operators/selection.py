@@ -19,6 +19,14 @@ def selectable_features(df: DataFrame) -> list[str]:
     return feature_columns(df, drop=NOT_SELECTABLE)
 
 
+def listed_features(df: DataFrame, names) -> list[str]:
+    """The ``names``, all of which ``df`` must hold."""
+    missing = [n for n in names if n not in df.columns]
+    if missing:
+        raise ValueError(f"{len(missing)} of {len(names)} listed features are missing: {missing}")
+    return list(names)
+
+
 def _long_form(df: DataFrame, columns, *keys) -> DataFrame:
     """One row per row and column: ``position``, ``value`` and the keys.
 
