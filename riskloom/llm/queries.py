@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, linefreq, packing, preference, quality, rans, setjoin, suffix, surrogate, tokens, warc
+from riskloom.llm import (centroids, decontam, linefreq, packing, preference, quality, rans, setjoin, suffix, surrogate,
+                          tokens, warc, whitening)
 from riskloom.session import materialize
 
 # Whoever keeps the key can link a surrogate to its entity; a deployment passes its own.
@@ -89,6 +90,16 @@ def site_lines(spark, sf_dir):
         "doc_id", "n_lines", "n_dropped", "text")
 
 
+def embedding_whitening(spark, sf_dir):
+    """Every vector's whitened components."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+def centroid_clusters(spark, sf_dir):
+    """Every vector's cluster."""
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_host_quality": host_quality,
     "op2_suffix_dedup": suffix_dedup,
@@ -101,6 +112,8 @@ QUERIES = {
     "op8_rans_tokens": rans_tokens,
     "op9_warc_salvage": warc_salvage,
     "op10_site_lines": site_lines,
+    "op11_whitening": embedding_whitening,
+    "op12_centroid_clusters": centroid_clusters,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -119,6 +132,31 @@ def _span_text(turns):
             f" lambda i: ({end} - length({turns}[i].text) - 8) || '-' || {end}), ','), '')")
 
 
+def _cluster_sql(k=40, rounds=5):
+    """Every round as its own tables: numbered centroids, their distances to all vectors, the nearest ones, floored means."""
+    def nearest(i):
+        return f"""d{i} AS (SELECT v.vec_id, v.x, c.n, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+    FROM v, c{i} c),
+a{i} AS (SELECT vec_id, any_value(x) AS x, min(struct_pack(d := d, n := n)) AS m FROM d{i} GROUP BY vec_id),"""
+
+    def means(i):
+        return f"""s{i} AS (SELECT m.n AS n, i, CAST(floor(CAST(sum(x[i]) AS DECIMAL(38, 9)) / count(*)) AS BIGINT) AS x
+    FROM a{i}, range(1, 65) r(i) GROUP BY m.n, i),
+c{i + 1} AS (SELECT c.n, coalesce(s.x, c.x) AS x FROM c{i} c LEFT JOIN
+    (SELECT n, list(x ORDER BY i) AS x FROM s{i} GROUP BY n) s USING (n)),"""
+
+    steps = "\n".join(nearest(i) + "\n" + means(i) for i in range(rounds)) + "\n" + nearest(rounds)
+    return f"""
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: isfinite(e))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS n, x FROM v ORDER BY n LIMIT {k}),
+{steps}
+f AS (SELECT vec_id, CAST(m.n AS INTEGER) AS cluster, CAST(m.d AS BIGINT) AS distance FROM a{rounds})
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM f JOIN c{rounds} c ON c.n = f.cluster"""
+
+
 SQL = {
     "op1_host_quality": rf"""
 WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
@@ -217,4 +255,5 @@ g AS (SELECT doc_id, count(*) AS n_lines, sum(CAST(drop_it AS BIGINT)) AS n_drop
         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT drop_it), '') AS kept FROM f GROUP BY doc_id)
 SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped,
   CASE WHEN text IS NULL THEN NULL ELSE kept END AS text FROM documents LEFT JOIN g USING (doc_id)""",
+    "op12_centroid_clusters": _cluster_sql(),
 }
