@@ -1,9 +1,11 @@
 """The text operators over the given tables, and their SQL."""
 
+import re
+
 from pyspark.sql import functions as F
 
-from riskloom.llm import (centroids, decontam, linefreq, packing, preference, quality, rans, setjoin, suffix, surrogate,
-                          tokens, warc, whitening)
+from riskloom.llm import (centroids, decontam, linefreq, packing, preference, quality, rans, secretscan, setjoin, suffix,
+                          surrogate, tokens, warc, whitening)
 from riskloom.session import materialize
 
 # Whoever keeps the key can link a surrogate to its entity; a deployment passes its own.
@@ -100,6 +102,17 @@ def centroid_clusters(spark, sf_dir):
     return centroids.cluster(_table(spark, sf_dir, "embeddings"))
 
 
+def secret_scan(spark, sf_dir):
+    """Every document's secrets."""
+    def count(kind):
+        return F.size(F.filter("secrets", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    found = secretscan.find_secrets(_table(spark, sf_dir, "documents"), ["doc_id"])
+    base = [rule.kind for rule in secretscan.BASE]
+    return found.select("doc_id", *map(count, base), F.sha2(secretscan.as_text(F.filter(
+        "secrets", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"), secretscan.as_text("secrets").alias("spans"))
+
+
 QUERIES = {
     "op1_host_quality": host_quality,
     "op2_suffix_dedup": suffix_dedup,
@@ -114,6 +127,7 @@ QUERIES = {
     "op10_site_lines": site_lines,
     "op11_whitening": embedding_whitening,
     "op12_centroid_clusters": centroid_clusters,
+    "op13_secret_scan": secret_scan,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -157,6 +171,33 @@ SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster)
 FROM f JOIN c{rounds} c ON c.n = f.cluster"""
 
 
+def _secrets_sql():
+    """Every rule as the texts between its matches, whose lengths add up to the matches' places; case by letter classes."""
+    def either_case(pattern):
+        return re.sub("[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", pattern)
+
+    word = "(" + either_case("password|passwd|secret|token|api_?key") + ")"
+    rules = [("assign", word + r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+             ("access", "AKIA[A-Z0-9]+", 0, 18), ("hex", "[0-9a-f]+", 0, 16),
+             *((r.kind, r.pattern, 0, 1) for r in secretscan.RULES[3:])]
+    found = "\nUNION ALL ".join(
+        f"SELECT rid, {n} AS rule, unnest(string_split_regex(text, '{p}')) AS piece, unnest(regexp_extract_all(text, '{p}')) AS whole,"
+        f" unnest(regexp_extract_all(text, '{p}', {g})) AS value, {least} AS least,"
+        f" unnest(range(1, len(string_split_regex(text, '{p}')) + 1)) AS i FROM t"
+        for n, (_, p, g, least) in enumerate(rules))
+    names = ", ".join(f"'{r[0]}'" for r in rules)
+    joined = "coalesce(string_agg(([{0}])[rule + 1] || ':' || s || ':' || e, ',' ORDER BY s, rule){1}, '')"
+    base = joined.format(names, " FILTER (WHERE rule < 3)")
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({found}),
+p AS (SELECT *, CAST(sum(length(piece) + length(coalesce(whole, ''))) OVER (PARTITION BY rid, rule ORDER BY i) AS BIGINT) AS e FROM m),
+k AS (SELECT rid, rule, e - length(whole) AS s, e FROM p WHERE whole IS NOT NULL AND length(value) >= least)
+SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE rule = {n}) AS n_{rules[n][0]}" for n in range(3))},
+  sha256({base}) AS base_sha256, {joined.format(names, "")} AS spans
+FROM t LEFT JOIN k USING (rid) GROUP BY rid, doc_id"""
+
+
 SQL = {
     "op1_host_quality": rf"""
 WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
@@ -256,4 +297,5 @@ g AS (SELECT doc_id, count(*) AS n_lines, sum(CAST(drop_it AS BIGINT)) AS n_drop
 SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped,
   CASE WHEN text IS NULL THEN NULL ELSE kept END AS text FROM documents LEFT JOIN g USING (doc_id)""",
     "op12_centroid_clusters": _cluster_sql(),
+    "op13_secret_scan": _secrets_sql(),
 }
