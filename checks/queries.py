@@ -6,16 +6,17 @@ that SQL. Doubles whose value depends on the order of a sum are rounded on both
 
 from pyspark.sql import functions as F
 
+from checks import facts as f
 from checks import oracle as o
 from checks import warehouse as w
 from riskloom import vocab
 from riskloom.functions import counts, dates, flags, numbers, text
-from riskloom.operators import clean, dedup, ordering, scaling, selection
+from riskloom.operators import clean, dedup, extra_trees, moments, ordering, scaling, selection, tree_table
 from riskloom.operators.blending import blend_three, blend_two
 from riskloom.operators.evaluation import exact_auc
 from riskloom.operators.joins import attach_aggregate, join_features
 from riskloom.plans import compact, wide
-from riskloom.session import materialize, shared_dir
+from riskloom.session import materialize, shared_dir, shared_path
 
 QUERIES = {}
 SQL = {}
@@ -627,9 +628,8 @@ SELECT feature, CASE WHEN n = 2 THEN 'binary' ELSE 'continuous' END AS kind FROM
 def _(spark, sf_dir):
     matrix = materialize(_wide(spark, sf_dir), "matrix")
     names = selection.selectable_features(matrix)
-    binary = selection.binary_columns(matrix, names)
-    kind = F.when(F.col("feature").isin(binary), "binary").otherwise("continuous")
-    return selection.variance_scores(matrix, names).select("feature", kind.alias("kind"))
+    binary = set(selection.binary_columns(matrix, names))
+    return spark.createDataFrame([(n, "binary" if n in binary else "continuous") for n in names], "feature string, kind string")
 
 
 @query("topk_features", f"""
@@ -770,6 +770,68 @@ def _(spark, sf_dir):
     return rounded(_wide(spark, sf_dir), WIDE_DOUBLES).orderBy("id").limit(5)
 
 
+# ---- models on the facts, with SQL ------------------------------------------------------------
+
+def _facts(spark, sf_dir):
+    return f.facts(spark, w.tables(spark, sf_dir))
+
+
+@query("second_moments", f.moments_sql())
+def _(spark, sf_dir):
+    return moments.as_pairs(_facts(spark, sf_dir), [*f.COLUMNS, "target"])
+
+
+@query("extra_trees_importances", f.extra_trees_sql(6, 4, 3))
+def _(spark, sf_dir):
+    return rounded(extra_trees.importance_scores(
+        _facts(spark, sf_dir), f.COLUMNS, trees=6, depth=4, per_node=3), ["score"])
+
+
+def _fixed_ensemble(spark):
+    return spark.createDataFrame(f.ENSEMBLE, tree_table.SCHEMA)
+
+
+@query("ensemble_scores", f"""
+SELECT id AS ID, round(1 / (1 + exp(-2 * ({f.margin_sql(3)}))), 9) AS PROB, target FROM ({f.ORACLE})""")
+def _(spark, sf_dir):
+    """Scores of a fixed ensemble stored as a table, by joins with its nodes."""
+    return rounded(tree_table.table_scores(_fixed_ensemble(spark), _facts(spark, sf_dir), f.COLUMNS), ["PROB"])
+
+
+def _grouped_auc_sql(rows, group):
+    """Pairs of a positive and a negative by a running total of the negatives in each group; ``rows`` has group, target, score."""
+    return f"""
+SELECT {group}, SUM(pos * (lower + CAST(neg AS DOUBLE) / 2)) / (CAST(SUM(pos) AS DOUBLE) * SUM(neg)) AS auc,
+  CAST(SUM(pos) AS BIGINT) AS positives, CAST(SUM(neg) AS BIGINT) AS negatives
+FROM (SELECT *, COALESCE(SUM(neg) OVER (PARTITION BY {group} ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lower
+  FROM (SELECT {group}, score, COUNT(*) FILTER (WHERE target = 1) AS pos, COUNT(*) FILTER (WHERE target <> 1) AS neg
+    FROM ({rows}) GROUP BY {group}, score)) GROUP BY {group}"""
+
+
+@query("auc_by_group", _grouped_auc_sql("""
+SELECT l_linenumber, l_extendedprice AS score, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS target FROM lineitem""",
+                                        "l_linenumber"))
+def _(spark, sf_dir):
+    lines = w.given(spark, sf_dir, "lineitem").withColumn("target", flags.equals_flag("l_returnflag", "R"))
+    return tree_table.grouped_auc(lines, "l_linenumber", score="l_extendedprice")
+
+
+_WATCHED = " UNION ALL ".join(f"SELECT CAST({r} AS INTEGER) AS round, held, target, {f.margin_sql(r)} AS score FROM sides" for r in (1, 2, 3))
+
+
+@query("ensemble_watch_list", f"""
+SELECT * FROM (WITH sides AS (SELECT *, replace(substr(appl_sbm_tm, 1, 7), '-', '') >= '200001' AS held FROM ({f.ORACLE})), watched AS ({_WATCHED})
+SELECT round, round(max(auc) FILTER (WHERE NOT held), 9) AS train_auc, round(max(auc) FILTER (WHERE held), 9) AS validation_auc
+FROM (SELECT grp // 2 AS round, grp % 2 = 1 AS held, auc FROM ({_grouped_auc_sql(
+    "SELECT 2 * round + CAST(held AS INTEGER) AS grp, target, score FROM watched", "grp")})) GROUP BY round)""")
+def _(spark, sf_dir):
+    """AUC of both sides of a split after every round of the fixed ensemble."""
+    facts = materialize(_facts(spark, sf_dir), "facts")
+    held = text.month_key("appl_sbm_tm") >= "200001"
+    watched = tree_table.watch_list(_fixed_ensemble(spark), facts.filter(~held), facts.filter(held), f.COLUMNS)
+    return rounded(watched, ["train_auc", "validation_auc"])
+
+
 # ---- models (no SQL counterpart) --------------------------------------------------------------
 
 def _splits(matrix):
@@ -783,13 +845,47 @@ def _model_tables(spark, sf_dir, build):
     return matrix, selection.selectable_features(matrix)
 
 
+_fits = {}
+
+
+def _compact_fit(spark, sf_dir):
+    """The published fit on the compact matrix: model, feature names, both sides of the split. Fitted once per session and data."""
+    from riskloom.operators import models as m
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _fits:
+        matrix, names = _model_tables(spark, sf_dir, _compact)
+        train, held = clean.split_off_month(matrix, w.VALIDATION_MONTH)
+        _fits[key] = m.fit(train, names, m.boosted_trees(m.COMPACT_TREES), m.MISSING), names, train, held
+    return _fits[key]
+
+
 @query("gbt_compact_scores")
 def _(spark, sf_dir):
     from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _compact)
-    train, held = clean.split_off_month(matrix, w.VALIDATION_MONTH)
-    trees = m.boosted_trees(m.COMPACT_TREES)
-    return m.fit_and_score(train, held, names, trees, m.MISSING)
+    model, names, _train, held = _compact_fit(spark, sf_dir)
+    return m.score(model, held, names, m.MISSING)
+
+
+@query("gbt_table_scores")
+def _(spark, sf_dir):
+    """The like from the model's nodes as a table, without the model."""
+    from riskloom.operators import models as m
+    model, names, _train, held = _compact_fit(spark, sf_dir)
+    return tree_table.table_scores(tree_table.ensemble_table(model), held, names, m.MISSING)
+
+
+@query("split_counts_top20")
+def _(spark, sf_dir):
+    model, names, _train, _held = _compact_fit(spark, sf_dir)
+    return ordering.top_features(tree_table.split_counts(tree_table.ensemble_table(model), names), 20)
+
+
+@query("gbt_watch_list")
+def _(spark, sf_dir):
+    """AUC on both sides after every round."""
+    from riskloom.operators import models as m
+    model, names, train, held = _compact_fit(spark, sf_dir)
+    return tree_table.watch_list(tree_table.ensemble_table(model), train, held, names, m.MISSING)
 
 
 @query("gbt_wide_scores")
@@ -821,24 +917,16 @@ def _(spark, sf_dir):
 
 @query("final_scores")
 def _(spark, sf_dir):
-    """Both matrices, three models, and the published blend of their scores."""
+    """Both matrices, three models fitted side by side, and the published blend of their scores."""
     from riskloom.operators import models as m
     from riskloom.plans import scoring
     dense, _names = _model_tables(spark, sf_dir, _full_wide)
     sparse, _names = _model_tables(spark, sf_dir, _compact)
-    trees = scoring.wide_trees(dense, dense.drop("target"), selection.listed_features(dense, vocab.TREE_FEATURES))
-    linear = scoring.wide_linear(dense, dense.drop("target"), selection.listed_features(dense, vocab.LINEAR_FEATURES))
-    compact_scores = scoring.compact_trees(sparse, sparse.drop("target"))
-    return scoring.final_scores(compact_scores, linear, trees)
-
-
-@query("sweep_feature_counts")
-def _(spark, sf_dir):
-    from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _full_wide)
-    train, held = _splits(matrix)
-    results = m.sweep_feature_counts(train, held, names)
-    return spark.createDataFrame(results, "k int, kept int, auc double")
+    found = m.stored_results(spark, {
+        "trees": lambda: scoring.wide_trees(dense, dense.drop("target"), selection.listed_features(dense, vocab.TREE_FEATURES)),
+        "linear": lambda: scoring.wide_linear(dense, dense.drop("target"), selection.listed_features(dense, vocab.LINEAR_FEATURES)),
+        "compact": lambda: scoring.compact_trees(sparse, sparse.drop("target"))}, shared_path(spark, "scores"))
+    return scoring.final_scores(found["compact"], found["linear"], found["trees"])
 
 
 @query("holdout_auc")
@@ -863,31 +951,20 @@ def _(spark, sf_dir):
 @query("gbt_round_losses")
 def _(spark, sf_dir):
     from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _compact)
-    train, held = clean.split_off_month(matrix, w.VALIDATION_MONTH)
-    model = m.fit(train, names, m.boosted_trees(m.COMPACT_TREES), m.MISSING)
+    model, names, train, held = _compact_fit(spark, sf_dir)
     return m.round_losses(model, spark, train, held, names, m.MISSING)
 
 
 @query("select_trees")
 def _(spark, sf_dir):
+    """300 extremely randomised trees of depth 7 on all features."""
     from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _wide)
+    matrix, names = _model_tables(spark, sf_dir, _full_wide)
     return ordering.top_features(m.forest_scores(matrix, names), TOP_K)
 
 
 @query("select_linear_elimination")
 def _(spark, sf_dir):
-    from riskloom.operators import models as m
+    """Every feature's place in recursive elimination by 1."""
     matrix, names = _model_tables(spark, sf_dir, _full_wide)
-    kept = m.linear_elimination(matrix, names, keep=TOP_K)
-    return selection.variance_scores(matrix, names).filter(F.col("feature").isin(kept))
-
-
-@query("stacked_scores")
-def _(spark, sf_dir):
-    from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _full_wide)
-    train, held = _splits(matrix)
-    return m.stack(train, held, names, [
-        lambda df: m.boosted_trees(m.WIDE_TREES), m.ridge_logistic])
+    return moments.elimination(matrix, names, keep=TOP_K)

@@ -27,26 +27,21 @@ def listed_features(df: DataFrame, names) -> list[str]:
     return list(names)
 
 
-def _long_form(df: DataFrame, columns, *keys) -> DataFrame:
-    """One row per row and column: ``position``, ``value`` and the keys.
-
-    Statistics per position then need one short plan however many columns there are. Partial
-    aggregation leaves one row per position and task before the shuffle.
-    """
-    values = F.array(*[F.col(c).cast("double") for c in columns])
-    return df.select(*keys, F.posexplode(values).alias("position", "value"))
+def _values(columns):
+    return [F.col(c).cast("double") for c in columns]
 
 
-def _named(scores: DataFrame, columns) -> DataFrame:
+def _named(rows: DataFrame, columns, *scores) -> DataFrame:
+    """One row of arrays, an entry per column, as a score frame."""
     names = F.array(*[F.lit(c) for c in columns])
-    return scores.select("position", F.element_at(names, F.col("position") + 1).alias("feature"),
-                         "score")
+    return rows.select(F.posexplode(F.arrays_zip(names.alias("feature"), *scores)).alias("position", "_")).select(
+        "position", "_.*")
 
 
 def variance_scores(df: DataFrame, columns) -> DataFrame:
-    """Population variance of every column in one pass."""
-    grouped = _long_form(df, columns).groupBy("position")
-    return _named(grouped.agg(F.var_pop("value").alias("score")), columns)
+    """Population variance of every column: one pass, one aggregate per column, no row per value."""
+    variances = df.agg(F.array(*map(F.var_pop, _values(columns))).alias("score"))
+    return _named(variances, columns, "score")
 
 
 def chi2_scores(df: DataFrame, columns, label="target") -> DataFrame:
@@ -56,17 +51,18 @@ def chi2_scores(df: DataFrame, columns, label="target") -> DataFrame:
     pass over the matrix. A feature that sums to zero has no score. (Spark's own chi-squared test
     counts categories instead, a different statistic.)
     """
-    positive = (F.col(label) == 1).alias("positive")
-    sums = _long_form(df, columns, positive).groupBy("position").agg(
-        F.avg(F.col("positive").cast("double")).alias("share"),
-        F.sum("value").alias("total"),
-        F.sum(F.when(F.col("positive"), F.col("value")).otherwise(0.0)).alias("observed"))
+    positive = F.col(label) == 1
+    sums = df.agg(F.avg(positive.cast("double")).alias("share"),
+                  F.array(*map(F.sum, _values(columns))).alias("total"),
+                  F.array(*[F.sum(F.when(positive, v).otherwise(0.0)) for v in _values(columns)]).alias("observed"))
+    shares = F.transform("total", lambda _: F.col("share")).alias("share")
+    sums = _named(sums, columns, shares, "total", "observed")
     expected = F.col("share") * F.col("total")
     # With two classes both deviations have the same size.
     deviation = F.pow(F.col("observed") - expected, F.lit(2))
     score = (F.try_divide(deviation, expected)
              + F.try_divide(deviation, (1 - F.col("share")) * F.col("total")))
-    return _named(sums.withColumn("score", score), columns)
+    return sums.select("position", "feature", score.alias("score"))
 
 
 def names_of(scores: DataFrame) -> list[str]:
@@ -92,17 +88,16 @@ def combine_names(base=None, *others) -> list[str]:
 def binary_columns(df: DataFrame, columns) -> list[str]:
     """Columns with exactly two distinct values, in schema order, nulls not counted.
 
-    Two passes instead of distinct counts: the lowest and highest value of each column, then
-    whether any value lies between them. The bounds are one row per column, so broadcasting
-    them is safe at any table size.
+    Two passes instead of distinct counts: the lowest and highest value of each column, then, for the columns
+    that vary, whether any value lies between them. The bounds are two numbers per column.
     """
-    long = _long_form(df, columns)
-    bounds = long.groupBy("position").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    between = (F.col("value") > F.col("low")) & (F.col("value") < F.col("high"))
-    found = (long.join(F.broadcast(bounds.filter("low < high")), "position")
-                 .groupBy("position").agg(F.max(between).alias("more")).filter(~F.col("more")))
-    binary = {r.position for r in found.select("position").collect()}
-    return [c for i, c in enumerate(columns) if i in binary]
+    low, high = df.agg(F.array(*map(F.min, _values(columns))), F.array(*map(F.max, _values(columns)))).first()
+    varying = [(c, a, b) for c, a, b in zip(columns, low, high) if a is not None and a < b]
+    if not varying:
+        return []
+    between = [F.max((v > a) & (v < b)) for v, (_, a, b) in zip(_values([c for c, _, _ in varying]), varying)]
+    more = df.agg(F.array(*between)).first()[0]
+    return [c for (c, _, _), other in zip(varying, more) if not other]
 
 
 def tree_layout(df: DataFrame, columns, keep_binary=130) -> list[str]:

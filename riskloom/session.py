@@ -1,9 +1,15 @@
 """Session settings and the place for intermediate tables."""
 
+import atexit
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set = set()
+
 
 def build_session(app_name="riskloom", master=None, **conf) -> SparkSession:
     """A session with adaptive execution on and UTC time.
@@ -28,6 +34,17 @@ def build_session(app_name="riskloom", master=None, **conf) -> SparkSession:
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, through Spark's own file server."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package, folder = Path(__file__).parent, tempfile.mkdtemp(prefix="riskloom-code-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)  # the driver serves it until then
+        shutil.copytree(package, f"{folder}/code/riskloom", ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(f"{folder}/riskloom", "zip", f"{folder}/code"))
+        _shipped.add(context.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The reliable folder for intermediate tables that all executors reach: ``spark.checkpoint.dir``.
 
