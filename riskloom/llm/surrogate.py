@@ -4,9 +4,15 @@ Every detected entity gets one replacement in the whole corpus (coreference), no
 (distinctness), and no replacement is itself an entity of the corpus. A replacement is drawn from
 SHA-256 over key, entity and attempt and keeps type and format: digits stay digits, letters keep case and
 script, octets stay below 256, a card number keeps whether its check digit is right, a phone number
-its country code, a token its alphabet, a name its title's gender and its script. Draws that collide go to
+its country code, a token its alphabet, a name its script, a given name its title's gender. Given name and surname are
+entities of their own, the given name one for each gender: "Mr John Smith" and "Mr Smith" keep one surname, "Mrs Alex" and
+"Mr Alex" differ. The type of a secret and of a name comes from the words before it. Draws that collide go to
 the smallest entity; the others draw again. Built-in expressions only.
 
+How it holds at scale: every text is read and matched once and stored. Texts without a match, most of all, are passed on
+where they lie; the pieces of the others are shuffled once, by a unique row number, to meet their surrogates. Joins are of one kind at every
+size; a hot entity is split by the engine's skew handling.
+
 An e-mail in another case, and a phone, card, IBAN or SSN with other blanks, dots, dashes or brackets, is the same
 entity; its replacement is written in the format of each mention. A phone with and one without country code are two.
 
@@ -30,7 +36,7 @@ _AT_MOST_15 = r"(?<!\+" + r"[ .\-()]{0,2}\d" * 16 + r"(?:[ .\-()]{0,2}\d)?" * 11
 #: a long run without an "@" is read once, and has at most the 127 labels of a host name.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+\-]))[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+){1,126}",
-    "secret": r"(?<=[\"'])(?<=(?i:token|key|secret|password) ?[=:] ?[\"'])[A-Za-z0-9_\-]{16,}+(?=[\"'])",
+    "secret": r"(?<=[\"'=: ])(?<=(?i:token|key|secret|password) ?[=:] ?[\"']?)(?=[A-Za-z_\-]*+\d|[A-Za-z0-9_\-]{16})[A-Za-z0-9_\-]{8,}+",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
@@ -40,6 +46,10 @@ PATTERNS = {
     "card": r"(?<![\d.\-])(?:\d{4}[ \-]){3}\d{4}(?![\d\-])|(?<![\d.])\d{13,19}(?!\d)",
     "name": r"(?=\p{Lu})(?<= )(?<=\b(?:Mr|Mrs|Ms|Herr|Frau|Mme|Sr|Sra|г-н|г-жа|κ|κα)\.? )\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?",
 }
+# What stands before a secret, a name, and the name of a woman.
+_SECRET_BEFORE = r"(?i)(?:token|key|secret|password) ?[=:] ?[\"']?$"
+_TITLE_BEFORE = r"\b(?:Mr|Mrs|Ms|Herr|Frau|Mme|Sr|Sra|г-н|г-жа|κ|κα)\.? $"
+_WOMAN_BEFORE = r"\b(?:Mrs|Ms|Frau|Mme|Sra|г-жа|κα)\.? $"
 #: Attempts that keep the format; later ones may lengthen the replacement, so that drawing ends.
 EXACT_ATTEMPTS = 8
 # Given names by script and gender, and syllables of invented surnames by script.
@@ -62,16 +72,17 @@ def whole_pattern() -> str:
     return "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
-def _kind(entity):
-    """Type of a detected entity, from its own characters (context patterns are left out)."""
-    e = F.col(entity)
+def _kind(mention, before):
+    """Type of a mention, from its own characters and, for secrets and names, the text before it."""
+    e, before = F.col(mention), F.col(before)
     return (F.when(e.contains("@"), "email")
+            .when(e.rlike(r"^[A-Za-z0-9_\-]{8,}$") & before.rlike(_SECRET_BEFORE), "secret")
+            .when(e.rlike(r"^\p{Lu}\p{Ll}+( \p{Lu}\p{Ll}+)?$") & before.rlike(_TITLE_BEFORE), "name")
             .when(e.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
             .when(e.rlike(r"^[A-Z]{2}\d{2}( ?[A-Z0-9]{4}){3}"), "iban")
             .when(e.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
             .when(e.rlike(r"^(\+|\(\d{3}\)|\d{3}[.\-]\d{3}[.\-]\d{4}$)"), "phone")
-            .when(e.rlike(r"^[\d \-]+$"), "card")
-            .when(e.rlike(r"^\p{Lu}\p{Ll}+( \p{Lu}\p{Ll}+)?$"), "name").otherwise("secret"))
+            .when(e.rlike(r"^[\d \-]+$"), "card").otherwise("secret"))
 
 
 def _plain(kind, text):
@@ -148,7 +159,8 @@ def _octets(entity, stream, attempt):
     return F.array_join(F.transform(F.split(entity, r"\."), one), ".")
 
 
-def _name(entity, gender, stream, attempt):
+def _name(entity, kind, gender, stream, attempt):
+    """An invented surname, or a given name of the gender; later attempts add syllables."""
     script = (F.when(entity.rlike(r"^\p{IsCyrillic}"), "cyrillic").when(entity.rlike(r"^\p{IsGreek}"), "greek")
               .otherwise("latin"))
     pick = lambda words, i: F.element_at(F.array(*map(F.lit, words)), _value(stream, F.lit(i)) % len(words) + 1)
@@ -163,8 +175,8 @@ def _name(entity, gender, stream, attempt):
     syllable = lambda i: chosen([(script == s, words) for s, words in SYLLABLES.items()], i)
     more = F.when(attempt > 0, syllable(5)).otherwise("")
     more = F.concat(more, F.when(attempt >= EXACT_ATTEMPTS, F.concat(*[syllable(i) for i in range(6, 12)])).otherwise(""))
-    surname = F.initcap(F.concat(syllable(1), syllable(2), syllable(3), more))
-    return F.when(entity.contains(" "), F.concat_ws(" ", given, surname)).otherwise(surname)
+    return F.when(kind == "given", F.concat(given, more)).otherwise(
+        F.initcap(F.concat(syllable(1), syllable(2), syllable(3), more)))
 
 
 def _replacement(key: str, attempt):
@@ -181,65 +193,71 @@ def _replacement(key: str, attempt):
     plain = F.concat(_same_format(entity, stream, letters=True, keep=lambda c, i: (F.col("kind") == "iban") & (i < 2)), longer)
     return (F.when((F.col("kind") == "email") & (at > 0), email).when(F.col("kind") == "ip", _octets(entity, stream, attempt))
             .when(F.col("kind") == "phone", phone).when(F.col("kind") == "card", F.concat(_card(entity, stream), longer))
-            .when(F.col("kind") == "name", _name(entity, F.col("gender"), stream, attempt))
+            .when(F.col("kind").isin("name", "given"), _name(entity, F.col("kind"), F.col("gender"), stream, attempt))
             .when(F.col("kind") == "secret", secret).otherwise(plain))
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
-    """``entity``, ``kind``, ``surrogate`` and ``attempt`` for distinct ``entity``, ``kind``, ``gender``, ``country``.
+    """``who``, ``surrogate`` and ``attempt`` for distinct ``who`` with their ``entity``, ``kind``, ``gender``, ``country``.
 
     Each round draws for the entities still open. A draw is free if no entity is spelled so and nobody
     holds it; of several that drew it the smallest entity gets it. Few are left after the first round.
     """
-    spelled = entities.select(F.col("entity").alias("surrogate"))
+    spelled = entities.select(F.col("entity").alias("surrogate")).distinct()
     done, waiting, attempt = None, entities, 0
     while True:
         n = F.lit(attempt)
-        drawn = materialize(waiting.withColumn("stream", _draw(key, "entity", n, "s")).select(
-            "entity", "kind", "gender", "country", _replacement(key, n).alias("surrogate"), n.alias("attempt")), "draws")
-        free = drawn.join(spelled, "surrogate", "left_anti")
+        drawn = materialize(waiting.withColumn("stream", _draw(key, "who", n, "s")).select(
+            *entities.columns, _replacement(key, n).alias("surrogate"), n.alias("attempt")), "draws")
+        free = drawn.join(spelled.hint("merge"), "surrogate", "left_anti")
         if done is not None:
-            free = free.join(done.select("surrogate"), "surrogate", "left_anti")
-        won = free.groupBy("surrogate").agg(F.min_by(F.struct("entity", "kind", "attempt"), "entity").alias("w"))
-        won = materialize(won.select("w.entity", "w.kind", "surrogate", "w.attempt"), "surrogates")
-        waiting = drawn.join(won, "entity", "left_anti").select("entity", "kind", "gender", "country")
+            free = free.join(done.select("surrogate").hint("merge"), "surrogate", "left_anti")
+        won = free.groupBy("surrogate").agg(F.min_by(F.struct("who", "attempt"), "who").alias("w"))
+        won = materialize(won.select("w.who", "surrogate", "w.attempt"), "surrogates")
+        waiting = drawn.join(won.hint("merge"), "who", "left_anti").select(*entities.columns)
         done = won if done is None else done.union(won)
         attempt += 1
         if waiting.isEmpty():
             return done
 
 
-def replace_personal_data(docs: DataFrame, key: str, text="text") -> DataFrame:
-    """``docs`` with surrogates in the text, and ``n_entities``.
+def _places(matched: DataFrame, row, mentions, pieces) -> DataFrame:
+    """One row per mention, two for a name of two words: ``pos``, ``part``, ``mention``, ``kind``, ``gender``, ``entity``, ``who``."""
+    before = F.transform(F.slice(pieces, F.lit(1), F.size(mentions)), lambda p: F.right(p, F.lit(24)))
+    each = matched.select(F.col(row).alias("row"), F.posexplode(F.arrays_zip(F.col(mentions).alias("mention"), before.alias("before"))))
+    each = each.select("row", "pos", "col.mention", "col.before").withColumn("kind", _kind("mention", "before"))
+    name = F.col("kind") == "name"
+    words = F.when(name, F.split("mention", " ")).otherwise(F.array("mention"))
+    each = each.select("row", "pos", "before", "kind", F.size(words).alias("words"), F.posexplode(words).alias("part", "mention"))
+    given = (F.col("words") == 2) & (F.col("part") == 0)
+    gender = F.when(given, F.when(F.col("before").rlike(_WOMAN_BEFORE), "f").otherwise("m")).otherwise("")
+    each = each.select("row", "pos", "part", "mention", F.when(given, "given").otherwise(F.col("kind")).alias("kind"), gender.alias("gender"))
+    each = each.withColumn("entity", _plain(F.col("kind"), F.col("mention")))
+    return each.withColumn("who", F.concat_ws("\x1f", "kind", "gender", "entity"))
 
-    Texts stay where they are read until the last join; only the entities, place by place, are moved
-    to meet their surrogates, distinct ones being combined before the shuffle.
-    """
-    pattern = F.lit(whole_pattern())
-    female = r"\b(?:Mrs|Ms|Frau|Mme|Sra|г-жа|κα)\.? $"
-    doc, digest, found = fresh(docs, "_doc"), fresh(docs, "_digest"), fresh(docs, "_found")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(*columns, F.col("doc_id").cast("string").alias(doc), F.unhex(F.md5(F.col(text))).alias(digest))
-    matches = keyed.select(doc, digest, F.regexp_extract_all(text, pattern, F.lit(0)).alias("m"),
-                           F.split(text, whole_pattern(), -1).alias("p")).where(F.size("m") > 0)
-    places = materialize(matches.select(doc, digest, F.posexplode(F.arrays_zip(
-        "m", F.slice("p", 1, F.size("m")).alias("p")))).select(
-        doc, digest, "pos", F.col("col.m").alias("mention"),
-        F.when(F.right(F.col("col.p"), F.lit(8)).rlike(female), "f").otherwise("m").alias("gender")), "places")
-    kind = F.col("kind")
-    places = places.withColumn("kind", _kind("mention")).withColumn("entity", _plain(kind, F.col("mention")))
-    entities = places.groupBy("entity", "kind").agg(F.min("gender").alias("gender"), F.max(F.length(
+
+def replace_personal_data(docs: DataFrame, key: str, text="text") -> DataFrame:
+    """``docs`` with surrogates in the text, and ``n_entities``."""
+    row, mentions, pieces, found = (fresh(docs, n) for n in ("_row", "_mentions", "_pieces", "_found"))
+    others = [F.col(f"`{c}`") for c in without(docs.columns, (text, "n_entities"))]
+    pattern = whole_pattern()
+    scanned = docs.select(*others, F.col(f"`{text}`").alias(text), F.monotonically_increasing_id().alias(row),
+                          F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias(mentions))
+    hit = F.coalesce(F.size(mentions), F.lit(0)) > 0
+    stored = materialize(scanned.select(
+        *others, F.when(~hit, F.col(text)).alias(text), row, F.when(hit, F.col(mentions)).alias(mentions),
+        F.when(hit, F.split(text, pattern, -1)).alias(pieces)), "scanned")
+    matched = stored.where(F.col(mentions).isNotNull())
+    places = materialize(_places(matched, row, mentions, pieces), "places")
+    entities = places.groupBy("who", "entity", "kind", "gender").agg(F.max(F.length(
         F.regexp_extract("mention", r"^\+\d{1,3}(?=[ .\-(])", 0))).alias("country"))
     surrogates = materialize(assign(materialize(entities, "entities"), key), "surrogates")
-    written = _in_format(kind, F.col("mention"), F.col("surrogate")).alias("surrogate")
-    lists = places.join(surrogates.select("entity", "surrogate"), "entity").groupBy(doc, digest).agg(
-        F.sort_array(F.collect_set(F.struct("pos", written))).alias(found))
-    lists = lists.select(F.col(doc).alias("_d"), F.col(digest).alias("_g"), found)
-    joined = keyed.join(materialize(lists, "lists"), F.col(doc).eqNullSafe(F.col("_d"))
-                        & (F.col(digest) == F.col("_g")), "left")
-    pieces = F.split(F.col(text), whole_pattern(), -1)
-    merged = F.array_join(F.zip_with(pieces, F.col(found), lambda p, s: F.concat(
-        p, F.coalesce(s["surrogate"], F.lit("")))), "")
-    kept = [F.col(f"`{c}`") for c in without(docs.columns, (text, "n_entities"))]
-    return joined.select(*kept, F.when(F.col(found).isNull(), F.col(text)).otherwise(merged).alias(text),
-                         F.coalesce(F.size(found), F.lit(0)).cast("bigint").alias("n_entities"))
+    written = _in_format(F.col("kind"), F.col("mention"), F.col("surrogate")).alias("surrogate")
+    lists = places.join(surrogates.select("who", "surrogate").hint("merge"), "who").groupBy(F.col("row").alias(row)).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "part", written))).alias(found))
+    # A name's second word follows a blank, everything else its piece of the text.
+    merged = F.concat(F.array_join(F.transform(found, lambda s: F.concat(
+        F.when(s["part"] == 0, F.element_at(pieces, s["pos"] + 1)).otherwise(" "), s["surrogate"])), ""), F.element_at(pieces, -1))
+    changed = matched.join(lists.hint("merge"), row).select(
+        *others, merged.alias(text), F.size(mentions).cast("bigint").alias("n_entities"))
+    return stored.where(F.col(mentions).isNull()).select(*others, text, F.lit(0).cast("bigint").alias("n_entities")).unionByName(changed)

@@ -220,6 +220,48 @@ def test_surrogates_of_neighbours_long_secrets_and_other_formats(make):
     assert digits(got[9][0]) == digits(got[10][0]) and got[10][0].count("-") == 3
 
 
+def test_surrogates_of_names_and_bare_secrets(make):
+    rows = [(1, "Mrs Alex Stone and Mr Alex Stone"), (2, "Mr John Smith met Mr Smith and Frau Smith"), (3, "Mr John Brown"),
+            (4, "token = 'Abcdefghijklmnopqr'"), (5, "password: hunter2x and api_key=Zx81bdq9 end"), (6, "the key: wonderful"),
+            (7, "г-жа Анна Петрова, г-н Петрова"), (8, "Mr X")]
+    got = {r.doc_id: (r.text, r.n_entities) for r in surrogate.replace_personal_data(make("doc_id long, text string", rows), "k").collect()}
+    word = {i: t.split() for i, (t, _) in got.items()}
+    assert word[1][1] != word[1][5] and word[1][2] == word[1][6] != "Stone"
+    assert word[2][2] == word[2][5] == word[2][8] and word[2][1] == word[3][1] and word[2][2] != word[3][2]
+    assert len(got[4][0]) == len(rows[3][1]) and "Abcdef" not in got[4][0] and got[4][0][9:10].isupper()
+    assert "hunter2x" not in got[5][0] and "Zx81bdq9" not in got[5][0] and got[5][1] == 2 and len(got[5][0]) == len(rows[4][1])
+    assert got[6] == (rows[5][1], 0) and got[8] == (rows[7][1], 0)
+    assert word[7][2].rstrip(",") == word[7][4] and all(ord(c) > 1000 for c in word[7][4])
+
+
+def test_surrogates_against_plain_detection(spark, documents):
+    """Over all given documents: what the patterns find in Python goes, all else stays, one entity keeps one surrogate."""
+    import regex
+    # Both engines know these patterns; only the script names differ.
+    pattern = regex.compile(surrogate.whole_pattern(), regex.V0)
+    got = {r.doc_id: (r.text, r.n_entities) for r in QUERIES["op4_surrogates"](spark, SMALL).collect()}
+    new_of, old_of, found = defaultdict(set), defaultdict(set), 0
+    for i, text in documents:
+        new, n = got[i]
+        spans = [m.span() for m in pattern.finditer(text or "")]
+        assert n == len(spans)
+        if not spans:
+            assert new == text
+            continue
+        found += len(spans)
+        pieces = [text[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(text)])]
+        at = len(pieces[0])
+        assert new.startswith(pieces[0]) and new.endswith(pieces[-1])
+        for (start, end), piece in zip(spans, pieces[1:]):
+            until = new.index(piece, at) if piece else len(new)
+            old, now, at = text[start:end], new[at:until], until + len(piece)
+            if not (old.istitle() and old.replace(" ", "").isalpha()):
+                new_of[old].add(now)
+                old_of[now].add(old)
+                assert now != old and len(now) == len(old)
+    assert found > 20 and all(len(v) == 1 for v in new_of.values()) and all(len(v) == 1 for v in old_of.values())
+
+
 # n-gram join ---------------------------------------------------------------------------------------
 
 def brute_components(rows):
