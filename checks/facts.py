@@ -14,7 +14,7 @@ SELECT t.id, t.target, t.appl_sbm_tm, COALESCE(c.quota, CAST(0 AS DOUBLE)) AS qu
   CAST(COALESCE(o.amount, 0) AS DOUBLE) AS amount, CAST(COALESCE(b.n, 0) AS DOUBLE) AS cards,
   CAST(COALESCE(b.debit, 0) AS DOUBLE) AS debit, CAST(COALESCE(r.n, 0) AS DOUBLE) AS regions
 FROM {target} t LEFT JOIN {credit_info} c ON c.id = t.id
-LEFT JOIN (SELECT id, COUNT(*) AS n, SUM(CASE WHEN sts_order = 'F' THEN 1 ELSE 0 END) AS finished,
+LEFT JOIN (SELECT id, COUNT(*) AS n, SUM(CASE WHEN sts_order LIKE '%完成%' THEN 1 ELSE 0 END) AS finished,
     SUM(CASE WHEN amt_order <> 'null' THEN FLOOR(unit_price / 100000) END) AS amount FROM {order_info} GROUP BY id) o ON o.id = t.id
 LEFT JOIN (SELECT id, COUNT(*) AS n, SUM(CASE WHEN card_type = '储蓄卡' THEN 1 ELSE 0 END) AS debit
     FROM {bankcard_info} GROUP BY id) b ON b.id = t.id

@@ -21,6 +21,11 @@ from riskloom.session import materialize, shared_dir, shared_path
 QUERIES = {}
 SQL = {}
 
+# Columns whose last digits depend on the order of a sum.
+ORDER_DOUBLES = list(wide.ORDER_SCALED)
+CREDIT_DOUBLES = ["credit_score", "quota_rate"]
+WIDE_DOUBLES = ORDER_DOUBLES + CREDIT_DOUBLES
+
 
 def query(name, sql=None):
     def register(fn):
@@ -132,18 +137,25 @@ def _(spark, sf_dir):
     return kept.select(*selection.feature_columns(kept, keys=("id",)))
 
 
-@query("project_feature_list", "SELECT " + ", ".join(
-    o.q(c) for c in vocab.TREE_FEATURES if c in o.WIDE_FEATURES) + " FROM wide_matrix")
-def _(spark, sf_dir):
+def _listed_sql(names):
+    return o.rounded("(SELECT " + ", ".join(map(o.q, names)) + " FROM wide_matrix)", [c for c in WIDE_DOUBLES if c in names])
+
+
+def _listed(spark, sf_dir, names):
     matrix = _wide(spark, sf_dir)
-    return matrix.select(*[c for c in vocab.TREE_FEATURES if c in matrix.columns])
+    return rounded(matrix.select(*selection.listed_features(matrix, names)), [c for c in WIDE_DOUBLES if c in names])
+
+
+@query("project_feature_list", _listed_sql(vocab.LINEAR_FEATURES))
+def _(spark, sf_dir):
+    """The 96 names of the linear model."""
+    return _listed(spark, sf_dir, vocab.LINEAR_FEATURES)
 
 
-@query("project_published_features")
+@query("project_published_features", _listed_sql(vocab.TREE_FEATURES))
 def _(spark, sf_dir):
-    """All 73 listed names; ``project_feature_list`` has those that the given categories reach."""
-    matrix = _full_wide(spark, sf_dir)
-    return matrix.select(*selection.listed_features(matrix, vocab.TREE_FEATURES))
+    """The 73 names of the tree model."""
+    return _listed(spark, sf_dir, vocab.TREE_FEATURES)
 
 
 @query("month_split_range", """
@@ -475,23 +487,12 @@ def _(spark, sf_dir):
 
 # ---- feature plans ----------------------------------------------------------------------------
 
-ORDER_DOUBLES = list(wide.ORDER_SCALED)
-CREDIT_DOUBLES = ["credit_score", "quota_rate"]
-WIDE_DOUBLES = ORDER_DOUBLES + CREDIT_DOUBLES
-
-
 def _wide(spark, sf_dir):
     tables = w.tables(spark, sf_dir)
     return wide.wide_matrix(tables, tables["target"], pay_types=w.PAY_TYPES, statuses=w.STATUSES,
                             provinces=w.PROVINCES, grades=w.GRADES)
 
 
-def _full_wide(spark, sf_dir):
-    """All 194 features, by the published vocabularies."""
-    tables = w.published(w.tables(spark, sf_dir))
-    return wide.wide_matrix(tables, tables["target"])
-
-
 def _compact(spark, sf_dir):
     tables = w.tables(spark, sf_dir)
     return compact.compact_matrix(tables, tables["target"], grades=w.GRADES, ways=w.PAY_WAYS,
@@ -891,7 +892,7 @@ def _(spark, sf_dir):
 @query("gbt_wide_scores")
 def _(spark, sf_dir):
     from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _full_wide)
+    matrix, names = _model_tables(spark, sf_dir, _wide)
     train, held = _splits(matrix)
     trees = m.boosted_trees(m.WIDE_TREES)
     return m.fit_and_score(train, held, names, trees)
@@ -909,7 +910,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Listed features only, fitted on every labelled row and applied to the unlabelled set."""
     from riskloom.operators import models as m
-    matrix, _names = _model_tables(spark, sf_dir, _full_wide)
+    matrix, _names = _model_tables(spark, sf_dir, _wide)
     listed = selection.listed_features(matrix, vocab.TREE_FEATURES)
     trees = m.boosted_trees(m.SELECTED_TREES)
     return m.fit_and_score(matrix, matrix.drop("target"), listed, trees)
@@ -920,7 +921,7 @@ def _(spark, sf_dir):
     """Both matrices, three models fitted side by side, and the published blend of their scores."""
     from riskloom.operators import models as m
     from riskloom.plans import scoring
-    dense, _names = _model_tables(spark, sf_dir, _full_wide)
+    dense, _names = _model_tables(spark, sf_dir, _wide)
     sparse, _names = _model_tables(spark, sf_dir, _compact)
     found = m.stored_results(spark, {
         "trees": lambda: scoring.wide_trees(dense, dense.drop("target"), selection.listed_features(dense, vocab.TREE_FEATURES)),
@@ -932,7 +933,7 @@ def _(spark, sf_dir):
 @query("holdout_auc")
 def _(spark, sf_dir):
     from riskloom.operators import models as m
-    matrix, _names = _model_tables(spark, sf_dir, _full_wide)
+    matrix, _names = _model_tables(spark, sf_dir, _wide)
     train, held = _splits(matrix)
     listed = selection.listed_features(matrix, vocab.LINEAR_FEATURES)
     scored = m.fit_and_score(train, held, listed, m.ridge_logistic(train))
@@ -959,12 +960,12 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """300 extremely randomised trees of depth 7 on all features."""
     from riskloom.operators import models as m
-    matrix, names = _model_tables(spark, sf_dir, _full_wide)
+    matrix, names = _model_tables(spark, sf_dir, _wide)
     return ordering.top_features(m.forest_scores(matrix, names), TOP_K)
 
 
 @query("select_linear_elimination")
 def _(spark, sf_dir):
     """Every feature's place in recursive elimination by 1."""
-    matrix, names = _model_tables(spark, sf_dir, _full_wide)
+    matrix, names = _model_tables(spark, sf_dir, _wide)
     return moments.elimination(matrix, names, keep=TOP_K)

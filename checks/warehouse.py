@@ -2,33 +2,46 @@
 
 One SQL text per logical table serves Spark and the SQL oracle. The given tables hold no nulls
 where the features need them, so values (never rows) are blanked by a rule on the key: all rows of
-all tables take part. Amounts are whole numbers so that sums and means are exact in any order.
+all tables take part. Categories are the published values, dealt by arithmetic on the keys, so that all features exist and
+every value occurs. Amounts are whole numbers so that sums and means are exact in any order.
 """
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from riskloom import vocab
 
+
+def _dealt(number, values):
+    """The value in the place that a number gives, by its rest; null beyond the values."""
+    return f"CASE {number} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+
+
 SOURCES = {
     "order_info": ("orders",),
     "bankcard_info": ("lineitem", "orders", "part"),
-    "recieve_addr_info": ("lineitem", "orders", "supplier", "nation"),
+    "recieve_addr_info": ("lineitem", "orders", "supplier"),
     "credit_info": ("customer",),
     "user_info": ("customer",),
     "auth_info": ("orders", "lineitem"),
     "target": ("customer", "orders"),
 }
 
+# The readers take the text "null" for missing, so no category holds it; the flag "null" comes from missing values.
+_PAYMENTS, _STATES = ([v for v in values if v != vocab.NULL_CATEGORY] for values in (vocab.PAYMENT_TYPES, vocab.ORDER_STATUSES))
+# Whole addresses; the province is their first two characters.
+_REGIONS = [f"{p}某区某路" for p in vocab.PROVINCES if p != vocab.NULL_CATEGORY]
+
 TABLE_SQL = {
     "order_info": """
 SELECT o_custkey AS id,
   CASE WHEN o_orderkey % 17 = 0 THEN NULL WHEN o_orderkey % 19 = 0 THEN 'null'
     ELSE CAST(CAST(ROUND(o_totalprice * 100) AS BIGINT) AS STRING) END AS amt_order,
-  CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderpriority END AS type_pay,
+  CASE WHEN o_orderkey % 13 = 0 THEN NULL
+    ELSE """ + _dealt(f"o_orderkey % {len(_PAYMENTS)}", _PAYMENTS) + """ END AS type_pay,
   CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN '0000-00-00'
     ELSE CAST(o_orderdate AS STRING) END AS time_order,
-  CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE o_orderstatus END AS sts_order,
+  CASE WHEN o_orderkey % 29 = 0 THEN NULL
+    ELSE """ + _dealt(f"(o_orderkey + o_custkey) % {len(_STATES)}", _STATES) + """ END AS sts_order,
   CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderkey % 5 AS STRING) END AS phone,
   CASE WHEN o_orderkey % 5 = 0 THEN NULL
     ELSE CAST(FLOOR(o_totalprice * 100 / (1 + o_orderkey % 4)) AS DOUBLE) END AS unit_price,
@@ -42,12 +55,13 @@ FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {part} ON l_partke
     "recieve_addr_info": """
 SELECT o_custkey AS id,
   CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS addr_id,
-  CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE n_name END AS region,
+  CASE WHEN l_partkey % 101 = 0 THEN NULL
+    ELSE """ + _dealt(f"(l_partkey + s_nationkey) % {len(_REGIONS)}", _REGIONS) + """ END AS region,
   CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE CAST(l_suppkey % 4 AS STRING) END AS phone,
   CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE CAST(l_linenumber AS STRING) END AS fix_phone,
   CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_suppkey AS STRING) END AS receiver_md5
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
-  JOIN {supplier} ON l_suppkey = s_suppkey JOIN {nation} ON s_nationkey = n_nationkey""",
+  JOIN {supplier} ON l_suppkey = s_suppkey""",
     "credit_info": """
 SELECT c_custkey AS id,
   CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(FLOOR(c_acctbal / 100) AS DOUBLE) END
@@ -63,7 +77,7 @@ SELECT c_custkey AS id,
   CASE c_custkey % 10 WHEN 0 THEN '0000-00-00' WHEN 1 THEN NULL WHEN 2 THEN '1990-5'
     ELSE CAST(1915 + c_custkey % 95 AS STRING) || '-03-15' END AS birthday,
   CASE c_custkey % 5 WHEN 0 THEN '未婚' WHEN 1 THEN '已婚' WHEN 2 THEN '保密' END AS merriage,
-  c_mktsegment AS account_grade,
+  """ + _dealt(f"c_custkey % {len(vocab.ACCOUNT_GRADES) + 2}", vocab.ACCOUNT_GRADES) + """ AS account_grade,
   CASE c_custkey % 3 WHEN 0 THEN '已绑定' WHEN 1 THEN '未绑定' END AS qq_bound,
   CASE c_custkey % 7 WHEN 0 THEN '已绑定' WHEN 1 THEN '未绑定' END AS wechat_bound,
   CASE c_custkey % 6 WHEN 0 THEN '硕士' WHEN 1 THEN '本科' WHEN 2 THEN '其他' WHEN 3 THEN '博士' END
@@ -86,13 +100,10 @@ SELECT c_custkey AS id, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS target,
 FROM {customer} LEFT JOIN {orders} ON o_custkey = c_custkey GROUP BY c_custkey, c_acctbal""",
 }
 
-# Category values of the given tables that stand in for the published vocabularies.
-PAY_TYPES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "null")
-STATUSES = ("F", "O", "P", "null")
-PROVINCES = ("NA", "null")
-GRADES = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
-PAY_WAYS = ("1-URGENT", "2-HIGH")
-STATUS_WORDS = {"wan_cheng_cnt": "F", "cheng_gong_cnt": "O", "qu_xiao_cnt": "P"}
+# The vocabularies of the checks.
+PAY_TYPES, STATUSES, PROVINCES, GRADES = vocab.PAYMENT_TYPES, vocab.ORDER_STATUSES, vocab.PROVINCES, vocab.ACCOUNT_GRADES
+PAY_WAYS = (vocab.ONLINE_PAYMENT, vocab.CASH_ON_DELIVERY)
+STATUS_WORDS = vocab.STATUS_WORDS
 TRAIN_MONTHS = ("199901", "200106")
 VALIDATION_MONTH = "200107"
 
@@ -113,23 +124,3 @@ def table(spark: SparkSession, sf_dir, name) -> DataFrame:
 def tables(spark: SparkSession, sf_dir) -> dict:
     frames = {s: given(spark, sf_dir, s) for s in {s for needed in SOURCES.values() for s in needed}}
     return {name: _derived(spark, name, frames) for name in SOURCES}
-
-
-def published(frames: dict) -> dict:
-    """The tables with published category values in place of the given ones, so that the full vocabularies apply.
-
-    Each given value takes a place in its vocabulary by its checksum; nulls and the word "null" stay.
-    """
-    def word(column, words):
-        place = F.pmod(F.crc32(F.col(column).cast("binary")), F.lit(len(words))).cast("int") + 1
-        return F.when(F.col(column).isNull() | (F.col(column) == "null"), F.col(column)).otherwise(
-            F.element_at(F.array(*map(F.lit, words)), place))
-
-    def renamed(name, column, words):
-        return frames[name].withColumn(column, word(column, [x for x in words if x != "null"]))
-
-    orders = renamed("order_info", "type_pay", vocab.PAYMENT_TYPES)
-    orders = orders.withColumn("sts_order", word("sts_order", [x for x in vocab.ORDER_STATUSES if x != "null"]))
-    return {**frames, "order_info": orders,
-            "recieve_addr_info": renamed("recieve_addr_info", "region", vocab.PROVINCES),
-            "user_info": renamed("user_info", "account_grade", vocab.ACCOUNT_GRADES)}
