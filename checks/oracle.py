@@ -361,11 +361,18 @@ def _needed(sql, found):
     return found
 
 
-def with_pieces(sql):
+# The base tables of the scoring set under the names of the others; its label is unknown.
+SCORE_PIECES = {("target" if name == "list" else name): text.format(**{t: t for t in w._SCORE_SOURCES})
+                for name, text in w.SCORE_SQL.items()}
+SCORE_PIECES["target"] = f"SELECT id, CAST(NULL AS INTEGER) AS target, appl_sbm_tm FROM ({SCORE_PIECES['target']})"
+
+
+def with_pieces(sql, role="train"):
     used = _needed(sql, {})
     if not used:
         return sql
-    head = ", ".join(f"{n} AS MATERIALIZED ({PIECES[n]})" for n in used)
+    texts = PIECES if role == "train" else PIECES | SCORE_PIECES
+    head = ", ".join(f"{n} AS MATERIALIZED ({texts[n]})" for n in used)
     return f"WITH {head} {sql}"
 
 

@@ -4,6 +4,9 @@ Each entry takes ``(spark, sf_dir)``. Where the result can be said in SQL, the s
 that SQL. Doubles whose value depends on the order of a sum are rounded on both sides.
 """
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import facts as f
@@ -11,9 +14,10 @@ from checks import oracle as o
 from checks import warehouse as w
 from riskloom import vocab
 from riskloom.functions import counts, dates, flags, numbers, text
-from riskloom.operators import clean, dedup, extra_trees, moments, ordering, scaling, selection, tree_table
+from riskloom.operators import chi2_cut, clean, dedup, extra_trees, moments, ordering, scaling, selection, tree_table
 from riskloom.operators.blending import blend_three, blend_two
 from riskloom.operators.evaluation import exact_auc
+from riskloom.operators.grouping import summarise
 from riskloom.operators.joins import attach_aggregate, join_features
 from riskloom.plans import compact, wide
 from riskloom.session import materialize, shared_dir, shared_path
@@ -27,11 +31,11 @@ CREDIT_DOUBLES = ["credit_score", "quota_rate"]
 WIDE_DOUBLES = ORDER_DOUBLES + CREDIT_DOUBLES
 
 
-def query(name, sql=None):
+def query(name, sql=None, role="train"):
     def register(fn):
         QUERIES[name] = fn
         if sql is not None:
-            SQL[name] = o.with_pieces(sql)
+            SQL[name] = o.with_pieces(sql, role)
         return fn
     return register
 
@@ -344,10 +348,8 @@ def _(spark, sf_dir):
 SELECT id, {o.distinct_null("type_pay", "pays")}, {o.distinct_null("sts_order", "statuses")},
   {o.distinct_null("phone", "phones")} FROM order_info GROUP BY id""")
 def _(spark, sf_dir):
-    return load(spark, sf_dir, "order_info").groupBy("id").agg(
-        counts.distinct_with_null("type_pay").alias("pays"),
-        counts.distinct_with_null("sts_order").alias("statuses"),
-        counts.distinct_with_null("phone").alias("phones"))
+    return summarise(load(spark, sf_dir, "order_info"), "id", [F.count(F.lit(1)).alias("n")], distinct={
+        "pays": F.col("type_pay"), "statuses": F.col("sts_order"), "phones": F.col("phone")}).drop("n")
 
 
 @query("agg_set", """
@@ -487,15 +489,15 @@ def _(spark, sf_dir):
 
 # ---- feature plans ----------------------------------------------------------------------------
 
-def _wide(spark, sf_dir):
-    tables = w.tables(spark, sf_dir)
-    return wide.wide_matrix(tables, tables["target"], pay_types=w.PAY_TYPES, statuses=w.STATUSES,
-                            provinces=w.PROVINCES, grades=w.GRADES)
+def _wide(spark, sf_dir, role="train"):
+    tables = w.tables(spark, sf_dir, role)
+    return wide.wide_matrix(tables, tables["target" if role == "train" else "list"], pay_types=w.PAY_TYPES,
+                            statuses=w.STATUSES, provinces=w.PROVINCES, grades=w.GRADES)
 
 
-def _compact(spark, sf_dir):
-    tables = w.tables(spark, sf_dir)
-    return compact.compact_matrix(tables, tables["target"], grades=w.GRADES, ways=w.PAY_WAYS,
+def _compact(spark, sf_dir, role="train"):
+    tables = w.tables(spark, sf_dir, role)
+    return compact.compact_matrix(tables, tables["target" if role == "train" else "list"], grades=w.GRADES, ways=w.PAY_WAYS,
                                   status_words=w.STATUS_WORDS)
 
 
@@ -633,6 +635,27 @@ def _(spark, sf_dir):
     return spark.createDataFrame([(n, "binary" if n in binary else "continuous") for n in names], "feature string, kind string")
 
 
+_CUT = [c for c in f.COLUMNS if c != "credit_score"]  # a credit score may be negative
+_CUT_K = 5
+
+
+@query("select_chi2_matrices", f"""
+SELECT matrix, CAST(row_number() OVER (PARTITION BY matrix ORDER BY place) - 1 AS INTEGER) AS position, feature
+FROM (SELECT list_position([{", ".join(map(o.s, _CUT))}], feature) AS place, feature, score
+  FROM (UNPIVOT (SELECT {", ".join(f"{o._chi2(c)} AS {o.q(c)}" for c in _CUT)} FROM ({f.ORACLE})
+    WHERE substr(replace(appl_sbm_tm, '-', ''), 1, 6) BETWEEN '{w.TRAIN_MONTHS[0]}' AND '{w.TRAIN_MONTHS[1]}')
+    ON COLUMNS(*) INTO NAME feature VALUE score)
+  ORDER BY score DESC NULLS LAST, place DESC LIMIT {_CUT_K}), (VALUES ('train'), ('validate'), ('test'), ('train_test')) m(matrix)""")
+def _(spark, sf_dir):
+    """The columns of all four matrices after the cut that the training one selects."""
+    labelled = materialize(_facts(spark, sf_dir), "facts")
+    train, held = _splits(labelled)
+    cut = chi2_cut.cut_matrices({"train": train, "validate": held, "test": labelled.drop("target"), "train_test": labelled},
+                                _CUT, _CUT_K)
+    names = [(m, i, c) for m, df in cut.items() for i, c in enumerate(selection.feature_columns(df))]
+    return spark.createDataFrame(names, "matrix string, position int, feature string")
+
+
 @query("topk_features", f"""
 SELECT position, feature, score FROM variance_scores {o.TOP} 20""")
 def _(spark, sf_dir):
@@ -737,6 +760,32 @@ def _(spark, sf_dir):
         t["auth_info"].select("id", "auth_time")])
 
 
+@query("source_csv_score_tables", """
+SELECT CAST(t.id AS STRING) AS id, t.appl_sbm_tm, quota, sex, auth_time FROM target t
+LEFT JOIN credit_info c ON t.id = c.id LEFT JOIN user_info u ON t.id = u.id
+LEFT JOIN auth_info a ON t.id = a.id""", role="score")
+def _(spark, sf_dir):
+    """The second set of tables, which has applicants of its own and no labels."""
+    from riskloom.sources.tables import read_tables
+    root = _scratch(spark, "score-tables")
+    for name, df in w.tables(spark, sf_dir, "score").items():
+        df.write.csv(f"{root}/score_{name}.csv", header=True, quote='"', escape='"')
+    t = read_tables(spark, root, "score")
+    return join_features(t["list"].select("id", "appl_sbm_tm"), [
+        t["credit_info"].select("id", "quota"), t["user_info"].select("id", "sex"),
+        t["auth_info"].select("id", "auth_time")])
+
+
+@query("wide_score_matrix", o.rounded("(SELECT * EXCLUDE (target) FROM wide_matrix)", WIDE_DOUBLES), role="score")
+def _(spark, sf_dir):
+    return rounded(_wide(spark, sf_dir, "score"), WIDE_DOUBLES)
+
+
+@query("compact_score_matrix", "SELECT * EXCLUDE (target) FROM compact_matrix", role="score")
+def _(spark, sf_dir):
+    return _compact(spark, sf_dir, "score")
+
+
 @query("matrix_roundtrip", o.rounded("wide_matrix", WIDE_DOUBLES) + """
 WHERE substr(replace(appl_sbm_tm, '-', ''), 1, 6) BETWEEN '199901' AND '200106'""")
 def _(spark, sf_dir):
@@ -748,6 +797,59 @@ def _(spark, sf_dir):
     return rounded(read_matrix(spark, paths["train"]), WIDE_DOUBLES)
 
 
+@query("month_partitions", f"""
+SELECT *, CASE WHEN m = '{w.VALIDATION_MONTH}' THEN 'validate' ELSE 'train' END AS part, false AS other FROM
+  (SELECT id, target, quota, substr(replace(appl_sbm_tm, '-', ''), 1, 6) AS m FROM ({f.ORACLE}))
+WHERE m BETWEEN '{w.TRAIN_MONTHS[0]}' AND '{w.VALIDATION_MONTH}'
+UNION ALL SELECT id, target, quota, substr(replace(appl_sbm_tm, '-', ''), 1, 6), 'other', true FROM ({f.ORACLE})
+WHERE substr(replace(appl_sbm_tm, '-', ''), 1, 6) <> '{w.VALIDATION_MONTH}'""")
+def _(spark, sf_dir):
+    """Train, validation and every other month, cut from one matrix stored by month."""
+    from riskloom.sources.sinks import write_monthly
+    from riskloom.sources.tables import read_month_split, read_monthly
+    path = _scratch(spark, "monthly")
+    write_monthly(_facts(spark, sf_dir), path)
+    other, held = read_month_split(spark, path, w.VALIDATION_MONTH)
+    parts = {"train": read_monthly(spark, path, *w.TRAIN_MONTHS), "validate": held, "other": other}
+    return functools.reduce(DataFrame.unionByName, [
+        df.select("id", "target", "quota", text.month_key("appl_sbm_tm").alias("m"), F.lit(name).alias("part"),
+                  F.lit(name == "other").alias("other")) for name, df in parts.items()])
+
+
+@query("wide_matrix_bucketed", o.rounded("wide_matrix", WIDE_DOUBLES))
+def _(spark, sf_dir):
+    """The wide matrix from tables that are stored in buckets by id."""
+    return rounded(wide.wide_matrix(*_bucketed(spark, sf_dir)), WIDE_DOUBLES)
+
+
+def _bucketed(spark, sf_dir, buckets=8):
+    """The tables and their spine, stored in buckets under a name of their own."""
+    import uuid
+
+    from riskloom.sources.sinks import write_bucketed
+    from riskloom.sources.tables import read_bucketed
+    prefix = f"bucketed_{uuid.uuid4().hex}"
+    given = w.tables(spark, sf_dir)
+    write_bucketed(given, prefix, _scratch(spark, "buckets"), buckets)
+    stored = read_bucketed(spark, prefix, given)
+    return stored, stored["target"]
+
+
+@query("scores_blend_roundtrip", f"""
+SELECT a.ID, a.PROB * CAST(0.5 AS DOUBLE) + b.PROB * CAST(0.5 AS DOUBLE) AS PROB
+FROM ({_SCORE_SQL["a"]}) a LEFT JOIN ({_SCORE_SQL["b"]}) b ON a.ID = b.ID""")
+def _(spark, sf_dir):
+    """Two score files, read, blended, written and read again."""
+    from riskloom.sources.sinks import write_scores
+    from riskloom.sources.tables import read_scores
+    a, b, _c = _scores(spark, sf_dir)
+    paths = [_scratch(spark, "scores") for _ in range(3)]
+    write_scores(a, paths[0], "csv")
+    write_scores(b, paths[1], "csv")
+    write_scores(blend_two(read_scores(spark, paths[0], "csv"), read_scores(spark, paths[1], "csv")), paths[2], "csv")
+    return read_scores(spark, paths[2], "csv").withColumn("ID", F.col("ID").cast("bigint"))
+
+
 @query("scores_roundtrip", _SCORE_SQL["a"])
 def _(spark, sf_dir):
     from riskloom.sources.sinks import write_scores
@@ -908,12 +1010,12 @@ def _(spark, sf_dir):
 
 @query("gbt_selected_scores")
 def _(spark, sf_dir):
-    """Listed features only, fitted on every labelled row and applied to the unlabelled set."""
+    """Listed features only, fitted on every labelled row and applied to the scoring set."""
     from riskloom.operators import models as m
     matrix, _names = _model_tables(spark, sf_dir, _wide)
     listed = selection.listed_features(matrix, vocab.TREE_FEATURES)
     trees = m.boosted_trees(m.SELECTED_TREES)
-    return m.fit_and_score(matrix, matrix.drop("target"), listed, trees)
+    return m.fit_and_score(matrix, _wide(spark, sf_dir, "score"), listed, trees)
 
 
 @query("final_scores")
@@ -923,10 +1025,11 @@ def _(spark, sf_dir):
     from riskloom.plans import scoring
     dense, _names = _model_tables(spark, sf_dir, _wide)
     sparse, _names = _model_tables(spark, sf_dir, _compact)
+    dense_new, sparse_new = (materialize(build(spark, sf_dir, "score"), "matrix") for build in (_wide, _compact))
     found = m.stored_results(spark, {
-        "trees": lambda: scoring.wide_trees(dense, dense.drop("target"), selection.listed_features(dense, vocab.TREE_FEATURES)),
-        "linear": lambda: scoring.wide_linear(dense, dense.drop("target"), selection.listed_features(dense, vocab.LINEAR_FEATURES)),
-        "compact": lambda: scoring.compact_trees(sparse, sparse.drop("target"))}, shared_path(spark, "scores"))
+        "trees": lambda: scoring.wide_trees(dense, dense_new, selection.listed_features(dense, vocab.TREE_FEATURES)),
+        "linear": lambda: scoring.wide_linear(dense, dense_new, selection.listed_features(dense, vocab.LINEAR_FEATURES)),
+        "compact": lambda: scoring.compact_trees(sparse, sparse_new)}, shared_path(spark, "scores"))
     return scoring.final_scores(found["compact"], found["linear"], found["trees"])
 
 

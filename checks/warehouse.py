@@ -100,6 +100,22 @@ SELECT c_custkey AS id, CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS target,
 FROM {customer} LEFT JOIN {orders} ON o_custkey = c_custkey GROUP BY c_custkey, c_acctbal""",
 }
 
+def _for_suppliers(sql):
+    """The SQL of a table with suppliers as applicants: their keys, balances and order lines in place of the customers'."""
+    for old, new in (("{customer}", "{supplier}"), ("c_custkey", "s_suppkey"), ("c_acctbal", "s_acctbal"), ("o_custkey", "l_suppkey")):
+        sql = sql.replace(old, new)
+    return sql
+
+
+# The scoring set: other applicants, without labels.
+SCORE_SQL = {name: _for_suppliers(sql) for name, sql in TABLE_SQL.items() if name != "target"}
+SCORE_SQL["order_info"] = SCORE_SQL["order_info"].replace("FROM {orders}", "FROM {orders} JOIN {lineitem} ON l_orderkey = o_orderkey")
+SCORE_SQL["list"] = """
+SELECT s_suppkey AS id, COALESCE(CAST(MAX(o_orderdate) AS STRING), '2001-01-01 00:00:00') AS appl_sbm_tm
+FROM {supplier} LEFT JOIN {lineitem} ON l_suppkey = s_suppkey LEFT JOIN {orders} ON o_orderkey = l_orderkey
+GROUP BY s_suppkey"""
+_SCORE_SOURCES = ("orders", "lineitem", "part", "supplier")
+
 # The vocabularies of the checks.
 PAY_TYPES, STATUSES, PROVINCES, GRADES = vocab.PAYMENT_TYPES, vocab.ORDER_STATUSES, vocab.PROVINCES, vocab.ACCOUNT_GRADES
 PAY_WAYS = (vocab.ONLINE_PAYMENT, vocab.CASH_ON_DELIVERY)
@@ -112,15 +128,15 @@ def given(spark: SparkSession, sf_dir, name) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _derived(spark, name, frames) -> DataFrame:
-    return spark.sql(TABLE_SQL[name], **{source: frames[source] for source in SOURCES[name]})
-
-
 def table(spark: SparkSession, sf_dir, name) -> DataFrame:
     """One logical table as a DataFrame."""
-    return _derived(spark, name, {s: given(spark, sf_dir, s) for s in SOURCES[name]})
+    return spark.sql(TABLE_SQL[name], **{s: given(spark, sf_dir, s) for s in SOURCES[name]})
 
 
-def tables(spark: SparkSession, sf_dir) -> dict:
-    frames = {s: given(spark, sf_dir, s) for s in {s for needed in SOURCES.values() for s in needed}}
-    return {name: _derived(spark, name, frames) for name in SOURCES}
+def tables(spark: SparkSession, sf_dir, role="train") -> dict:
+    """All tables of the labelled applicants, or of those to be scored."""
+    texts = TABLE_SQL if role == "train" else SCORE_SQL
+    needed = {s for names in SOURCES.values() for s in names} if role == "train" else set(_SCORE_SOURCES)
+    frames = {s: given(spark, sf_dir, s) for s in needed}
+    return {name: spark.sql(text, **{s: frame for s, frame in frames.items() if "{" + s + "}" in text})
+            for name, text in texts.items()}

@@ -1,9 +1,14 @@
 """Writers for matrices and score files."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from riskloom.functions.text import month_key
 from riskloom.operators.clean import months_between
 
+#: Column that a matrix stored by month is partitioned by.
+MONTH = "month"
+
 
 def write_matrix(matrix: DataFrame, path) -> None:
     matrix.write.mode("overwrite").parquet(path)
@@ -25,6 +30,30 @@ def write_matrices(labelled: DataFrame, scoring: DataFrame, root, train_months,
     return paths
 
 
+def write_monthly(matrix: DataFrame, path, column="appl_sbm_tm") -> None:
+    """One matrix in folders by month (``yyyyMM``); rows without a month share one folder of their own.
+
+    Months that the matrix holds are replaced, all others stay, so that a single month can be written again. Rows meet by month
+    before they are written, a few files each, split further by id so that a large month is not one task's work.
+    """
+    spark = matrix.sparkSession
+    spread = F.pmod(F.xxhash64("id"), F.lit(16))
+    (matrix.withColumn(MONTH, month_key(column)).repartition(F.col(MONTH), spread).write
+     .mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path))
+    spark.catalog.refreshByPath(path)
+
+
+def write_bucketed(tables: dict, prefix: str, folder: str, buckets: int, key="id") -> None:
+    """Tables bucketed by ``key`` into equal numbers of buckets: files under ``folder``, ``<prefix>_<table>`` in the catalog.
+
+    What is grouped or joined by the key afterwards needs no exchange. Rows meet by bucket before they are written, so there is one file
+    a bucket. A table that exists is replaced.
+    """
+    for name, df in tables.items():
+        (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+         .option("path", f"{folder}/{name}").saveAsTable(f"{prefix}_{name}"))
+
+
 def write_scores(scores: DataFrame, path, fmt="parquet") -> None:
     """Store ``ID, PROB``; ``fmt="csv"`` for a file with a header."""
     writer = scores.select("ID", "PROB").write.mode("overwrite")

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from riskloom.operators.clean import normalise_missing
 from riskloom.schemas import FEATURE_TABLES, SCHEMAS, SPINES
+from riskloom.sources.sinks import MONTH
 
 
 CSV = {"header": True, "quote": '"', "escape": '"'}
@@ -56,6 +57,30 @@ def read_matrix(spark: SparkSession, path) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_monthly(spark: SparkSession, path, first=None, last=None) -> DataFrame:
+    """A matrix stored by month, months ``first..last`` (``yyyyMM``, inclusive) or all; only their folders are read."""
+    stored = spark.read.parquet(path)
+    # Folder names that look like numbers are read as such.
+    month = F.col(MONTH).try_cast("int")
+    if first is not None:
+        stored = stored.where(month >= int(first))
+    if last is not None:
+        stored = stored.where(month <= int(last))
+    return stored.drop(MONTH)
+
+
+def read_month_split(spark: SparkSession, path, held) -> tuple:
+    """``(every other month, the held month)``; rows without a month are in the first part."""
+    month = F.col(MONTH).try_cast("int")
+    stored = spark.read.parquet(path)
+    return (stored.where(month.isNull() | (month != int(held))).drop(MONTH), stored.where(month == int(held)).drop(MONTH))
+
+
+def read_bucketed(spark: SparkSession, prefix, names) -> dict:
+    """Tables that :func:`~riskloom.sources.sinks.write_bucketed` stored."""
+    return {name: spark.table(f"{prefix}_{name}") for name in names}
+
+
 def read_scores(spark: SparkSession, path, fmt="parquet") -> DataFrame:
     """An ``(ID, PROB)`` file, columns taken by position as the first two."""
     raw = spark.read.csv(path, **CSV) if fmt == "csv" else spark.read.format(fmt).load(path)
