@@ -347,14 +347,52 @@ def test_leaks_against_brute_force(spark, documents):
     assert got == want and any(want.values())
 
 
-def test_every_passage_above_the_threshold_is_retrieved():
+@pytest.mark.parametrize("vocabulary, n_items, entries", [(60, 50, 1 << 20), (60, 50, 40), (400, 700, 1 << 20), (8, 30, 1000)])
+def test_every_passage_above_the_threshold_is_retrieved(monkeypatch, vocabulary, n_items, entries):
+    monkeypatch.setattr(decontam, "ENTRIES", entries)
     rng = random.Random(8)
-    index = decontam.Index([(i, words(rng, 20, 60)) for i in range(50)])
-    queries = [words(rng, 40, 60).split() for _ in range(60)] + [index.items[3][1] + ["other"] * 5]
-    found = {(p, j) for p, j, _ in index.retrieve([np.array([index.terms.get(w, 0) for w in q]) for q in queries])}
-    want = {(p, j) for p, q in enumerate(queries) for j in range(50)
-            if sum(index.impact[index.terms[w], j] for w in set(q) if w in index.terms) >= decontam.MIN_SCORE}
-    assert found == want and (60, 3) in found
+    index = decontam.Index([(i, words(rng, 20, vocabulary)) for i in range(n_items)])
+    impact = {}
+    for term in index.terms.values():
+        for block in range(index.lists[term], index.lists[term + 1]):
+            for at in range(index.starts[block], index.starts[block + 1]):
+                impact[term, int(index.item[at])] = float(index.impact[at])
+                assert index.keys[block] == term * index.n_blocks + index.item[at] // decontam.BLOCK_ITEMS
+                assert index.impact[at] <= index.block_max[block] <= index.list_max[term]
+    assert all(abs(sum(v for (_, j), v in impact.items() if j == k) - 1) < 1e-4 for k in range(0, n_items, 7))
+    queries = [words(rng, 40, vocabulary).split() for _ in range(60)] + [index.items[3][1].split() + ["other"] * 5, [], ["other"]]
+    queries += [" ".join(index.items[k][1].split()[:14]).split() for k in range(0, n_items, 5)]
+    found = {(p, j): s for p, j, s in index.retrieve([np.array([index.terms.get(w, 0) for w in q], np.int64) for q in queries])}
+    want = {}
+    for p, q in enumerate(queries):
+        own = {index.terms[w] for w in q if w in index.terms}
+        for j in range(n_items):
+            score = sum(impact.get((t, j), 0.0) for t in own)
+            if score >= decontam.MIN_SCORE - decontam._ROUNDING:
+                want[p, j] = score
+    assert set(found) == set(want) and (60, 3) in found and all(abs(found[k] - want[k]) < 1e-4 for k in want)
+
+
+def test_a_large_benchmark_fits_a_worker():
+    import tracemalloc
+    rng = random.Random(10)
+    items = [(i, words(rng, 120, 20000)) for i in range(10000)]
+    tracemalloc.start()
+    index = decontam.Index(items)
+    text = words(rng, 300, 20000) + " " + items[77][1] + " " + words(rng, 300, 20000)
+    assert [sorted(f) for f in index.leaks([text] * 50 + ["", words(rng, 2000, 20000)])] == [[77]] * 50 + [[], []]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6
+
+
+def test_an_item_without_an_id_removes_its_documents(make):
+    rng = random.Random(12)
+    item, clean = words(rng, 30) + ". " + words(rng, 9), words(rng, 80)
+    docs = make("doc_id long, text string", [(1, clean + " " + item), (2, clean), (3, None)])
+    benchmark = make("item_id long, text string", [(None, item)])
+    assert {r.doc_id for r in decontam.remove_leaking(docs, benchmark).collect()} == {2, 3}
+    assert {r.doc_id: (r["items"], r.overlap) for r in decontam.mark_leaks(docs, benchmark, ["doc_id"]).collect()}[1] == ([], 1.0)
 
 
 def test_several_passes_over_a_large_benchmark(make, monkeypatch):
