@@ -109,7 +109,7 @@ def test_bucketed_tables_meet_without_an_exchange(spark):
         for part in whole.split("Exchange hashpartitioning(id")[1:]:
             by_value = "kind#" in part.split("\n")[0]
             between = part.split("FileScan")[0]
-            assert by_value or "Exchange" in between or " spark_catalog" not in part.split("FileScan parquet")[1][:15], part[:1500]
+            assert by_value or "Exchange" in between or "FileScan parquet spark_catalog" not in part[len(between):len(between) + 40]
         assert spine.count() == joined.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
