@@ -11,7 +11,7 @@ plain archives, goes on from there and logs the bytes between as a gap.
 
 A block digest covers the block, a payload digest the body of an HTTP message, or the block of any other record.
 Digests are read in hexadecimal and base32; one of an unknown algorithm or form is not checked, nor is the
-payload digest of a revisit or of a segment of a record. A body whose digest was taken with its transfer
+payload digest of a revisit or of a segment of a record. A header has at most ``HEADER_BYTES``. A body whose digest was taken with its transfer
 coding undone is accepted too. A member may hold several records: each has the offset of the member, the
 first its length and the others length 0. What is damaged within a member is a gap of length 0 there; the
 records around it are kept.
@@ -37,6 +37,12 @@ from riskloom.session import materialize
 
 #: Payloads below this are always written in full.
 MIN_REVISIT_BYTES = 1000
+#: Bytes of a member that are unpacked at a time, and bytes in which a header must end: both keep reading linear.
+SLICE_BYTES, HEADER_BYTES = 64 << 10, 1 << 20
+#: Pages come without a date, so all records state one.
+NO_DATE = "1970-01-01T00:00:00Z"
+# Fixed value: what a revisit of an equal payload is called.
+SAME_PAYLOAD = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVE_BYTES = 4 << 20
 READ_SCHEMA = ("archive string, offset bigint, length bigint, kind string, reason string, page_id bigint, "
                "uri string, record_type string, refers_to bigint, payload_bytes bigint, "
@@ -49,11 +55,11 @@ _MEMBER = b"\x1f\x8b\x08"
 def write_record(page_id, url, payload: bytes, size: int, digest: str, refers_to) -> bytes:
     """One record, uncompressed. A revisit states digest and length of the payload it leaves out."""
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-             f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
-             f"WARC-Target-URI: {re.sub(r'[\r\n]', ' ', url)}",
+             f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>", f"WARC-Date: {NO_DATE}",
+             f"WARC-Target-URI: {re.sub(r'[\r\n]', ' ', url)}", "Content-Type: text/html; charset=utf-8",
              f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {size}"]
     if refers_to is not None:
-        lines.append(f"WARC-Refers-To: <urn:page:{refers_to}>")
+        lines += [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {SAME_PAYLOAD}"]
         payload = b""
     lines.append(f"Content-Length: {len(payload)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
@@ -113,7 +119,7 @@ def parse_record(raw: bytes, at: int = 0):
     """``(fields, payload, end)`` of the record at ``at``; ``ValueError`` says what is wrong."""
     if not _VERSION.match(raw, at):
         raise ValueError("no version line")
-    head = raw.find(b"\r\n\r\n", at)
+    head = raw.find(b"\r\n\r\n", at, at + HEADER_BYTES)
     if head < 0:
         raise ValueError("header does not end")
     fields = {}
@@ -144,13 +150,16 @@ def _member_at(raw: bytes, at: int):
     if raw[at:at + 3] != _MEMBER:
         fields, payload, end = parse_record(raw, at)
         return [(fields, payload)], end
-    member = zlib.decompressobj(31)
+    member, view, fed, parts = zlib.decompressobj(31), memoryview(raw), at, []
     try:
-        plain = member.decompress(memoryview(raw)[at:])
+        while not member.eof and fed < len(raw):
+            parts.append(member.decompress(view[fed:fed + SLICE_BYTES]))
+            fed = min(fed + SLICE_BYTES, len(raw))
     except zlib.error as error:
         raise ValueError(f"member is damaged: {str(error)[:60]}") from None
     if not member.eof:
         raise ValueError("member does not end")
+    plain = b"".join(parts)
     found, sound, place, lost = [], False, 0, False
     while place < len(plain):
         try:
@@ -164,7 +173,7 @@ def _member_at(raw: bytes, at: int):
             place, lost = (following.start() if following else len(plain)), True
     if not sound:
         raise ValueError(found[0][1] if found else "no version line")
-    return found, len(raw) - len(member.unused_data)
+    return found, fed - len(member.unused_data)
 
 
 def _looks_like_start(raw: bytes, at: int) -> bool:
