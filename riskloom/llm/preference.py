@@ -4,21 +4,22 @@ For a chosen and a rejected conversation the longest common prefix of whole turn
 prompt; what follows in each is rendered as its completion, with the character spans that the loss
 covers (the text of assistant turns and its end mark). Built-in expressions only.
 
+Two ways to get pairs: ``answer_pairs`` gives every conversation a rejected side that shares all its turns but the last answer, which
+is that of the next conversation; ``opening_pairs`` pairs conversations with one opening turn.
+
 Defined cases: turns are ordered by ``turn``, then role and text; a null role or text is empty, and null
-``turn`` comes first. Rows repeated in full count once. Conversations without a counterpart give no pair; the last of an
-opening that an odd number has can be formatted alone, as chosen without a rejected side. Equal
-conversations give two empty completions. A null ``conv_id`` belongs to no conversation.
+``turn`` comes first. Rows repeated in full count once. Conversations without a counterpart can be formatted alone, as chosen without a
+rejected side. Equal sides give two empty completions. A null ``conv_id`` belongs to no conversation. Other columns are
+dropped. Long texts are rendered whole. An empty table gives an empty result.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.ordering import global_row_number
 from riskloom.session import materialize
 
 CLOSE = "<|end|>\n"
-#: ``neighbour_pairs`` pairs within blocks of so many consecutive ids, which bounds every group.
-BLOCK_IDS = 1000
 
 
 def conversations(turns: DataFrame) -> DataFrame:
@@ -67,22 +68,33 @@ def unpaired(convs: DataFrame, pairs: DataFrame) -> DataFrame:
     return convs.join(used, "conv_id", "left_anti")
 
 
-def neighbour_pairs(convs: DataFrame) -> DataFrame:
-    """Pairs of neighbours: within a block of ids, in order of opening turn and id, each two in a row.
+def _last_answer(turns):
+    """Number of the last assistant turn, 0 without one."""
+    from_end = F.array_position(F.transform(F.reverse(turns), lambda x: x["role"]), "assistant").cast("int")
+    return F.when(from_end > 0, F.size(turns) - from_end + 1).otherwise(0)
+
 
-    The two need not share an opening turn: a group of two may be split, conversations of different blocks
-    never meet, and the odd one of each block has no counterpart; ``opening_pairs`` pairs by opening. Of the
-    two, the one with more assistant text is chosen, of equals the earlier. Blocks of consecutive ids bound
-    the window whatever share of all conversations an opening turn has.
+def answer_pairs(convs: DataFrame) -> DataFrame:
+    """``chosen_id``, ``rejected_id`` and the turns ``a`` and ``b`` of both sides, one row per conversation.
+
+    Chosen is the conversation up to its last assistant turn, rejected the same turns closed by the last assistant turn of the
+    next conversation in order of id, after the last one that of the first. Conversations without an assistant turn, and a single
+    one, have no counterpart: ``rejected_id`` and ``b`` are null, ``a`` holds all their turns. Places in the whole order are unique, so the
+    join that brings the next answer has no hot key.
     """
-    rows = _sized(convs).withColumn("block", F.floor(F.col("conv_id") / BLOCK_IDS))
-    order = Window.partitionBy("block").orderBy("role", "text", "conv_id")
-    pairs = rows.select("conv_id", "size", F.row_number().over(order).alias("place"),
-                        F.lag("conv_id").over(order).alias("before"),
-                        F.lag("size").over(order).alias("before_size")).where("place % 2 = 0")
-    first = F.col("before_size") >= F.col("size")
-    return pairs.select(F.when(first, F.col("before")).otherwise(F.col("conv_id")).alias("chosen_id"),
-                        F.when(first, F.col("conv_id")).otherwise(F.col("before")).alias("rejected_id"))
+    answered = convs.withColumn("last", _last_answer(F.col("turns")))
+    placed = materialize(global_row_number(answered.where("last > 0"), "conv_id", name="place"), "answered")
+    n = placed.count()
+    following = placed.select(F.col("place").alias("next"), F.col("conv_id").alias("rejected_id"),
+                              F.get("turns", F.col("last") - 1).alias("answer"))
+    met = placed.join(following.hint("merge"), F.col("place") % n + 1 == F.col("next"))
+    before = F.slice("turns", F.lit(1), F.col("last") - 1)
+    pairs = met.where(F.lit(n > 1)).select(F.col("conv_id").alias("chosen_id"), "rejected_id", F.slice("turns", F.lit(1), F.col("last")).alias("a"),
+                                           F.array_append(before, F.col("answer")).alias("b"))
+    alone = answered.where((F.col("last") == 0) | F.lit(n == 1)).select(
+        F.col("conv_id").alias("chosen_id"), F.lit(None).cast("bigint").alias("rejected_id"), F.col("turns").alias("a"),
+        F.lit(None).cast(convs.schema["turns"].dataType).alias("b"))
+    return pairs.unionByName(alone)
 
 
 def _render(turns):
@@ -103,17 +115,26 @@ def _spans(turns):
 
 
 def format_preferences(convs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One row per pair: ids, ``prefix_turns``, ``prompt``, both completions and their loss spans."""
+    """One row per pair of ids, in the columns of ``format_sides``."""
     a = convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("a"))
     b = convs.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("b"))
-    both = pairs.join(a, "chosen_id").join(b, "rejected_id")
+    return format_sides(pairs.join(a, "chosen_id").join(b, "rejected_id"))
+
+
+def format_sides(both: DataFrame) -> DataFrame:
+    """Of the turns ``a`` and ``b``: ids, ``prefix_turns``, ``prompt``, both completions and their loss spans.
+
+    Without ``b`` nothing is shared and nothing rejected.
+    """
     shorter = F.least(F.size("a"), F.size("b"))
     differs = F.array_position(F.zip_with(F.slice("a", 1, shorter), F.slice("b", 1, shorter),
                                           lambda x, y: x != y), True)
-    both = both.withColumn("common", F.when(differs > 0, differs.cast("int") - 1).otherwise(shorter))
+    common = F.when(F.col("b").isNull(), 0).when(differs > 0, differs.cast("int") - 1).otherwise(shorter)
+    both = both.withColumn("common", common)
     rest = lambda c: F.slice(c, F.col("common") + 1, F.size(c))
     both = both.select("chosen_id", "rejected_id", F.col("common").alias("prefix_turns"),
-                       F.slice("a", 1, F.col("common")).alias("prefix"), rest("a").alias("a"), rest("b").alias("b"))
+                       F.slice("a", 1, F.col("common")).alias("prefix"), rest("a").alias("a"),
+                       F.when(F.col("b").isNotNull(), rest("b")).alias("b"))
     return both.select("chosen_id", "rejected_id", "prefix_turns", _render(F.col("prefix")).alias("prompt"),
                        _render(F.col("a")).alias("chosen"), _spans(F.col("a")).alias("chosen_spans"),
                        _render(F.col("b")).alias("rejected"), _spans(F.col("b")).alias("rejected_spans"))

@@ -60,9 +60,9 @@ def _spans_as_text(pairs):
 
 
 def preferences(spark, sf_dir):
-    """Preference pairs of neighbouring conversations; spans as text, ``start-end`` each."""
+    """Every conversation against itself with the next one's answer; spans as text, ``start-end`` each."""
     convs = materialize(preference.conversations(_table(spark, sf_dir, "conversations")), "conversations")
-    return _spans_as_text(preference.format_preferences(convs, preference.neighbour_pairs(convs)))
+    return _spans_as_text(preference.format_sides(preference.answer_pairs(convs)))
 
 
 def opening_preferences(spark, sf_dir):
@@ -243,20 +243,18 @@ FROM n LEFT JOIN r ON n.doc_id = r.a GROUP BY n.doc_id, n.n""",
 WITH c AS (SELECT conv_id, list(struct_pack(role := r, text := x) ORDER BY turn, r, x) AS t
     FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
           WHERE conv_id IS NOT NULL) GROUP BY conv_id),
-s AS (SELECT *, coalesce(list_sum(list_transform(list_filter(t, lambda x: x.role = 'assistant'),
-        lambda x: length(x.text))), 0) AS size FROM c),
-o AS (SELECT *, row_number() OVER w AS place, lag(conv_id) OVER w AS before, lag(t) OVER w AS before_t,
-        lag(size) OVER w AS before_size FROM s
-      WINDOW w AS (PARTITION BY conv_id // 1000 ORDER BY t[1].role, t[1].text, conv_id)),
-p AS (SELECT before_size >= size AS keep, * FROM o WHERE place % 2 = 0),
-q AS (SELECT CASE WHEN keep THEN before ELSE conv_id END AS chosen_id,
-        CASE WHEN keep THEN conv_id ELSE before END AS rejected_id,
-        CASE WHEN keep THEN before_t ELSE t END AS a, CASE WHEN keep THEN t ELSE before_t END AS b FROM p),
-n AS (SELECT *, len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[1:i] = b[1:i])) AS k FROM q),
+l AS (SELECT *, coalesce(list_max(list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant')), 0) AS last FROM c),
+o AS (SELECT *, t[last] AS answer, count(*) OVER () AS n FROM l WHERE last > 0),
+q AS (SELECT conv_id AS chosen_id, coalesce(lead(conv_id) OVER w, first_value(conv_id) OVER w) AS rejected_id, n,
+        t[1:last] AS a, list_append(t[1:last - 1], coalesce(lead(answer) OVER w, first_value(answer) OVER w)) AS b
+      FROM o WINDOW w AS (ORDER BY conv_id)),
+n AS (SELECT *, len(list_filter(range(1, least(len(a), len(b)) + 1), lambda i: a[1:i] = b[1:i])) AS k FROM q WHERE n > 1),
 r AS (SELECT chosen_id, rejected_id, k, a[1:k] AS pre, a[k + 1:] AS a, b[k + 1:] AS b FROM n)
 SELECT chosen_id, rejected_id, CAST(k AS INTEGER) AS prefix_turns,
   {_rendered("pre")} AS prompt, {_rendered("a")} AS chosen, {_span_text("a")} AS chosen_spans,
-  {_rendered("b")} AS rejected, {_span_text("b")} AS rejected_spans FROM r""",
+  {_rendered("b")} AS rejected, {_span_text("b")} AS rejected_spans FROM r
+UNION ALL SELECT conv_id, NULL, 0, '', {_rendered("t")}, {_span_text("t")}, NULL, NULL FROM l
+WHERE last = 0 OR (SELECT count(*) FROM o) = 1""",
     "op7_opening_preferences": f"""
 WITH c AS (SELECT conv_id, list(struct_pack(role := r, text := x) ORDER BY turn, r, x) AS t
     FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations

@@ -432,8 +432,6 @@ def test_preference_prefix_and_spans(make):
              (2, 0, "user", "hi"), (2, 1, "assistant", "hello"), (2, 2, "user", "y"), (2, 3, "assistant", "no"),
              (3, None, None, None), (None, 0, "user", "z")]
     convs = preference.conversations(make("conv_id long, turn long, role string, text string", turns))
-    r, = preference.format_preferences(convs, preference.neighbour_pairs(convs).where("chosen_id < 3 and rejected_id < 3")).collect() or [None]
-    assert r is None or (r.chosen_id, r.rejected_id, r.prefix_turns) == (1, 2, 2)
     pairs = make("chosen_id long, rejected_id long", [(1, 2)])
     r, = preference.format_preferences(convs, pairs).collect()
     assert r.prompt == "<|user|>\nhi<|end|>\n<|assistant|>\nhello<|end|>\n"
@@ -441,6 +439,35 @@ def test_preference_prefix_and_spans(make):
     assert [r.rejected[s.start:s.end] for s in r.rejected_spans] == ["no<|end|>\n"]
 
 
+def test_every_conversation_gets_the_next_ones_answer(make):
+    schema = "conv_id long, turn long, role string, text string, chosen_id string, place long, extra string"
+    turns = [(5, 0, "user", "q5"), (5, 1, "assistant", "a5"), (5, 2, "user", "more"), (5, 3, "assistant", "b5"), (5, 4, "user", "bye"),
+             (2, 0, "user", "q2"), (2, 1, "assistant", "a2"), (9 * 10 ** 9, 0, "user", "q9"), (9 * 10 ** 9, 1, "assistant", "x" * 50000),
+             (7, 0, "user", "nobody answers"), (8, None, None, None), (None, 0, "assistant", "lost"), (5, 0, "user", "q5")]
+
+    def pairs(rows):
+        convs = preference.conversations(make(schema, [(*r, "c", 1, "e") for r in rows]))
+        return {r.chosen_id: r for r in preference.format_sides(preference.answer_pairs(convs)).collect()}
+
+    got = pairs(turns)
+    assert {i: (r.rejected_id, r.prefix_turns) for i, r in got.items()} == {
+        2: (5, 1), 5: (9 * 10 ** 9, 3), 9 * 10 ** 9: (2, 1), 7: (None, 0), 8: (None, 0)}
+    assert got[5].prompt == "<|user|>\nq5<|end|>\n<|assistant|>\na5<|end|>\n<|user|>\nmore<|end|>\n"
+    assert got[5].chosen == "<|assistant|>\nb5<|end|>\n" and len(got[5].rejected) > 50000 and "bye" not in got[5].chosen
+    assert [got[2].rejected[s.start:s.end] for s in got[2].rejected_spans] == ["b5<|end|>\n"]
+    assert got[7].rejected is None and got[7].rejected_spans is None and got[7].chosen.startswith("<|user|>\nnobody")
+    assert {i: r.rejected_id for i, r in pairs(turns[:5]).items()} == {5: None} and pairs([]) == {}
+    same = pairs([(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "user", "z"), (2, 1, "assistant", "a")])
+    assert (same[1].prefix_turns, same[1].chosen, same[1].rejected) == (2, "", "")
+
+
+def test_given_conversations_share_their_prompts(spark):
+    rows = QUERIES["op7_preferences"](spark, SMALL).collect()
+    given = spark.read.parquet(f"{SMALL}/conversations.parquet").select("conv_id").distinct().count()
+    assert len(rows) == given and all(r.prefix_turns >= 1 and r.prompt for r in rows if r.rejected_id is not None)
+    assert sum(r.rejected_id is not None for r in rows) > .7 * given
+
+
 def test_conversations_of_one_opening_meet(make):
     openings = {1: "a", 2: "b", 3: "b", 4: "c", 5000: "a", 10 ** 12: "c", 9: "c", 11: "d"}
     turns = [t for i, o in openings.items() for t in ((i, 0, "user", o), (i, 1, "assistant", "x" * (i % 7)))]
@@ -453,6 +480,35 @@ def test_conversations_of_one_opening_meet(make):
     assert all(r.prefix_turns >= 1 for r in preference.format_preferences(convs, pairs).collect())
 
 
+def test_records_state_what_the_format_demands():
+    whole, again = (warc.parse_record(warc.write_record(7, "http://a/b", b"x" * 9, 9, hashlib.sha1(b"x" * 9).hexdigest(), to))[0]
+                    for to in (None, 3))
+    for fields in (whole, again):
+        assert {"warc-type", "warc-record-id", "warc-date", "content-length", "content-type"} <= set(fields)
+    assert again["warc-profile"].endswith("identical-payload-digest") and "warc-profile" not in whole
+
+
+@pytest.mark.parametrize("plain", [False, True])
+def test_reading_takes_time_in_proportion(plain):
+    import gzip
+    import time
+    rng = random.Random(6)
+    payload = rng.randbytes(2000)
+    record = warc.write_record(1, "u", payload, 2000, hashlib.sha1(payload).hexdigest(), None)
+    member = record if plain else gzip.compress(record, 1, mtime=0)
+    bad = member[:len(member) // 2]  # every tenth record is cut off
+
+    def seconds(n):
+        raw = b"".join(bad if i % 10 == 9 else member for i in range(n))
+        start = time.perf_counter()
+        kinds = [k for k, *_ in warc.salvage(raw)]
+        assert abs(kinds.count("record") - n * .9) <= n * .1 and kinds.count("gap") >= n * .08
+        return time.perf_counter() - start
+
+    seconds(200)
+    assert seconds(16000) < 8 * seconds(4000) + .2  # four times the bytes; a quadratic reader takes sixteen times as long
+
+
 @pytest.mark.parametrize("plain", [False, True])
 def test_salvage_recovers_records_after_damage(plain):
     import gzip
