@@ -97,6 +97,22 @@ def test_suffix_array_against_sorting():
             assert suffix.suffix_array(np.frombuffer(raw, np.uint8)).tolist() == sorted(range(n), key=lambda i: raw[i:])
 
 
+def test_permuted_prefixes_against_comparison():
+    rng = random.Random(7)
+    for n in [*range(2, 30), 400]:
+        for letters in (1, 2, 4, 250):
+            raw = bytes(rng.randrange(letters) for _ in range(n))
+            if letters == 4:
+                raw = raw[:n // 2] * 2 + raw[n // 2 * 2:]
+            text = np.frombuffer(raw, np.uint8)
+            order = suffix.suffix_array(text).astype(np.int64)
+            want = [0] * n
+            for a, b in zip(order[:-1].tolist(), order[1:].tolist()):
+                while max(a, b) + want[b] < n and raw[a + want[b]] == raw[b + want[b]]:
+                    want[b] += 1
+            assert suffix.permuted_prefixes(text, order).tolist() == want
+
+
 def without_repeats(rows, length=suffix.LENGTH):
     first, out = {}, {}
     for i, text in sorted(rows):
