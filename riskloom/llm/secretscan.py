@@ -6,8 +6,8 @@ the trigrams that any query names, lower-cased: one posting list per trigram and
 query intersects and unites the lists of each block, and only its candidates are verified with the expression itself.
 Rules without a mandatory trigram are run over every text.
 
-How it holds at scale: texts are read once. A document with fewer trigrams than the shortest query asks for is a candidate of no
-rule, so its text is not moved; the others' texts are shuffled once, by a unique key, to meet their candidates. A block's
+How it holds at scale: texts are read once. A document that holds fewer of a rule's trigrams than its query asks for at least, for every rule, is
+no candidate, so it is not indexed and its text is not moved; the others' texts are shuffled once, by a unique key, to meet their candidates. A block's
 documents lie in one partition, so posting lists combine before the shuffle, and no list has more than ``BLOCK``
 numbers, however many documents hold a trigram. The plan is the same at every size.
 
@@ -236,30 +236,35 @@ def matches(text, rule: Rule, number: int):
     return F.expr(f"CASE WHEN {text} RLIKE {pattern} THEN {kept} ELSE {_EMPTY} END")
 
 
+def _enough(clauses, held):
+    """Whether a text holds as many trigrams of a query as any way to satisfy it needs."""
+    grams = {g for clause in clauses for term in clause for g in term}
+    least = max(min(map(len, clause)) for clause in clauses)
+    return sum((held[g].cast("int") for g in sorted(grams)), F.lit(0)) >= least
+
+
 def find_secrets(docs: DataFrame, keep, text="text", rules=RULES) -> DataFrame:
     """The columns ``keep`` and ``secrets``, an array of (kind, start, end) by start, then by order of the rules."""
     queries = {n: trigram_query(r.pattern) for n, r in enumerate(rules)}
     full, queries = [n for n, q in queries.items() if not q], {n: q for n, q in queries.items() if q}
     names = sorted({g for clauses in queries.values() for clause in clauses for term in clause for g in term})
-    # No rule is satisfied by fewer trigrams than this.
-    shortest = min((max(min(map(len, clause)) for clause in clauses) for clauses in queries.values()), default=1)
     keep = without(keep, ("secrets",))
     taken = docs.select(*(F.col(f"`{c}`") for c in keep))
-    key, grams, body, spans, total = (fresh(taken, n) for n in ("_key", "_grams", "_text", "_spans", "_total"))
+    key, grams, body, spans, enough = (fresh(taken, n) for n in ("_key", "_grams", "_text", "_spans", "_enough"))
 
     # Plain expressions that compile: the text is lower-cased once for all trigrams.
     plain = docs.select(*(F.col(f"`{c}`") for c in keep), whole_text(f"`{text}`").alias(body))
     lowered = F.translate(F.col(body), _UPPER, _UPPER.lower())
-    held = [F.contains(lowered, F.lit(g)) for g in names]
+    held = {g: F.contains(lowered, F.lit(g)) for g in names}
+    possible = [_enough(clauses, held) for clauses in queries.values()]
     scanned = plain.select(
         *(F.col(f"`{c}`") for c in keep), body, F.monotonically_increasing_id().alias(key),
-        F.array(*held).cast("array<boolean>").alias(grams), sum((h.cast("int") for h in held), F.lit(0)).alias(total),
+        F.array(*held.values()).cast("array<boolean>").alias(grams), functools.reduce(lambda a, b: a | b, possible, F.lit(False)).alias(enough),
         F.concat(F.expr(_EMPTY), *(matches(body, rules[n], n) for n in full)).alias(spans))
-    enough = F.col(total) >= shortest
-    stored = materialize(scanned.withColumn(body, F.when(enough, F.col(body))), "scanned")
+    stored = materialize(scanned.withColumn(body, F.when(F.col(enough), F.col(body))), "scanned")
 
     columns = [F.col(f"`{c}`") for c in keep]
-    result = stored.where(~enough).select(*columns, spans)
+    result = stored.where(~F.col(enough)).select(*columns, spans)
     if queries:
         index = materialize(postings(stored.where(enough), key, grams), "postings")
         found = candidates(index, queries, names).select(F.col("key").alias(key), F.col("rules").alias(fresh(stored, "_rules")))
