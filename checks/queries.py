@@ -25,6 +25,9 @@ from riskloom.session import materialize, shared_dir, shared_path
 QUERIES = {}
 SQL = {}
 
+# A published category ends in a blank, which a CSV writer would cut off.
+CSV_OUT = {"header": True, "quote": '"', "escape": '"', "ignoreTrailingWhiteSpace": False, "ignoreLeadingWhiteSpace": False}
+
 # Columns whose last digits depend on the order of a sum.
 ORDER_DOUBLES = list(wide.ORDER_SCALED)
 CREDIT_DOUBLES = ["credit_score", "quota_rate"]
@@ -741,7 +744,7 @@ SELECT CAST(id AS STRING) AS id, NULLIF(amt_order, 'null') AS amt_order, type_pa
 def _(spark, sf_dir):
     from riskloom.sources.tables import read_table
     path = _scratch(spark, "orders-csv")
-    load(spark, sf_dir, "order_info").write.csv(path, header=True, quote='"', escape='"')
+    load(spark, sf_dir, "order_info").write.csv(path, **CSV_OUT)
     return read_table(spark, path, "order_info").drop("no_order_md5", "product_id_md5")
 
 
@@ -753,7 +756,7 @@ def _(spark, sf_dir):
     from riskloom.sources.tables import read_tables
     root = _scratch(spark, "tables")
     for name, df in w.tables(spark, sf_dir).items():
-        df.write.csv(f"{root}/train_{name}.csv", header=True, quote='"', escape='"')
+        df.write.csv(f"{root}/train_{name}.csv", **CSV_OUT)
     t = read_tables(spark, root, "train")
     return join_features(t["target"].select("id", "target"), [
         t["credit_info"].select("id", "quota"), t["user_info"].select("id", "sex"),
@@ -769,7 +772,7 @@ def _(spark, sf_dir):
     from riskloom.sources.tables import read_tables
     root = _scratch(spark, "score-tables")
     for name, df in w.tables(spark, sf_dir, "score").items():
-        df.write.csv(f"{root}/score_{name}.csv", header=True, quote='"', escape='"')
+        df.write.csv(f"{root}/score_{name}.csv", **CSV_OUT)
     t = read_tables(spark, root, "score")
     return join_features(t["list"].select("id", "appl_sbm_tm"), [
         t["credit_info"].select("id", "quota"), t["user_info"].select("id", "sex"),

@@ -145,7 +145,7 @@ def test_invariants_of_the_wide_matrix(spark):
     spine = w.table(spark, SMALL, "target")
     assert matrix.count() == spine.count()
     scaled = [*wide.ORDER_SCALED, *wide.CREDIT_SCALED]
-    flags = ["female", "all_null", "NA", "null_x", "feature_1", "have_credit_card", "age_three"]
+    flags = ["female", "all_null", "广东", "null_x", "feature_1", "have_credit_card", "age_three"]
     outside = matrix.agg(
         *[F.max((~F.col(c).between(0, 1)).cast("int")).alias(c) for c in scaled],
         *[F.max((~F.col(c).isin(0, 1)).cast("int")).alias(c) for c in flags],

@@ -140,15 +140,15 @@ def test_cut_in_a_pipeline_is_stored_and_loaded(labelled, tmp_path):
     from riskloom.operators.models import assembled_features
     vectors = assembled_features(labelled, ["signal", "noise", "same", "zero"])
     model = Pipeline(stages=[ChiSquaredCut(k=2)]).fit(vectors)
-    assert model.stages[0].positions() == [0, 1]
+    assert model.stages[0].positions() == [0, 2]  # noise and same both score 0: the later one stays
     model.write().overwrite().save(str(tmp_path / "pipe"))
     model.stages[0].save(str(tmp_path / "cut"))
     ChiSquaredCut(k=7).save(str(tmp_path / "estimator"))
     again = PipelineModel.load(str(tmp_path / "pipe"))
-    assert ChiSquaredCutModel.load(str(tmp_path / "cut")).positions() == [0, 1]
+    assert ChiSquaredCutModel.load(str(tmp_path / "cut")).positions() == [0, 2]
     assert ChiSquaredCut.load(str(tmp_path / "estimator")).getOrDefault("k") == 7
     rows = again.transform(vectors.where("id < 2")).orderBy("id").collect()
-    assert [list(r.selected) for r in rows] == [[5.0, 0.0], [0.0, 1.0]]
+    assert [list(r.selected) for r in rows] == [[5.0, 3.0], [0.0, 3.0]]
     one_class = Pipeline(stages=[ChiSquaredCut(k=2)]).fit(vectors.where("target = 0"))
     assert len(one_class.stages[0].positions()) == 2
     assert Pipeline(stages=[ChiSquaredCut(k=2)]).fit(vectors.limit(0)).stages[0].positions() == []
