@@ -879,7 +879,7 @@ def _(spark, sf_dir):
 # ---- models on the facts, with SQL ------------------------------------------------------------
 
 def _facts(spark, sf_dir):
-    return f.facts(spark, w.tables(spark, sf_dir))
+    return f.facts(spark, w.tables(spark, sf_dir, stored=False))
 
 
 @query("second_moments", f.moments_sql())

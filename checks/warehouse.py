@@ -7,8 +7,10 @@ every value occurs. Amounts are whole numbers so that sums and means are exact i
 """
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom import vocab
+from riskloom.session import materialize
 
 
 def _dealt(number, values):
@@ -133,10 +135,38 @@ def table(spark: SparkSession, sf_dir, name) -> DataFrame:
     return spark.sql(TABLE_SQL[name], **{s: given(spark, sf_dir, s) for s in SOURCES[name]})
 
 
-def tables(spark: SparkSession, sf_dir, role="train") -> dict:
-    """All tables of the labelled applicants, or of those to be scored."""
+# What the tables of both roles take from an order line and its order, and the joins that it stands for.
+_LINES = ("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_shipdate"
+          " FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey")
+_LINE_JOINS = ("{lineitem} JOIN {orders} ON l_orderkey = o_orderkey", "{orders} JOIN {lineitem} ON l_orderkey = o_orderkey")
+# Without a line of an order a supplier has no order either; the latest date per supplier is all that the list takes.
+_LIST_JOIN = ("{lineitem} ON l_suppkey = s_suppkey LEFT JOIN {orders} ON o_orderkey = l_orderkey",
+              "(SELECT l_suppkey, MAX(o_orderdate) AS o_orderdate FROM {lines} GROUP BY l_suppkey) ON l_suppkey = s_suppkey")
+# Results of a whole join or grouping with one row per applicant: used for the check of unique ids and again for the features.
+_STORED = ("auth_info", "target", "list")
+
+
+def _from_lines(sql):
+    for join in _LINE_JOINS:
+        sql = sql.replace(join, "{lines}")
+    return sql.replace(*_LIST_JOIN)
+
+
+def tables(spark: SparkSession, sf_dir, role="train", stored=True) -> dict:
+    """All tables of the labelled applicants, or of those to be scored.
+
+    Order lines meet their orders once, and the joined lines are ``stored`` for all tables made of them; so are tables that are
+    the result of a grouping. For few columns of few tables it is cheaper not to store them.
+    """
     texts = TABLE_SQL if role == "train" else SCORE_SQL
     needed = {s for names in SOURCES.values() for s in names} if role == "train" else set(_SCORE_SOURCES)
     frames = {s: given(spark, sf_dir, s) for s in needed}
-    return {name: spark.sql(text, **{s: frame for s, frame in frames.items() if "{" + s + "}" in text})
-            for name, text in texts.items()}
+
+    def made(text):
+        return spark.sql(text, **{s: frame for s, frame in frames.items() if "{" + s + "}" in text})
+
+    if not stored:
+        return {name: made(text) for name, text in texts.items()}
+    frames["lines"] = materialize(made(_LINES), "lines", compression="zstd").withColumn("l_orderkey", F.col("o_orderkey"))
+    built = {name: made(_from_lines(text)) for name, text in texts.items()}
+    return {name: materialize(df, name) if name in _STORED else df for name, df in built.items()}

@@ -34,6 +34,15 @@ def test_no_python_and_no_cross_join(spark, tables):
         assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", plan)
 
 
+@pytest.mark.parametrize("role", ["train", "score"])
+def test_order_lines_meet_their_orders_once(spark, role):
+    for name, df in w.tables(spark, SMALL, role).items():
+        plan = plan_of(df)
+        assert "lineitem.parquet" not in plan, name
+        if name in ("auth_info", "target", "list"):  # read for the check of unique ids and again for the features
+            assert not re.search("Join|Aggregate", plan), name
+
+
 def test_row_features_do_not_shuffle(tables):
     for df in (wide.user_features(tables["user_info"]), wide.auth_features(
             tables["user_info"].select("id", "id_card", F.col("sex").alias("auth_time"),
