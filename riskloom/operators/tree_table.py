@@ -2,11 +2,13 @@
 
 The table has one row per tree node: ``round`` from 1, ``weight`` of the round, ``node``, ``feature`` by position (null in a
 leaf), ``threshold`` (left if the value is at most that), ``left``, ``right``, ``gain`` and ``prediction``. Node 0 is the root. It is
-bounded by rounds and depth, not by data, and is broadcast to the rows.
+bounded by rounds and depth, not by data, and is sent to the rows.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.flags import as_flag
@@ -106,11 +108,54 @@ def grouped_auc(df: DataFrame, group: str, label="target", score="prob") -> Data
 
 
 def staged_margins(ensemble: DataFrame, df: DataFrame, columns, *keys, missing=0.0) -> DataFrame:
-    """``keys``, ``round`` and the ``margin`` after it: a running sum over a row's rounds, whose number is bounded."""
-    parts = round_predictions(ensemble, df.withColumn("_row", F.monotonically_increasing_id()), columns,
-                              "_row", *keys, missing=missing)
-    so_far = Window.partitionBy("_row").orderBy("round").rowsBetween(Window.unboundedPreceding, 0)
-    return parts.select(*keys, "round", F.sum("part").over(so_far).alias("margin"))
+    """``keys``, ``round`` and the ``margin`` after it: a running sum over a row's rounds, whose number is bounded.
+
+    A task walks its rows down all trees at once, so that neither values nor places are copied per round and no row is moved.
+    """
+    values = F.array(*(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float(missing))) for c in columns))
+    feature, threshold, children, part, rounds = _trees(ensemble)
+    depth, size, n_keys = levels(ensemble), len(columns), len(keys)
+
+    def run(batches):
+        trees = np.arange(len(rounds))[None, :]
+        for batch in batches:
+            for at in range(0, batch.num_rows, _WALKED):
+                rows = batch.slice(at, _WALKED)
+                x = rows.column(n_keys).flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+                line, node = np.arange(len(x))[:, None], np.zeros((len(x), len(rounds)), np.int64)
+                for _ in range(depth):
+                    # A comparison that Spark and the model share: NaN is above every threshold.
+                    right = ~(x[line, feature[trees, node]] <= threshold[trees, node])
+                    node = children[trees, node, right.astype(np.int64)]
+                margin = np.cumsum(part[trees, node], axis=1)
+                repeated = pa.array(np.repeat(np.arange(len(x)), len(rounds)))
+                yield pa.record_batch([*(rows.column(k).take(repeated) for k in range(n_keys)),
+                                       pa.array(np.tile(rounds, len(x)), pa.int32()), pa.array(margin.ravel())],
+                                      [*keys, "round", "margin"])
+
+    held = df.select(*keys, values.alias("_values"))
+    kinds = ", ".join(f"`{k}` {held.schema[k].dataType.simpleString()}" for k in keys)
+    return held.mapInArrow(run, f"{kinds}, round int, margin double")
+
+
+# Rows walked at once: so many times the rounds are in memory.
+_WALKED = 2000
+
+
+def _trees(ensemble: DataFrame):
+    """[round, node] feature, threshold, both children (a leaf's are itself) and weighted prediction; and the rounds in order."""
+    nodes = ensemble.collect()  # bounded by rounds and depth
+    rounds = sorted({n["round"] for n in nodes})
+    place, width = {r: i for i, r in enumerate(rounds)}, max((n.node for n in nodes), default=0) + 1
+    feature, threshold = np.zeros((len(rounds), width), np.int64), np.zeros((len(rounds), width))
+    children = np.broadcast_to(np.arange(width)[None, :, None], (len(rounds), width, 2)).copy()
+    part = np.zeros((len(rounds), width))
+    for n in nodes:
+        at = place[n["round"]], n.node
+        part[at] = n.weight * n.prediction
+        if n.feature is not None:
+            feature[at], threshold[at], children[at] = n.feature, n.threshold, (n.left, n.right)
+    return feature, threshold, children, part, np.array(rounds, np.int32)
 
 
 def watch_list(ensemble: DataFrame, train: DataFrame, validation: DataFrame, columns, missing=0.0) -> DataFrame:

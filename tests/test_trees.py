@@ -1,6 +1,8 @@
 """Second moments, extremely randomised trees and tree tables against plain versions."""
 
 import math
+import re
+from itertools import accumulate
 
 import numpy as np
 import pytest
@@ -173,6 +175,20 @@ def test_watch_list_ends_with_the_models_auc(data, fitted):
         assert math.isclose(rows[-1][column], exact_auc(scored, score="PROB").first().auc, abs_tol=1e-9)
 
 
+def test_staged_margins_are_running_sums_without_a_shuffle(data, fitted, capsys):
+    _model, table, *_ = fitted
+    got = tree_table.staged_margins(table, data, NAMES, "id", missing=models.MISSING)
+    got.explain()
+    assert not {"Exchange", "Generate", "Window"} & set(re.findall(r"\w+", capsys.readouterr().out))
+    parts = {}
+    for r in tree_table.round_predictions(table, data, NAMES, "id", missing=models.MISSING).collect():
+        parts.setdefault(r.id, {})[r["round"]] = r.part
+    # Added in the order of the rounds; Python's sum() would correct its rounding.
+    want = {(i, k): margin for i, by_round in parts.items()
+            for k, margin in zip(sorted(by_round), accumulate(by_round[k] for k in sorted(by_round)))}
+    assert {(r.id, r["round"]): r.margin for r in got.collect()} == want
+
+
 def test_fixed_ensemble_on_odd_rows(make):
     table = make(tree_table.SCHEMA, list(facts.ENSEMBLE))
     assert tree_table.levels(table) == 3
