@@ -5,7 +5,8 @@ the one that lowers the Gini impurity most. Draws are an arithmetic hash of (tre
 partitions nor on the engine. A level takes two aggregations over the rows, one for the ranges of the drawn features and
 one for the counts beside their thresholds; both serve all trees.
 
-Rows are never exploded or moved: a task walks its rows down the trees grown so far and gives one row per tree and node.
+Rows are never exploded or moved: a task holds a block of rows by column, splits it node by node down each tree grown so far, and gives
+one row per tree and node. The values of a node are read together, feature by feature, so that ranges and counts are plain loops.
 What is shuffled, sent to the driver and broadcast depends on trees, depth and drawn features alone.
 
 Null and NaN values count as ``missing``. A node whose drawn features do not vary, or whose label does not, is a leaf. Of equal
@@ -23,6 +24,8 @@ from riskloom.session import materialize, ship_package
 
 MODULUS = 2147483647
 _FACTOR = 48271
+# Values that a task holds at once, 64 MB, and twice that while it turns them.
+_BLOCK_VALUES = 1 << 23
 
 
 def _mixed(v):
@@ -61,23 +64,18 @@ def drawn_features(seed, trees, nodes, n_columns, per_node) -> np.ndarray:
     return np.sort(np.argsort(draws, axis=2, kind="stable")[:, :, :per_node], axis=2)
 
 
-def _walk(x, feature, threshold, level):
-    """The node of every row and tree at ``level``; 0 where the way ended in a leaf."""
-    trees, rows = np.arange(len(feature))[None, :], np.arange(len(x))[:, None]
-    node = np.ones((len(x), len(feature)), np.int64)
-    for _ in range(level):
-        at = feature[trees, node]
-        right = x[rows, np.maximum(at, 0)] > threshold[trees, node]
-        node = np.where(at >= 0, 2 * node + right, 0)
-    return node
-
-
-def _by_node(node, first):
-    """The rows of one tree sorted by node, the nodes' numbers from ``first``, and where each node starts."""
-    rows = np.flatnonzero(node)
-    order = rows[np.argsort(node[rows], kind="stable")]
-    numbers, starts = np.unique(node[order], return_index=True)
-    return order, numbers - first, starts
+def _at_level(table, first_rows, feature, threshold, level):
+    """The nodes of one tree at ``level`` that have rows, with those rows in ascending order. ``table`` holds a column in each row."""
+    waiting = [(1, 0, first_rows)]
+    while waiting:
+        node, depth, rows = waiting.pop()
+        if depth == level:
+            yield node, rows
+        elif feature[node] >= 0:
+            right = table[feature[node]].take(rows) > threshold[node]
+            for child, side in ((2 * node, rows[~right]), (2 * node + 1, rows[right])):
+                if len(side):
+                    waiting.append((child, depth + 1, side))
 
 
 def _lists(table, kind):
@@ -85,10 +83,40 @@ def _lists(table, kind):
     return pa.ListArray.from_arrays(pa.array(np.arange(len(table) + 1) * size, pa.int32()), pa.array(table.ravel(), kind))
 
 
-def _batches(batches, size):
+def _packed_rows(df: DataFrame, columns, label, missing) -> DataFrame:
+    """The values of a row as the bytes of its doubles, and the label as 0 or 1; stored. An array would be taken apart value by value in every pass."""
+    ship_package(df.sparkSession)
+    width = len(columns)
+    values = [F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)), F.lit(float(missing))).alias(f"v{i}") for i, c in enumerate(columns)]
+
+    def run(batches):
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[:width]]).astype("<f8")
+            packed = pa.Array.from_buffers(pa.binary(8 * width), len(x), [None, pa.py_buffer(x.tobytes())])
+            yield pa.record_batch([packed.cast(pa.binary()), batch.column(width)], ["x", "y"])
+
+    labelled = df.select(*values, F.coalesce(F.col(label) == 1, F.lit(False)).cast("bigint").alias("y"))
+    return materialize(labelled.mapInArrow(run, "x binary, y bigint"), "rows", compression="zstd")
+
+
+def _blocks(batches, size):
+    """Blocks of a bounded size with a column in each row, the rows of label 1 first, and how many those are."""
+    held, rows = [], 0
+
+    def block():
+        x = np.concatenate([x for x, _ in held])
+        y = np.concatenate([y for _, y in held])
+        return np.ascontiguousarray(x[np.argsort(-y, kind="stable")].T), int(y.sum())
+
     for batch in batches:
-        yield (batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, size),
-               batch.column(1).to_numpy(zero_copy_only=False))
+        x = np.array([np.frombuffer(v, "<f8") for v in batch.column(0).to_pylist()]).reshape(-1, size)
+        held.append((x, batch.column(1).to_numpy(zero_copy_only=False)))
+        rows += len(x)
+        if rows * size >= _BLOCK_VALUES:
+            yield block()
+            held, rows = [], 0
+    if rows:
+        yield block()
 
 
 def _ranges(data: DataFrame, forest: Forest, drawn, level):
@@ -99,14 +127,14 @@ def _ranges(data: DataFrame, forest: Forest, drawn, level):
     def run(batches):
         feature, threshold, choice = shared.value
         low, high = np.full(drawn_shape, np.inf), np.full(drawn_shape, -np.inf)
-        for x, _ in _batches(batches, size):
-            node = _walk(x, feature, threshold, level)
+        for table, _ in _blocks(batches, size):
+            flat, width = table.ravel(), table.shape[1]
             for tree in range(trees):
-                order, numbers, starts = _by_node(node[:, tree], first)
-                if len(order):
-                    values = x[order[:, None], choice[tree, node[order, tree] - first]]
-                    low[tree, numbers] = np.minimum(low[tree, numbers], np.minimum.reduceat(values, starts, axis=0))
-                    high[tree, numbers] = np.maximum(high[tree, numbers], np.maximum.reduceat(values, starts, axis=0))
+                for node, rows in _at_level(table, np.arange(width), feature[tree], threshold[tree], level):
+                    slot = tree, node - first
+                    values = flat.take(choice[slot][:, None] * width + rows)
+                    np.minimum(low[slot], values.min(axis=1), out=low[slot])
+                    np.maximum(high[slot], values.max(axis=1), out=high[slot])
         used = np.flatnonzero(np.isfinite(low[:, :, 0]).ravel())
         yield pa.record_batch([pa.array(used), _lists(low.reshape(-1, per_node)[used], pa.float64()),
                                _lists(high.reshape(-1, per_node)[used], pa.float64())], ["slot", "low", "high"])
@@ -130,15 +158,19 @@ def _counts(data: DataFrame, forest: Forest, drawn, cuts, level):
     def run(batches):
         feature, threshold, choice, cut = shared.value
         total = np.zeros((trees, nodes, 2 + 2 * per_node), np.int64)
-        for x, y in _batches(batches, size):
-            node = _walk(x, feature, threshold, level)
+        for table, positive in _blocks(batches, size):
+            flat, width = table.ravel(), table.shape[1]
             for tree in range(trees):
-                order, numbers, starts = _by_node(node[:, tree], first)
-                if len(order):
-                    at, positive = node[order, tree] - first, y[order, None]
-                    left = (x[order[:, None], choice[tree, at]] <= cut[tree, at]).astype(np.int64)
-                    counted = np.hstack([np.ones_like(positive), positive, left, left * positive])
-                    total[tree, numbers] += np.add.reduceat(counted, starts, axis=0)
+                for node, rows in _at_level(table, np.arange(width), feature[tree], threshold[tree], level):
+                    slot = tree, node - first
+                    left = flat.take(choice[slot][:, None] * width + rows) <= cut[slot][:, None]
+                    begin = int(np.searchsorted(rows, positive))  # rows of label 1 come first
+                    of_positives = np.count_nonzero(left[:, :begin], axis=1)
+                    counted = total[slot]
+                    counted[0] += len(rows)
+                    counted[1] += begin
+                    counted[2:2 + per_node] += of_positives + np.count_nonzero(left[:, begin:], axis=1)
+                    counted[2 + per_node:] += of_positives
         used = np.flatnonzero(total[:, :, 0].ravel())
         yield pa.record_batch([pa.array(used), _lists(total.reshape(trees * nodes, -1)[used], pa.int64())], ["slot", "n"])
 
@@ -162,10 +194,8 @@ def grow(df: DataFrame, columns, trees=300, depth=7, per_node=None, label="targe
     """A forest of ``trees`` of ``depth`` levels of splits; ``per_node`` features are drawn, the root of their number by default."""
     columns = list(columns)
     per_node = min(per_node or max(1, int(len(columns) ** 0.5)), len(columns))
-    values = F.array(*(F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)), F.lit(float(missing))) for c in columns))
-    ship_package(df.sparkSession)
     # Every level reads the rows twice.
-    data = materialize(df.select(values.alias("x"), F.coalesce(F.col(label) == 1, F.lit(False)).cast("bigint").alias("y")), "rows")
+    data = _packed_rows(df, columns, label, missing)
     size = 1 << depth
     forest = Forest(columns, np.full((trees, size), -1, np.int32), np.zeros((trees, size)), np.zeros((trees, size)))
     for level in range(depth):

@@ -116,6 +116,34 @@ def test_forest_against_recursion(data, trees, depth, per_node):
     assert np.allclose(got.importances(), plain_forest(*plain(data), trees, depth, per_node, 27))
 
 
+def test_rows_of_a_level_by_block(monkeypatch):
+    """Blocks hold columns with label 1 first, and the nodes of a level share out the rows that are still on their way."""
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 5, (40, 3)).astype("<f8"), rng.integers(0, 2, 40)
+    batches = [pa.record_batch([pa.array([r.tobytes() for r in x[i:i + 8]], pa.binary()), pa.array(y[i:i + 8])], ["x", "y"])
+               for i in range(0, 40, 8)]
+    monkeypatch.setattr(extra_trees, "_BLOCK_VALUES", 3 * 16)
+    blocks = list(extra_trees._blocks(batches, 3))
+    assert [t.shape for t, _ in blocks] == [(3, 16), (3, 16), (3, 8)] and sum(p for _, p in blocks) == y.sum()
+    first, positive = blocks[0]
+    assert sorted(map(tuple, first[:, :positive].T)) == sorted(map(tuple, x[:16][y[:16] == 1]))
+    feature, threshold = np.array([-1, 0, 1, -1]), np.array([0, 2.0, 1.0, 0])
+    for table, _ in blocks:
+        level = dict(extra_trees._at_level(table, np.arange(table.shape[1]), feature, threshold, 2))
+        left = table[0] <= 2
+        assert level.get(4, np.array([])).tolist() == np.flatnonzero(left & (table[1] <= 1)).tolist()
+        assert level.get(5, np.array([])).tolist() == np.flatnonzero(left & (table[1] > 1)).tolist() and set(level) <= {4, 5}
+
+
+def test_stored_rows_are_not_taken_apart(data):
+    stored = extra_trees._packed_rows(data, NAMES, "target", 0.0)
+    assert dict(stored.dtypes) == {"x": "binary", "y": "bigint"}
+    x, y = plain(data)
+    got = sorted((tuple(np.frombuffer(r.x, "<f8")), r.y) for r in stored.collect())
+    assert got == sorted(zip(map(tuple, x), y.astype(int).tolist()))
+
+
 def test_forest_without_a_split(data):
     assert extra_trees.grow(data.limit(0), NAMES, 2, 2).importances().tolist() == [0] * 6
     assert extra_trees.grow(data.where("target = 1"), NAMES, 2, 2).importances().tolist() == [0] * 6
