@@ -624,6 +624,7 @@ SELECT feature FROM (SELECT feature FROM variance_scores {o.TOP} {TOP_K})
 INTERSECT SELECT feature FROM (SELECT feature FROM chi2_scores {o.TOP} {TOP_K})""")
 def _(spark, sf_dir):
     variance, chi2 = _score_frames(spark, sf_dir)
+    variance = materialize(variance, "scores")  # read twice, one row a feature
     names = selection.combine_names(selection.top_names(variance, TOP_K),
                                     selection.top_names(chi2, TOP_K))
     return variance.filter(F.col("feature").isin(names)).select("feature")

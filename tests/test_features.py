@@ -288,6 +288,30 @@ def test_wide_vocabulary_uses_several_masks(make):
         "1": (1, 1, 1, 0, 0), "2": (0, 0, 0, 1, 0), "3": (0, 0, 0, 0, 0)}
 
 
+def test_statistics_of_many_columns(spark):
+    """One row a task and column instead of one aggregate a column, with nulls, NaN, empty columns and values far from zero."""
+    nan = float("nan")
+    rows = [(i, int(i % 3 == 0) if i % 10 else None, 1e9 + i % 2, None, None if i % 4 else float(i % 8), nan if i == 7 else float(i % 2), float(i % 3),
+             i % 2 == 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, target int, far double, none double, gaps double, nan double, three double, flag boolean").repartition(5)
+    names = ["far", "none", "gaps", "nan", "three", "flag"]
+    scored = selection.variance_scores(df, names)
+    assert "MapInArrow" in scored._jdf.queryExecution().toString()
+    variance = {r.feature: r.score for r in scored.collect()}
+    assert [r.feature for r in scored.orderBy("position").collect()] == names and variance["none"] is None
+    assert variance["far"] == pytest.approx(.25) and variance["gaps"] == pytest.approx(4.0) and variance["flag"] == pytest.approx(.25)
+    assert variance["nan"] != variance["nan"] and variance["three"] == pytest.approx(df.agg(F.var_pop("three")).first()[0])
+    share, total = df.agg(F.avg((F.col("target") == 1).cast("double")), F.sum("three")).first()
+    seen = df.agg(F.sum(F.when(F.col("target") == 1, F.col("three")).otherwise(0.0))).first()[0]
+    chi2 = {r.feature: r.score for r in selection.chi2_scores(df, names).collect()}
+    assert chi2["none"] is None and chi2["three"] == pytest.approx(
+        (seen - share * total) ** 2 * (1 / (share * total) + 1 / ((1 - share) * total)))
+    assert selection.binary_columns(df, names) == ["far", "gaps", "flag"]
+    empty = df.limit(0)
+    assert [r.score for r in selection.variance_scores(empty, names).collect()] == [None] * 6
+    assert [r.score for r in selection.chi2_scores(empty, names).collect()] == [None] * 6 and selection.binary_columns(empty, names) == []
+
+
 def test_selection(make):
     rows = [(1, 1, 0.0, 5.0, 0, 1), (2, 0, 1.0, 5.0, 1, 0), (3, 1, 0.5, 5.0, 1, 0), (4, 0, 0.0, 5.0, 1, 0)]
     df = make("id int, target int, a double, b double, c int, d int", rows)
