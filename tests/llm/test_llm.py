@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -97,6 +99,43 @@ def test_suffix_array_against_sorting():
             assert suffix.suffix_array(np.frombuffer(raw, np.uint8)).tolist() == sorted(range(n), key=lambda i: raw[i:])
 
 
+def test_sorting_names_against_sorting():
+    rng = random.Random(9)
+    for n in [*range(1, 40), 400]:
+        for count in (1, 2, 3, n):
+            names = np.unique([rng.randrange(count) for _ in range(n)] * 2, return_inverse=True)[1]
+            want = sorted(range(2 * n), key=lambda i: names.tolist()[i:])
+            assert suffix._sort_names(names, int(names.max()) + 1).tolist() == want
+
+
+def test_suffix_arrays_cost_a_few_sorts():
+    # Lists of names were induced number by number: 11 times one sort of as many numbers.
+    words = np.random.default_rng(2).integers(97, 123, (4000, 6), np.uint8)
+    text = words[np.random.default_rng(3).integers(0, 4000, 200_000)].ravel()
+    start = time.process_time()
+    np.argsort(np.random.default_rng(4).random(len(text)), kind="stable")
+    one = time.process_time() - start
+    start = time.process_time()
+    order = suffix.suffix_array(text)
+    assert time.process_time() - start < 5 * one
+    assert np.array_equal(np.sort(order), np.arange(len(text)))
+
+
+@pytest.mark.parametrize("together", [1, 7, 1 << 20])
+def test_flagged_ranges_against_windows(monkeypatch, together):
+    monkeypatch.setattr(suffix, "FLAGGED_WINDOWS", together)
+    rng = random.Random(11)
+    held = [np.array([rng.randrange(4) for _ in range(rng.randrange(1, 9))]) for _ in range(30)]
+    places = [[(rng.randrange(5), rng.randrange(100), rng.randrange(9)) for _ in range(rng.randrange(3))] for _ in held]
+    want = []
+    for smallest, of_piece in zip(held, places, strict=True):
+        for doc, row, start in of_piece:
+            runs = "".join("x" if h < doc else " " for h in smallest)
+            want += [(row, start + m.start(), start + m.end() + suffix.LENGTH - 1) for m in re.finditer("x+", runs)]
+    assert list(zip(*suffix._flagged(held, places).tolist(), strict=True)) == want
+    assert suffix._flagged([], []).shape == (3, 0)
+
+
 def test_permuted_prefixes_against_comparison():
     rng = random.Random(7)
     for n in [*range(2, 30), 400]:
