@@ -170,12 +170,16 @@ def tokenized(docs: DataFrame, path: str, blanks_dropped: bool) -> DataFrame:
     kind = _stored_type(path)
 
     def run(batches):
-        encode = encoder(path, blanks_dropped).encode
-        end = np.array([END_ID], "<u4").tobytes()
+        encode_all = encoder(path, blanks_dropped).encode_all
         for batch in batches:
-            ids = [np.frombuffer(encode(t) + end, "<u4").astype(kind).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())],
-                                             names=["doc_id", "ids"])
+            found, ends = encode_all(batch.column(1))
+            ends = ends + np.arange(1, len(ends) + 1)  # with an end id after each document
+            ids, inner = np.full(len(found) + len(ends), END_ID, kind), np.ones(len(found) + len(ends), bool)
+            inner[ends - 1] = False
+            ids[inner] = found
+            bounds = (np.append(0, ends) * ids.itemsize).astype(np.int32)
+            stored = pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(bounds), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), stored], names=["doc_id", "ids"])
 
     return map_batches(docs.select(docs["doc_id"].cast("bigint"), whole_text().alias("text")), run,
                        "doc_id bigint, ids binary")
@@ -185,10 +189,12 @@ def _id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     def run(batches):
         counts = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                new = np.bincount(np.frombuffer(ids, kind), minlength=len(counts))
-                new[:len(counts)] += counts
-                counts = new
+            ids = batch.column(0)  # all documents of the batch are counted at once
+            bounds = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+            held = np.frombuffer(ids.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
+            new = np.bincount(held.view(kind), minlength=len(counts))
+            new[:len(counts)] += counts
+            counts = new
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())],
                                          names=["id", "n"])

@@ -1,9 +1,14 @@
 """Token ids of whole texts by the tokenizers library, remembering the ids of chunks."""
 
+import codecs
 import re
+import string
 import struct
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from riskloom.llm.common import forgetters
@@ -11,6 +16,8 @@ from riskloom.llm.common import forgetters
 END_ID = 1
 #: Chunks remembered by one worker; beyond it the memory is emptied and filled anew.
 REMEMBERED = 800_000
+#: What may follow a word without a blank and never belongs to it; an apostrophe may ("don't").
+_STOPS = string.punctuation.replace("'", "")
 _BORDER = re.compile(r"(?<=\S)([ \n])(?=\S)")
 _OTHER_BLANK = re.compile(r"[^\S \n]")
 
@@ -29,7 +36,19 @@ def _byte_letters():
     """The letter that byte-level vocabularies write for each byte: itself if printable, else the next one from 256 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = iter(range(256, 512))
-    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+    return "".join(chr(b) if b in printable else chr(next(others)) for b in range(256))
+
+
+class _Memory(dict):
+    """Ids by chunk. One that is asked for and not known is learned, so that a text takes one look-up a chunk."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, chunk):
+        ids = self[chunk] = self.learn(chunk)
+        return ids
 
 
 class ChunkEncoder:
@@ -51,7 +70,8 @@ class ChunkEncoder:
         self.model = self.tokenizer.model
         self.blanks_dropped = blanks_dropped
         self.letters = _byte_letters()
-        self.first, self.later = {}, {}
+        self.first = _Memory(lambda chunk: self._learn(self.first, chunk, ""))
+        self.later = _Memory(lambda chunk: self._learn(self.later, chunk, " "))
 
     def _library(self, text: str) -> bytes:
         found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
@@ -60,7 +80,12 @@ class ChunkEncoder:
     def _word(self, word: str, before: str) -> bytes:
         """Ids of a word, with the blank before it if there is one."""
         if word.isascii() and word.isalpha():
-            word = word.lower() if self.blanks_dropped else self.letters[32] + word if before else word
+            if self.blanks_dropped:
+                lower = word.lower()
+                if lower != word:
+                    return self.first[lower]
+            elif before:
+                word = self.letters[32] + word
             return _bytes_of([t.id for t in self.model.tokenize(word)])
         if not word.isalpha() or not unicodedata.is_normalized("NFC", word):
             return self._library(before + word)
@@ -68,61 +93,55 @@ class ChunkEncoder:
             word = "".join([c.lower() for c in word])
             if not word.isalpha():
                 return self._library(before + word)
-        raw = (before + word).encode()
-        return _bytes_of([t.id for t in self.model.tokenize("".join([self.letters[b] for b in raw]))])
+        letters, _size = codecs.charmap_decode((before + word).encode(), "strict", self.letters)
+        return _bytes_of([t.id for t in self.model.tokenize(letters)])
 
     def _learn(self, memory: dict, chunk: str, before: str) -> bytes:
-        """Ids of a chunk. Between a letter and a stop there is always a border."""
-        body = chunk.rstrip(".,;:!?")
-        tail = chunk[len(body):]
-        if body and tail and body[-1].isalpha():
-            ids = memory.get(body)
-            if ids is None:
-                ids = memory[body] = self._word(body, before)
-            stop = self.first.get(tail)
-            if stop is None:
-                stop = self.first[tail] = self._library(tail)
-            ids += stop
-        else:
-            ids = self._word(chunk, before)
-        memory[chunk] = ids
-        return ids
+        """Ids of a chunk. Between a letter and the stops at the end there is always a border."""
+        body = chunk.rstrip(_STOPS)
+        if body and len(body) < len(chunk) and body[-1].isalpha():
+            return memory[body] + self.first[chunk[len(body):]]
+        return self._word(chunk, before)
 
-    def encode(self, text: str) -> bytes:
+    def _bound(self):
         if len(self.first) + len(self.later) > REMEMBERED:
             self.first.clear()
             self.later.clear()
+
+    def encode(self, text: str) -> bytes:
+        self._bound()
         return self._words(text) if self.blanks_dropped else self._lines(text)
 
+    def encode_all(self, texts: pa.Array):
+        """The ids of many texts one after the other, and where those of each text end.
+
+        If every blank is a border, the different chunks of all texts are looked up once.
+        """
+        if not self.blanks_dropped:
+            found = [np.frombuffer(self.encode(t), "<u4") for t in texts.to_pylist()]
+            return np.concatenate([np.empty(0, "<u4"), *found]), np.cumsum([len(f) for f in found], dtype=np.int64)
+        self._bound()
+        chunks = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+        coded = chunks.flatten().dictionary_encode()
+        known = list(map(self.first.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)))
+        flat = pa.array(known, pa.large_binary()).take(coded.indices)
+        bounds = np.frombuffer(flat.buffers()[1], np.int64, len(flat) + 1) // 4 if len(flat) else np.zeros(1, np.int64)
+        last = np.cumsum(pc.list_value_length(chunks).to_numpy(zero_copy_only=False), dtype=np.int64)
+        return np.frombuffer(flat.buffers()[2] or b"", "<u4", int(bounds[-1])), bounds[last]
+
     def _words(self, text: str) -> bytes:
-        chunks, memory = text.replace("\n", " ").split(" "), self.first
-        try:
-            return b"".join(map(memory.__getitem__, chunks))
-        except KeyError:
-            for chunk in chunks:
-                if chunk not in memory:
-                    self._learn(memory, chunk, "")
-            return b"".join(map(memory.__getitem__, chunks))
+        return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" ")))
 
     def _lines(self, text: str) -> bytes:
         if not _plain_blanks(text):
             return self._bordered(text)
         out, first, later = [], self.first, self.later
-        line_end = first.get("\n")
-        if line_end is None:
-            line_end = first["\n"] = self._library("\n")
         for i, line in enumerate(text.split("\n")):
             head, *chunks = line.split(" ")
             if i:
-                out.append(line_end)
-            out.append(first.get(head) or self._learn(first, head, ""))
-            try:
-                out.append(b"".join(map(later.__getitem__, chunks)))
-            except KeyError:
-                for chunk in chunks:
-                    if chunk not in later:
-                        self._learn(later, chunk, " ")
-                out.append(b"".join(map(later.__getitem__, chunks)))
+                out.append(first["\n"])
+            out.append(first[head])
+            out.extend(map(later.__getitem__, chunks))
         return b"".join(out)
 
     def _bordered(self, text: str) -> bytes:

@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from riskloom.llm import (decontam, linefreq, links, packing, preference, quality, rans, setjoin, suffix,
@@ -185,6 +186,28 @@ def test_chunks_give_the_ids_of_whole_texts(documents, name, dropped):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want
 
 
+@pytest.mark.parametrize("name, dropped", [("byte_bpe_50k.json", False), ("word_bpe_49k.json", True)])
+def test_batches_give_the_ids_of_single_texts(documents, name, dropped):
+    odd = ["", "a  b", "\n", " lead", "it's don't. x'll,", "Great*** great&&& Straße$$$ ab1## x'### \"q\"", "", "ΑΣ İx%%%"]
+    texts = odd + [t for _, t in documents]
+    one, many = (tokens.ChunkEncoder(tokens.vocabulary(name), dropped) for _ in range(2))
+    for part in (pa.array(texts), pa.array(texts).slice(3, 9), pa.array([], pa.string()), pa.array([""])):
+        ids, ends = many.encode_all(part)
+        want = [one.encode(t) for t in part.to_pylist()]
+        assert ids.tobytes() == b"".join(want) and ends.tolist() == np.cumsum([len(w) // 4 for w in want]).tolist()
+    for text in odd:
+        assert np.frombuffer(one.encode(text), "<u4").tolist() == one.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_before_any_stops_are_learned_once(monkeypatch):
+    # Only stops of prose were set apart: "word###" went through the whole tokenizer, and "Word" through the model again.
+    encoder, seen = tokens.ChunkEncoder(tokens.vocabulary("word_bpe_49k.json"), True), []
+    library = encoder._library
+    monkeypatch.setattr(encoder, "_library", lambda text: seen.append(text) or library(text))
+    encoder.encode("".join(f"{word}{stops} " for word in ("abcde", "fghij", "Abcde") for stops in ("", "###", "&&&", ".", "***")))
+    assert sorted(seen) == ["", "###", "&&&", "***", "."]
+
+
 def test_best_fit_takes_the_tightest_window():
     rng = random.Random(2)
     for _ in range(50):
