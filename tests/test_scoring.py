@@ -1,6 +1,7 @@
 """AUC, blends, sources and sinks."""
 
 import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +106,33 @@ def test_matrices_and_scores_come_back(spark, make, tmp_path):
         sinks.write_scores(scores, str(tmp_path / fmt), fmt)
         back = tables.read_scores(spark, str(tmp_path / fmt), fmt)
         assert {r.ID: r.PROB for r in back.collect()} == {"1": .25, "2": .25}
+
+
+def test_final_scores_makes_tables_once_and_compact_does_not_wait(spark, monkeypatch):
+    from checks import queries
+    from riskloom.plans import scoring
+    made, fitted = [], threading.Event()
+
+    def matrix(waits):
+        def build(session, _folder, role="train", _tables=None):
+            if waits and not fitted.wait(60):
+                raise AssertionError("the compact model waits for the wide matrices")
+            return session.createDataFrame([(1, 0)], "id long, target int")
+        return build
+
+    def scores(prob, done=False):
+        def fit(_labelled, apply, *_names):
+            if done:
+                fitted.set()
+            return apply.selectExpr("id AS ID", f"double({prob}) AS PROB")
+        return fit
+
+    monkeypatch.setattr(queries.w, "tables", lambda _s, _d, role="train", **_: made.append(role) or {"role": role})
+    monkeypatch.setattr(queries, "_wide", matrix(True))
+    monkeypatch.setattr(queries, "_compact", matrix(False))
+    monkeypatch.setattr(queries.selection, "listed_features", lambda _matrix, _names: ["target"])
+    monkeypatch.setattr(scoring, "compact_trees", scores(0.5, done=True))
+    monkeypatch.setattr(scoring, "wide_trees", scores(0.5))
+    monkeypatch.setattr(scoring, "wide_linear", scores(0.5))
+    assert [tuple(r) for r in queries.QUERIES["final_scores"](spark, "unused").collect()] == [(1, 0.5)]
+    assert made == ["train", "score"]
