@@ -828,14 +828,15 @@ def _(spark, sf_dir):
     return rounded(wide.wide_matrix(*_bucketed(spark, sf_dir)), WIDE_DOUBLES)
 
 
-def _bucketed(spark, sf_dir, buckets=8):
-    """The tables and their spine, stored in buckets under a name of their own."""
+def _bucketed(spark, sf_dir, buckets=None):
+    """The tables and their spine, stored in buckets under a name of their own. All later steps by id have one task a bucket."""
     import uuid
 
     from riskloom.sources.sinks import write_bucketed
     from riskloom.sources.tables import read_bucketed
     prefix = f"bucketed_{uuid.uuid4().hex}"
     given = w.tables(spark, sf_dir)
+    buckets = buckets or max(8, spark.sparkContext.defaultParallelism)
     write_bucketed(given, prefix, _scratch(spark, "buckets"), buckets)
     stored = read_bucketed(spark, prefix, given)
     return stored, stored["target"]

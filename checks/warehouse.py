@@ -13,9 +13,14 @@ from riskloom import vocab
 from riskloom.session import materialize
 
 
+_LOOKUPS = {}
+
+
 def _dealt(number, values):
     """The value in the place that a number gives, by its rest; null beyond the values."""
-    return f"CASE {number} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+    case = f"CASE {number} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
+    _LOOKUPS[case] = "get(array(" + ", ".join(f"'{v}'" for v in values) + f"), CAST({number} AS INT))"
+    return case
 
 
 SOURCES = {
@@ -126,13 +131,21 @@ TRAIN_MONTHS = ("199901", "200106")
 VALIDATION_MONTH = "200107"
 
 
+def _for_spark(sql):
+    """The SQL of a table with long choices by a number as places of an array: Spark would work out the number anew for every value tried."""
+    for case, lookup in _LOOKUPS.items():
+        for named in (str, _for_suppliers):
+            sql = sql.replace(named(case), named(lookup))
+    return sql
+
+
 def given(spark: SparkSession, sf_dir, name) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def table(spark: SparkSession, sf_dir, name) -> DataFrame:
     """One logical table as a DataFrame."""
-    return spark.sql(TABLE_SQL[name], **{s: given(spark, sf_dir, s) for s in SOURCES[name]})
+    return spark.sql(_for_spark(TABLE_SQL[name]), **{s: given(spark, sf_dir, s) for s in SOURCES[name]})
 
 
 # What the tables of both roles take from an order line and its order, and the joins that it stands for.
@@ -163,7 +176,7 @@ def tables(spark: SparkSession, sf_dir, role="train", stored=True) -> dict:
     frames = {s: given(spark, sf_dir, s) for s in needed}
 
     def made(text):
-        return spark.sql(text, **{s: frame for s, frame in frames.items() if "{" + s + "}" in text})
+        return spark.sql(_for_spark(text), **{s: frame for s, frame in frames.items() if "{" + s + "}" in text})
 
     if not stored:
         return {name: made(text) for name, text in texts.items()}

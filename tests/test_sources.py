@@ -115,6 +115,37 @@ def test_bucketed_tables_meet_without_an_exchange(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_every_core_has_a_bucket(spark, monkeypatch):
+    from checks import queries as q
+    from riskloom.sources import sinks
+    from riskloom.sources import tables as stored
+    found = []
+    monkeypatch.setattr(q.w, "tables", lambda *_: {"target": None})
+    monkeypatch.setattr(stored, "read_bucketed", lambda *_: {"target": None})
+    monkeypatch.setattr(sinks, "write_bucketed", lambda tables, prefix, folder, buckets: found.append(buckets))
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda _: 12))
+    q._bucketed(spark, "")
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", property(lambda _: 2))
+    q._bucketed(spark, "")
+    assert found == [12, 8]
+
+
+def test_categories_are_looked_up_and_those_of_the_choices(spark, make):
+    from checks import warehouse as w
+    from test_plans import plan_of
+    keys = [None, -43, -2, *range(150)]  # the price divides by 1 + key % 4
+    rows = [(k, c, 10.5, None) for k in keys for c in (None, -2, 0, 7, 36)]
+    orders = make("o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp", rows)
+    looked = spark.sql(w._for_spark(w.TABLE_SQL["order_info"]), orders=orders)
+    chosen = spark.sql(w.TABLE_SQL["order_info"], orders=orders)
+    assert looked.schema == chosen.schema
+    assert looked.exceptAll(chosen).count() == chosen.exceptAll(looked).count() == 0
+    for texts in (w.TABLE_SQL, w.SCORE_SQL):
+        for name in ("order_info", "recieve_addr_info", "user_info"):
+            assert "get(array(" in w._for_spark(texts[name]) and "WHEN 9 THEN" not in w._for_spark(texts[name]), name
+    assert plan_of(w.table(spark, "/root/testdata/sf0.001", "order_info")).count("CASE WHEN") < 20
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
     rows = [(i, int(i % 3 == 0), float(i % 3 == 0) * 5, float(i % 2), 3.0, 0.0, float(i)) for i in range(60)]
