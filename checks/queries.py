@@ -797,8 +797,7 @@ WHERE substr(replace(appl_sbm_tm, '-', ''), 1, 6) BETWEEN '199901' AND '200106'"
 def _(spark, sf_dir):
     from riskloom.sources.sinks import write_matrices
     from riskloom.sources.tables import read_matrix
-    labelled = materialize(_wide(spark, sf_dir), "matrix")
-    paths = write_matrices(labelled, labelled.drop("target"), _scratch(spark, "matrices"),
+    paths = write_matrices(_wide(spark, sf_dir), lambda stored: stored.drop("target"), _scratch(spark, "matrices"),
                            w.TRAIN_MONTHS, w.VALIDATION_MONTH)
     return rounded(read_matrix(spark, paths["train"]), WIDE_DOUBLES)
 

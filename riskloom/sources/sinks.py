@@ -1,5 +1,8 @@
 """Writers for matrices and score files."""
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,19 +17,24 @@ def write_matrix(matrix: DataFrame, path) -> None:
     matrix.write.mode("overwrite").parquet(path)
 
 
-def write_matrices(labelled: DataFrame, scoring: DataFrame, root, train_months,
-                   validation_month) -> dict:
+def write_matrices(labelled: DataFrame, scoring, root, train_months, validation_month) -> dict:
     """Train, validation, full and scoring matrix from one extraction; returns their paths.
 
-    The labelled matrix is written once and the splits are cut from the stored file.
+    The labelled matrix is written once and the splits are cut from the stored file, side by side. ``scoring`` is a frame,
+    or a function that makes it from the stored labelled matrix.
     """
     spark = labelled.sparkSession
     paths = {k: f"{root}/{k}_feature" for k in ("train", "validate", "test", "train_test")}
     write_matrix(labelled, paths["train_test"])
     stored = spark.read.parquet(paths["train_test"])
-    write_matrix(months_between(stored, *train_months), paths["train"])
-    write_matrix(months_between(stored, validation_month, validation_month), paths["validate"])
-    write_matrix(scoring, paths["test"])
+    cuts = {"train": months_between(stored, *train_months),
+            "validate": months_between(stored, validation_month, validation_month),
+            "test": scoring(stored) if callable(scoring) else scoring}
+    with ThreadPoolExecutor(len(cuts)) as threads:
+        # Wrapped one by one: each wrapper holds a copy of the caller's properties.
+        waiting = [threads.submit(inheritable_thread_target(spark)(write_matrix), df, paths[k]) for k, df in cuts.items()]
+        for written in waiting:
+            written.result()
     return paths
 
 

@@ -108,6 +108,26 @@ def test_matrices_and_scores_come_back(spark, make, tmp_path):
         assert {r.ID: r.PROB for r in back.collect()} == {"1": .25, "2": .25}
 
 
+def test_scoring_matrix_from_the_stored_one_and_cuts_side_by_side(spark, make, tmp_path, monkeypatch):
+    import threading
+    rows = [("1", 1, "2016-05-01 00:00:00"), ("2", 0, "2017-04-02 00:00:00"), ("2", 0, "2017-04-02 00:00:00"), (None, 1, None)]
+    labelled = make("id string, target int, appl_sbm_tm string", rows)
+    # Each cut waits until all three are being written.
+    write, together = sinks.write_matrix, threading.Barrier(3, timeout=60)
+    monkeypatch.setattr(sinks, "write_matrix", lambda df, path: (
+        None if path.endswith("train_test_feature") else together.wait(), write(df, path)))
+    paths = sinks.write_matrices(labelled, lambda stored: stored.drop("target"), str(tmp_path), vocab.TRAIN_MONTHS, vocab.VALIDATION_MONTH)
+    stored = {k: tables.read_matrix(spark, p) for k, p in paths.items()}
+    assert {k: v.count() for k, v in stored.items()} == {"train": 1, "validate": 2, "test": 4, "train_test": 4}
+    assert stored["test"].columns == ["id", "appl_sbm_tm"]
+
+
+def test_a_cut_that_fails_is_not_lost(make, tmp_path):
+    labelled = make("id string, target int, appl_sbm_tm string", [("1", 1, "2016-05-01 00:00:00")])
+    with pytest.raises(Exception, match="no such"):
+        sinks.write_matrices(labelled, labelled.selectExpr("raise_error('no such') AS id"), str(tmp_path), vocab.TRAIN_MONTHS, vocab.VALIDATION_MONTH)
+
+
 def test_final_scores_makes_tables_once_and_compact_does_not_wait(spark, monkeypatch):
     from checks import queries
     from riskloom.plans import scoring
