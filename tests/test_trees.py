@@ -217,6 +217,46 @@ def test_staged_margins_are_running_sums_without_a_shuffle(data, fitted, capsys)
     assert {(r.id, r["round"]): r.margin for r in got.collect()} == want
 
 
+def test_staged_aucs_from_sorted_runs(make, monkeypatch):
+    """Ranges, blocks and ties make no difference to the counts of single margins; no row is laid out per round."""
+    rng = np.random.default_rng(3)
+    rows = [(i, int(i % 4 == 3), [1, 0, None, 7][int(rng.integers(0, 4))], float(rng.integers(0, 4)) if i % 2 else float(rng.normal()),
+             None if i % 7 == 0 else float("nan") if i % 11 == 0 else float(rng.normal())) for i in range(900)]
+    df = materialize(make("id long, held int, target int, a double, `b.c` double", rows).repartition(3), "staged")
+    nodes = []
+    for r in range(1, 6):
+        cut = float(rng.normal())
+        nodes += [(r, .5, 0, r % 2, cut, 1, 2, 1.0, 0.0), (r, .5, 1, (r + 1) % 2, -cut, 3, 4, 1.0, 0.0), (r, .5, 2, None, None, None, None, None, float(rng.normal())),
+                  (r, .5, 3, None, None, None, None, None, -1.0), (r, .5, 4, None, None, None, None, None, float(rng.normal()))]
+    table = make(tree_table.SCHEMA, nodes)
+    single = tree_table.staged_margins(table, df, ["a", "b.c"], "held", "target").withColumn("_group", 2 * F.col("round") + F.col("held"))
+    want = {r._group: (r.positives, r.negatives, r.auc) for r in tree_table.grouped_auc(single, "_group", score="margin").collect()}
+    assert len(want) == 10
+    for most, ranges in ((1 << 23, 1 << 20), (5 * 70, 1 << 20), (5 * 70, 40)):
+        monkeypatch.setattr(tree_table, "_BLOCK_VALUES", most)
+        monkeypatch.setattr(tree_table, "_RANGE_ROWS", ranges)
+        staged = tree_table.staged_auc(table, df, ["a", "b.c"], "held")
+        got = {2 * r["round"] + r.held: (r.positives, r.negatives, r.auc) for r in staged.collect()}
+        assert got.keys() == want.keys()
+        for k in want:
+            assert got[k][:2] == want[k][:2] and math.isclose(got[k][2], want[k][2], rel_tol=1e-12)
+
+
+def test_watch_list_stores_no_single_margins(data, fitted):
+    """Margins of single rows are neither sorted as a table nor stored; runs of them meet by round."""
+    _model, table = fitted
+    watched = tree_table.watch_list(table, data.where("id % 3 > 0"), data.where("id % 3 = 0"), NAMES, models.MISSING)
+    assert not [f for f in watched.inputFiles() if "/sorted-" in f]
+
+
+def test_watch_list_with_an_empty_side(data, fitted):
+    _model, table = fitted
+    rows = tree_table.watch_list(table, data, data.where("id < 0"), NAMES, models.MISSING).orderBy("round").collect()
+    assert [r["round"] for r in rows] == [1, 2, 3, 4, 5, 6]
+    assert all(r.train_auc > .5 and r.validation_auc is None for r in rows)
+    assert tree_table.watch_list(table, data.limit(0), data.limit(0), NAMES, models.MISSING).count() == 0
+
+
 def test_fixed_ensemble_on_odd_rows(make):
     table = make(tree_table.SCHEMA, list(facts.ENSEMBLE))
     assert tree_table.levels(table) == 3
