@@ -1,8 +1,11 @@
 """What the plans must look like, and that results do not depend on the data layout or on skew."""
 
+import glob
 import io
 import re
+import time
 from contextlib import redirect_stdout
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,3 +172,65 @@ def test_working_folder_comes_from_the_session(spark):
     stored = materialize(spark.range(3), "probe")
     assert stored.count() == 3
     assert path.rstrip("/") in stored.inputFiles()[0]
+
+
+# joined lines, freed shuffles ----------------------------------------------------------------------
+
+@pytest.fixture(scope="module")
+def odd_tables(spark, tmp_path_factory):
+    """Given tables with repeated and null keys, and keys that meet nothing."""
+    folder = str(tmp_path_factory.mktemp("odd"))
+    rows = {
+        "customer": ("c_custkey long, c_acctbal double", [(1, 5.0), (2, -3.0), (3, None), (None, 1.0)]),
+        "supplier": ("s_suppkey long, s_nationkey int, s_acctbal double", [(7, 1, 2.0), (7, 4, 2.5), (8, None, -1.0), (None, 3, 0.0), (9, 2, 6.0)]),
+        "part": ("p_partkey long, p_brand string", [(100, "a"), (100, "b"), (101, None), (None, "c"), (102, "a")]),
+        "orders": ("o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz",
+                   [(k, c, 10.5 * i, datetime(1998, 1, 1 + i)) for i, (k, c) in enumerate([(1, 1), (2, 1), (2, 2), (None, 3), (4, None), (5, 2)])]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_shipdate timestamp_ntz",
+                     [(o, p, s, i % 5, "ARN"[i % 3], datetime(1998, 2, 1 + i)) for i, (o, p, s) in enumerate(
+                         [(1, 100, 7), (1, 100, 7), (2, 101, 8), (2, 102, None), (None, 100, 7), (4, None, 9), (5, 103, 8), (5, 100, 10), (6, 100, 7)])]),
+    }
+    for name, (schema, values) in rows.items():
+        spark.createDataFrame(values, schema).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("role", ["train", "score"])
+def test_tables_of_joined_lines_are_the_same(spark, odd_tables, role):
+    shared = w.tables(spark, odd_tables, role, joined=w.joined_lines(spark, odd_tables))
+    plain = w.tables(spark, odd_tables, role, stored=False)
+    assert list(shared) == list(plain)
+    for name, df in plain.items():
+        assert shared[name].dtypes == df.dtypes
+        assert sorted(map(repr, shared[name].collect())) == sorted(map(repr, df.collect())), name
+    assert shared["bankcard_info"].count() > 0 and shared["recieve_addr_info"].count() > 0
+
+
+def test_both_roles_read_one_join(spark, odd_tables):
+    lines = w.joined_lines(spark, odd_tables)
+    read = [{f.rsplit("/", 2)[1] for f in w.tables(spark, odd_tables, role, joined=lines)[name].inputFiles()}
+            for role in ("train", "score") for name in ("bankcard_info", "recieve_addr_info")]
+    assert read[0] == read[2] and read[1] == read[3] and all(len(r) == 1 for r in read)
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for folder in folders for f in glob.glob(f"{folder}/*/shuffle_*.data")}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    from riskloom.session import materialize, shuffles_freed
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, kept = spark.conf.get(setting), _shuffle_files(spark)
+    counted = spark.range(0, 1000, 1, 3).groupBy((F.col("id") % 7).alias("k")).count()
+    stored = materialize(counted, "counted")
+    until = time.time() + 20
+    while _shuffle_files(spark) - kept and time.time() < until:
+        time.sleep(.2)
+    assert not _shuffle_files(spark) - kept
+    assert sorted(r["count"] for r in stored.collect()) == sorted(r["count"] for r in counted.collect())
+    first, second = shuffles_freed(spark), shuffles_freed(spark)
+    first.__enter__(), second.__enter__(), first.__exit__(None, None, None)
+    assert spark.conf.get(setting) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(setting) == before
