@@ -1018,10 +1018,11 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """Listed features only, fitted on every labelled row and applied to the scoring set."""
     from riskloom.operators import models as m
-    matrix, _names = _model_tables(spark, sf_dir, _wide)
+    lines = w.joined_lines(spark, sf_dir)
+    matrix, new = (materialize(_wide(spark, sf_dir, role, w.tables(spark, sf_dir, role, joined=lines)), "matrix") for role in ("train", "score"))
     listed = selection.listed_features(matrix, vocab.TREE_FEATURES)
     trees = m.boosted_trees(m.SELECTED_TREES)
-    return m.fit_and_score(matrix, _wide(spark, sf_dir, "score"), listed, trees)
+    return m.fit_and_score(matrix, new, listed, trees)
 
 
 @query("final_scores")
