@@ -197,7 +197,7 @@ def odd_tables(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("role", ["train", "score"])
 def test_tables_of_joined_lines_are_the_same(spark, odd_tables, role):
-    shared = w.tables(spark, odd_tables, role, joined=w.joined_lines(spark, odd_tables))
+    shared = w.tables(spark, odd_tables, role, joined=lambda: w.joined_lines(spark, odd_tables))
     plain = w.tables(spark, odd_tables, role, stored=False)
     assert list(shared) == list(plain)
     for name, df in plain.items():
@@ -208,7 +208,7 @@ def test_tables_of_joined_lines_are_the_same(spark, odd_tables, role):
 
 def test_both_roles_read_one_join(spark, odd_tables):
     lines = w.joined_lines(spark, odd_tables)
-    read = [{f.rsplit("/", 2)[1] for f in w.tables(spark, odd_tables, role, joined=lines)[name].inputFiles()}
+    read = [{f.rsplit("/", 2)[1] for f in w.tables(spark, odd_tables, role, joined=lambda: lines)[name].inputFiles()}
             for role in ("train", "score") for name in ("bankcard_info", "recieve_addr_info")]
     assert read[0] == read[2] and read[1] == read[3] and all(len(r) == 1 for r in read)
 
